@@ -24,6 +24,22 @@ def audit_row(df: DataFrame, procedure: str, status: str, at: str, error: str |
     return values.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_LOG.fields])
 
 
+def union_checks(*checks: DataFrame) -> DataFrame:
+    """All check results as one table."""
+    result = checks[0]
+    for check in checks[1:]:
+        result = result.unionByName(check)
+    return result
+
+
+def partner_kpi(kpi: DataFrame, as_of: str, days: int = 90) -> DataFrame:
+    """What partners may see: a few columns of the last days."""
+    bound = F.date_sub(F.lit(as_of).cast("date"), days)
+    return kpi.filter(F.col("kpi_date") >= bound).select(
+        "kpi_date", "sensor_name", "avg_reading", "p95_reading", "total_readings"
+    )
+
+
 def run_alerts(log: DataFrame, as_of: str, stale_hours: int = 24) -> DataFrame:
     """Latest run per procedure with minutes since the run before and an alert level."""
     now = F.lit(as_of).cast("timestamp_ntz")
