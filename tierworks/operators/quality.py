@@ -143,35 +143,46 @@ class Expected:
     counts: Observation = field(repr=False)
 
 
+def _expected(
+    df: DataFrame, observer: Observation | str, warn: Mapping[str, str], drop: Mapping[str, str], fail: Mapping[str, str]
+) -> DataFrame:
+    def holds(predicate: str) -> Column:
+        return F.coalesce(F.expr(predicate), F.lit(False))
+
+    seen = df.observe(
+        observer,
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count_if(~holds(p)).alias(n) for n, p in {**warn, **drop, **fail}.items()],
+    )
+    for n, p in fail.items():
+        stop = F.raise_error(F.lit(f"expectation failed: {n}")).cast("boolean")
+        seen = seen.filter(F.when(holds(p), F.lit(True)).otherwise(stop))
+    for p in drop.values():
+        seen = seen.filter(holds(p))
+    return seen
+
+
 def expect(
     df: DataFrame,
     warn: Mapping[str, str] | None = None,
     drop: Mapping[str, str] | None = None,
     fail: Mapping[str, str] | None = None,
-    name: str = "expectations",
 ) -> Expected:
     """Row expectations by SQL predicate with three actions.
 
     ``warn`` keeps violating rows, ``drop`` removes them, ``fail`` stops the query.
     Violations are counted while the rows pass by, without a second scan.
     """
-    warn, drop, fail = dict(warn or {}), dict(drop or {}), dict(fail or {})
+    counts = Observation()
+    return Expected(_expected(df, counts, dict(warn or {}), dict(drop or {}), dict(fail or {})), counts)
 
-    def holds(predicate: str) -> Column:
-        return F.coalesce(F.expr(predicate), F.lit(False))
 
-    counts = Observation(name)
-    seen = df.observe(
-        counts,
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(~holds(p)).alias(n) for n, p in {**warn, **drop, **fail}.items()],
-    )
-    for n, p in fail.items():
-        stop = F.raise_error(F.lit(f"expectation failed: {n}")).cast("boolean")
-        seen = seen.filter(F.when(holds(p), F.lit(True)).otherwise(stop))
-    for p in drop.values():
-        seen = seen.filter(holds(p))
-    return Expected(seen, counts)
+def expect_stream(
+    stream: DataFrame, warn: Mapping[str, str] | None = None, drop: Mapping[str, str] | None = None,
+    fail: Mapping[str, str] | None = None, name: str = "expectations",
+) -> DataFrame:
+    """The same on a stream; the counts of each batch are in the query's progress under ``name``."""
+    return _expected(stream, name, dict(warn or {}), dict(drop or {}), dict(fail or {}))
 
 
 def expectation_counts(df: DataFrame, rules: Mapping[str, tuple[str, str]]) -> DataFrame:

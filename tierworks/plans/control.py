@@ -338,12 +338,15 @@ def array_distinct(spark: SparkSession, d: str) -> DataFrame:
 # --- named functions -----------------------------------------------------------------------------------
 
 
-@query("agg_10_summary_json", sql("""SELECT sensor_id, count(*) AS n FROM readings GROUP BY 1""", "readings"))
+@query("agg_10_summary_json", sql(f"""SELECT sensor_id, {stable('avg(reading_value)', 6)} AS mean, count(*) AS n
+ FROM readings GROUP BY 1""", "readings"))
 def summary_json(spark: SparkSession, d: str) -> DataFrame:
     """The object is read back, as the text of doubles differs between engines."""
     out = gold.summary_json(base.staged_readings(spark, d), "sensor_id", "reading_value")
+    mean = F.get_json_object("summary_json", "$.avg_reading").cast("double")
     return out.select(
         F.get_json_object("summary_json", "$.sensor_id").alias("sensor_id"),
+        business.stable_round(mean, 6).alias("mean"),
         F.get_json_object("summary_json", "$.count").cast("bigint").alias("n"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -35,6 +35,12 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ensure_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table, created empty where there is none yet."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for one run of one operator."""
     return f"{shared_root(spark)}/tierworks/{label}-{uuid.uuid4().hex}"

@@ -49,7 +49,7 @@ def read_json_events(
 def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV rows with the raw text of rows that do not fit, and their file."""
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
+    rows = (
         spark.read.schema(wide)
         .option("header", True)
         .option("mode", "PERMISSIVE")
@@ -57,6 +57,10 @@ def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType) -> Da
         .csv(path)
         .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
     )
+    # A row counts as bad only for the columns a query reads; tying the raw text to
+    # all of them makes the verdict the same in every query.
+    raw, parsed = F.col(CORRUPT), F.concat_ws(",", *[F.col(f.name).cast("string") for f in schema.fields])
+    return rows.withColumn(CORRUPT, F.coalesce(raw, F.when(raw.isNotNull(), parsed)))
 
 
 def load_with_policy(df: DataFrame, on_error: str, n: int = 1) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
+from tierworks.session import ensure_table
 from tierworks.sources.files import list_files
 
 
@@ -74,11 +74,7 @@ def date_spine(df: DataFrame, ts: str) -> DataFrame:
     return ends.select(F.explode(F.sequence("a", "b")).alias("dt"))
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+LEDGER = "path string, load_no int"
 
 
 def copy_into(spark: SparkSession, src: str, dst: str, schema: T.StructType, glob: str = "*.parquet") -> int:
@@ -88,19 +84,17 @@ def copy_into(spark: SparkSession, src: str, dst: str, schema: T.StructType, glo
     its own ``_load=N`` folder, numbered from the ledger: a load that stopped half
     way is not in the ledger, and the next attempt overwrites its folder.
     """
-    files = list_files(spark, src, glob).select("path")
-    ledger = _read_or_none(spark, f"{dst}/_ledger")
-    load_no = 0
-    if ledger is not None:
-        load_no = ledger.agg(F.max("load_no")).first()[0] + 1
-        files = files.join(ledger.select("path"), "path", "left_anti")
+    ledger = ensure_table(spark, f"{dst}/_ledger", LEDGER)
+    last = ledger.agg(F.max("load_no")).first()[0]
+    load_no = 0 if last is None else last + 1
+    files = list_files(spark, src, glob).select("path").join(ledger.select("path"), "path", "left_anti")
     # Only file names, as in any directory listing.
     paths = [row.path for row in files.toLocalIterator()]
     if not paths:
         return 0
     rows = spark.read.schema(schema).parquet(*paths).withColumn("_source_file", F.col("_metadata.file_path"))
     rows.write.mode("overwrite").parquet(f"{dst}/_load={load_no}")
-    entries = spark.createDataFrame([(p, load_no) for p in paths], "path string, load_no int")
+    entries = spark.createDataFrame([(p, load_no) for p in paths], LEDGER)
     entries.coalesce(1).write.mode("append").parquet(f"{dst}/_ledger")
     return len(paths)
 

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from tierworks.session import ensure_table
 from tierworks.sources.files import list_files
 
 
@@ -94,14 +94,12 @@ HISTORY = "version int, committed_at timestamp_ntz, operation string, num_rows b
 
 def history(spark: SparkSession, path: str) -> DataFrame:
     """Versions with time, operation and row count."""
-    try:
-        return spark.read.schema(HISTORY).parquet(f"{path}/_history")
-    except AnalysisException:
-        return spark.createDataFrame([], HISTORY)
+    return spark.read.schema(HISTORY).parquet(f"{path}/_history")
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
-    return history(spark, path).agg(F.max("version")).first()[0]
+    """Number of the newest version, None for a table without any."""
+    return ensure_table(spark, f"{path}/_history", HISTORY).agg(F.max("version")).first()[0]
 
 
 def publish_version(df: DataFrame, path: str, at: str, operation: str = "WRITE", txn: str | None = None) -> int:
@@ -110,7 +108,7 @@ def publish_version(df: DataFrame, path: str, at: str, operation: str = "WRITE",
     ``txn`` makes a repeated write of the same unit of work a no-op.
     """
     spark = df.sparkSession
-    past = history(spark, path)
+    past = ensure_table(spark, f"{path}/_history", HISTORY)
     if txn is not None:
         done = past.filter(F.col("txn") == txn).select("version").first()
         if done is not None:

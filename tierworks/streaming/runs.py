@@ -92,10 +92,10 @@ def _merge_into(path: str, keys: Sequence[str], order: Sequence[str] = ()):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         txn = f"batch-{batch_id}"
-        if not history(spark, path).filter(F.col("txn") == txn).isEmpty():
+        last = latest_version(spark, path)
+        if last is not None and not history(spark, path).filter(F.col("txn") == txn).isEmpty():
             return
         rows = first_rows(batch, keys, [F.col(c).desc() for c in order]) if order else batch
-        last = latest_version(spark, path)
         if last is None:
             merged = rows
         else:
