@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierworks.functions.business import stable_round
 from tierworks.functions.keys import row_number_value, surrogate_key
 from tierworks.operators.quantiles import HOT_ROWS, aggregate_with_quantiles
-from tierworks.operators.sequences import first_rows
+from tierworks.operators.sequences import by_time, first_rows, with_row_number
 from tierworks.operators.silver import promotable
 
 
@@ -18,11 +18,16 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def daily_sensor_kpi(silver: DataFrame, require_valid: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Readings per sensor and day: count, mean, extremes, sample deviation, median, p95, warnings."""
+KPI_KEYS = ["sensor_id", "sensor_name", "equipment_name", "process_area", "kpi_date"]
+
+
+def _kpi_rows(silver: DataFrame, require_valid: bool) -> DataFrame:
     ready = promotable(silver, require_valid).withColumn("kpi_date", F.col("reading_timestamp").cast("date"))
-    keys = ["sensor_id", "sensor_name", "equipment_name", "process_area", "kpi_date"]
-    measures = [
+    return ready.select(*KPI_KEYS, "reading_value", "quality_flag")
+
+
+def _kpi_measures() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("total_readings"),
         F.avg("reading_value").alias("avg_reading"),
         F.min("reading_value").alias("min_reading"),
@@ -30,12 +35,23 @@ def daily_sensor_kpi(silver: DataFrame, require_valid: bool = True, hot_rows: in
         F.stddev("reading_value").alias("stddev_reading"),
         count_where(F.col("quality_flag") == "WARN").alias("warn_count"),
     ]
-    needed = ready.select(*keys, "reading_value", "quality_flag")
+
+
+def daily_sensor_stats(silver: DataFrame, require_valid: bool = True) -> DataFrame:
+    """The daily KPIs without median and p95: all that alerts need, in one pass."""
+    stats = _kpi_rows(silver, require_valid).groupBy(*KPI_KEYS).agg(*_kpi_measures())
+    return stats.select(surrogate_key("sensor_id", "kpi_date").alias("kpi_sk"), "*")
+
+
+def daily_sensor_kpi(silver: DataFrame, require_valid: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Readings per sensor and day: count, mean, extremes, sample deviation, median, p95, warnings."""
+    sizes = silver.select("sensor_id", F.col("reading_timestamp").cast("date").alias("kpi_date"))
     kpi = aggregate_with_quantiles(
-        needed, keys, "reading_value", {"median_reading": 0.5, "p95_reading": 0.95}, measures, hot_rows
+        _kpi_rows(silver, require_valid), KPI_KEYS, "reading_value",
+        {"median_reading": 0.5, "p95_reading": 0.95}, _kpi_measures(), sizes, hot_rows,
     )
     return kpi.select(
-        surrogate_key("sensor_id", "kpi_date").alias("kpi_sk"), *keys,
+        surrogate_key("sensor_id", "kpi_date").alias("kpi_sk"), *KPI_KEYS,
         "total_readings", "avg_reading", "min_reading", "max_reading", "stddev_reading",
         "median_reading", "p95_reading", "warn_count",
     )
@@ -104,16 +120,23 @@ def hourly_agg(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataF
     return df.groupBy(*keys, hour).agg(F.avg(value).alias("avg_value"), F.max(value).alias("max_value"))
 
 
-def reading_lists(df: DataFrame, keys: Sequence[str], ts: str, unit: str = "hour") -> DataFrame:
-    """Readings of each key as arrays in time order, one array per time slot.
+def reading_lists(
+    df: DataFrame, keys: Sequence[str], ts: str, unit: str = "hour", page_rows: int = 10_000
+) -> DataFrame:
+    """Readings of each key as arrays in time order.
 
-    The slot keeps an array small however long or busy the key is; together the
-    slots hold every reading.
+    There is one array per time slot, cut into pages of at most ``page_rows``
+    readings: no array and no task holds an unbounded group, and together the
+    pages hold every reading.  ``ts`` must be unique inside a key.
     """
-    slot = F.date_trunc(unit, ts).cast("timestamp_ntz").alias("slot_start")
+    slotted = df.select(
+        *keys, "reading_value", "status", ts, F.date_trunc(unit, ts).cast("timestamp_ntz").alias("slot_start")
+    )
+    numbered = with_row_number(slotted, [*keys, "slot_start"], [ts], by_time(ts, "minute"), "_row")
+    page = F.floor((F.col("_row") - 1) / page_rows).alias("page")
     entries = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("t"), F.col("reading_value").alias("v"))))
     return (
-        df.groupBy(*keys, slot)
+        numbered.groupBy(*keys, "slot_start", page)
         .agg(entries.alias("_e"), F.array_sort(F.collect_set("status")).alias("unique_statuses"))
         .withColumn("all_readings", F.filter(F.transform("_e", lambda e: e.v), lambda v: v.isNotNull()))
         .withColumn("reading_count", F.size("all_readings"))

@@ -12,32 +12,28 @@ from tierworks.functions.timeparts import boundary_diff
 from tierworks.operators import sequences as seq
 
 
-def rank_readings(df: DataFrame, key: str, ts: str, value: str, value_step: float = 50.0) -> DataFrame:
+def rank_readings(df: DataFrame, key: str, ts: str, value: str, value_step: float = 1.0) -> DataFrame:
     """Position by time and rank by falling value of each reading of a sensor."""
-    by_time = seq.with_ranks(
-        df, [key], [F.col(ts).asc()], seq.by_time(ts, "day"), row_number="row_num"
-    )
-    return seq.with_ranks(
-        by_time, [key], [F.col(value).desc()], seq.by_value_desc(value, value_step),
-        rank="value_rank", dense_rank="value_dense_rank",
-    )
+    numbered = seq.with_row_number(df, [key], [ts], seq.by_time(ts), "row_num")
+    steps = seq.by_value(value, value_step, descending=True)
+    return seq.with_ranks(numbered, [key], value, steps, "value_rank", "value_dense_rank")
 
 
 def neighbour_readings(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     return seq.with_neighbours(
-        df, [key], [ts], seq.by_time(ts, "day"), lag={"lag_value": value}, lead={"lead_value": value}
+        df, [key], [ts], seq.by_time(ts), lag={"lag_value": value}, lead={"lead_value": value}
     )
 
 
 def running_avg_range(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     """Average up to this time; readings of the same time share it."""
-    return seq.with_running(df, [key], [ts], seq.by_time(ts, "day"), value, avg="running_avg")
+    return seq.with_running_ties(df, [key], ts, seq.by_time(ts, "day"), value, avg="running_avg")
 
 
 def running_avg_rows(df: DataFrame, key: str, order: Sequence[str], ts: str, value: str) -> DataFrame:
     """Average up to this row in the given unique order."""
     return seq.with_running(
-        df, [key], order, seq.by_time(ts, "day"), value, avg="running_avg", count="running_count", share_ties=False
+        df, [key], order, seq.by_time(ts), value, avg="running_avg", count="running_count"
     )
 
 
@@ -93,10 +89,10 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, max_rate: float
     """
     gap = F.col(ts) >= F.col("_prev") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
     marked = seq.with_neighbours(
-        df.select(key, ts), [key], [ts], seq.by_time(ts, "day"), lag={"_prev": ts}
+        df.select(key, ts), [key], [ts], seq.by_time(ts), lag={"_prev": ts}
     ).withColumn("_start", F.when(F.col("_prev").isNull() | gap, 1).otherwise(0))
     numbered = seq.with_running(
-        marked, [key], [ts], seq.by_time(ts, "day"), "_start", total="session_no"
+        marked, [key], [ts], seq.by_time(ts), "_start", total="session_no"
     )
     out = numbered.groupBy(key, F.col("session_no").cast("bigint").alias("session_no")).agg(
         F.min(ts).alias("session_start"), F.max(ts).alias("session_last"), F.count(F.lit(1)).alias("n_events")

@@ -103,17 +103,20 @@ def aggregate_with_quantiles(
     value: str,
     probs: Mapping[str, float],
     others: Sequence[Column],
+    sizes: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One aggregation of ``others`` plus exact quantiles of ``value``.
 
-    Ordinary groups need a single shuffle.  Whether any group is hot is asked
-    first with a count that reads only the keys; only the answer reaches the driver.
+    Ordinary groups need a single scan and shuffle.  Whether any group is hot is
+    asked first by counting ``sizes``: fewer columns which bound the groups from
+    above (by default the keys).  Only the yes or no reaches the driver.
     """
     quantiles = [F.percentile(value, p).alias(n) for n, p in probs.items()]
-    hot = hot_groups(df, keys, hot_rows)
-    if hot.isEmpty():
+    bounds = df.select(*keys) if sizes is None else sizes
+    if hot_groups(bounds, bounds.columns, hot_rows).isEmpty():
         return df.groupBy(*keys).agg(*others, *quantiles)
+    hot = hot_groups(df, keys, hot_rows)
     marker = F.broadcast(hot).alias("h")
     cold = df.alias("d").join(marker, _same_keys("d", "h", keys), "left_anti")
     busy = df.alias("d").join(marker, _same_keys("d", "h", keys), "left_semi")
@@ -123,7 +126,9 @@ def aggregate_with_quantiles(
     large = (
         base.alias("b")
         .join(exact.alias("e"), _same_keys("b", "e", keys), "left")
-        .select(*[F.col(f"b.{k}").alias(k) for k in keys], *[F.col(f"b.{n}").alias(n) for n in names],
-                *[F.col(f"e.{n}").alias(n) for n in probs])
+        .select(
+            *[F.col(f"b.{c}").alias(c) for c in [*keys, *names]],
+            *[F.col(f"e.{n}").alias(n) for n in probs],
+        )
     )
     return cold.groupBy(*keys).agg(*others, *quantiles).unionByName(large)

@@ -25,11 +25,16 @@ def json_paths(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
 
 
 def flatten_array(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
-    """One row per element of the readings array, with its position."""
+    """One row per element of the readings array, with its position.
+
+    The outer form with a filter after it parses each payload once; the plain form
+    makes Spark parse it a second time to skip empty arrays.
+    """
     return (
         df.withColumn("_p", F.from_json(payload, IOT_PAYLOAD))
         .select("event_id", "event_timestamp", F.col("_p.sensor_id").alias("sensor_id"),
-                F.posexplode("_p.readings").alias("reading_index", "_r"))
+                F.posexplode_outer("_p.readings").alias("reading_index", "_r"))
+        .filter(F.col("reading_index").isNotNull())
         .select(
             "event_id", "event_timestamp", "sensor_id", "reading_index",
             F.col("_r.value").alias("reading_value"), F.col("_r.unit").alias("unit"),
@@ -41,7 +46,8 @@ def flatten_array(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
 def flatten_object(df: DataFrame, path: str, payload: str = "raw_payload") -> DataFrame:
     """One row per attribute of a nested object."""
     pairs = F.from_json(F.get_json_object(payload, path), "map<string,string>")
-    return df.select("event_id", F.explode(pairs).alias("attribute_name", "attribute_value"))
+    rows = df.select("event_id", F.explode_outer(pairs).alias("attribute_name", "attribute_value"))
+    return rows.filter(F.col("attribute_name").isNotNull())
 
 
 def object_construct(*columns: str | Column) -> Column:

@@ -1,10 +1,11 @@
 """Ordered operations per key that stay spread when one key owns much of the data.
 
 A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task.  Here
-each key is cut into chunks along the order column (an hour, a day, a value
-range).  Rows are windowed inside (key, chunk); what crosses chunk borders -
-counts, sums, edge values - is carried by a table with one row per chunk, which
-is small enough for a plain window.  Results equal those of the plain window.
+each key is cut into chunks along the order column (an hour, a value range).
+Rows are windowed inside (key, chunk); what crosses chunk borders - counts,
+sums, edge values - is carried by a table with one row per chunk, small enough
+for a plain window.  Rows equal in the order column are first counted together,
+so a frequent value costs one row.  Results equal those of the plain window.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_CHUNK = "_chunk"
+_CHUNK, _NULLS = "_chunk", "_nulls"
 
 
 @dataclass(frozen=True)
@@ -26,32 +28,67 @@ class Chunks:
     expr: Column
     descending: bool = False
 
-    def ordering(self) -> Column:
-        return F.col(_CHUNK).desc() if self.descending else F.col(_CHUNK).asc()
-
 
 def by_time(ts: str, unit: str = "hour") -> Chunks:
-    return Chunks(F.date_trunc(unit, F.col(ts)))
+    return Chunks(F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz"))
+
+
+def by_value(value: str, width: float, descending: bool = False) -> Chunks:
+    return Chunks(F.floor(F.col(value) / width), descending)
+
 
+def _filler(kind: T.DataType) -> Column:
+    """Any non-null value of a type."""
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    if isinstance(kind, T.BooleanType):
+        return F.lit(False)
+    return F.lit(0).cast(kind)
 
-def by_value_desc(value: str, width: float) -> Chunks:
-    return Chunks(F.floor(F.col(value) / width), descending=True)
 
+def _without_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fill NULLs in grouping columns and note in ``_nulls`` which ones were filled.
+
+    Plain equality then matches NULL groups too, and shuffles made for a window
+    can be reused by the joins on the same columns.
+    """
+    mask = F.lit(0)
+    for i, c in enumerate(columns):
+        mask = mask + F.when(F.col(c).isNull(), 1 << i).otherwise(0)
+    filled = {c: F.coalesce(F.col(c), _filler(df.schema[c].dataType)) for c in columns}
+    return df.withColumn(_NULLS, mask).withColumns(filled)
 
-def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
 
+def _restored(columns: Sequence[str]) -> dict[str, Column]:
+    return {
+        c: F.when(F.col(_NULLS).bitwiseAND(F.lit(1 << i)) == 0, F.col(c)).alias(c) for i, c in enumerate(columns)
+    }
 
-def _attach(rows: DataFrame, chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join carried values to the rows of their chunk; keys may be NULL."""
-    renamed = chunks.select(*[F.col(c).alias(f"_j_{c}") if c in keys else F.col(c) for c in chunks.columns])
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_j_{key}"))
-    return rows.join(renamed, condition, "left").drop(*[f"_j_{k}" for k in keys])
+
+def _cut(df: DataFrame, keys: Sequence[str], chunks: Chunks) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows with their chunk, the columns naming a chunk, and those naming a key.
+
+    NULL chunks keep their place at the end Spark sorts NULLs to, as a chunk number of their own.
+    """
+    cut = _without_nulls(df.withColumn(_CHUNK, chunks.expr), list(keys))
+    group = [*keys, _NULLS]
+    return cut.withColumn("_chunk_null", F.col(_CHUNK).isNull()).withColumn(
+        _CHUNK, F.coalesce(F.col(_CHUNK), _filler(cut.schema[_CHUNK].dataType))
+    ), [*group, "_chunk_null", _CHUNK], group
+
+
+def _along(group: Sequence[str], chunks: Chunks):
+    order = [F.col("_chunk_null").desc(), F.col(_CHUNK).asc()]
+    if chunks.descending:
+        order = [F.col("_chunk_null").asc(), F.col(_CHUNK).desc()]
+    return W.partitionBy(*group).orderBy(*order)
+
+
+def _finish(out: DataFrame, df: DataFrame, keys: Sequence[str], added: Sequence[Column]) -> DataFrame:
+    original = _restored(keys)
+    return out.select(*[original.get(c, F.col(c)) for c in df.columns], *added)
 
 
 def with_neighbours(
@@ -68,78 +105,108 @@ def with_neighbours(
     unique inside a key.
     """
     lag, lead = dict(lag or {}), dict(lead or {})
-    ids = [*keys, _CHUNK]
-    cut = df.withColumn(_CHUNK, chunks.expr)
+    rows, ids, group = _cut(df, keys, chunks)
+    position, along = F.struct(*order), _along(group, chunks)
+    before = F.struct(*[F.col(c).alias(n) for n, c in lag.items()]) if lag else None
+    after = F.struct(*[F.col(c).alias(n) for n, c in lead.items()]) if lead else None
+
+    edges, carried, local = [], {}, {}
     inside = W.partitionBy(*ids).orderBy(*order)
-    rows = cut
     if lag:
-        rows = rows.withColumn("_lag", F.lag(F.struct(*[F.col(c).alias(n) for n, c in lag.items()])).over(inside))
+        local["_lag"] = F.lag(before).over(inside)
+        edges.append(F.max_by(before, position).alias("_last"))
+        carried["_before"] = F.lag("_last").over(along)
     if lead:
-        rows = rows.withColumn("_lead", F.lead(F.struct(*[F.col(c).alias(n) for n, c in lead.items()])).over(inside))
+        local["_lead"] = F.lead(after).over(inside)
+        edges.append(F.min_by(after, position).alias("_first"))
+        carried["_after"] = F.lead("_first").over(along)
 
-    position = F.struct(*order)
-    edges = []
-    if lag:
-        edges.append(F.max_by(F.struct(*[F.col(c).alias(n) for n, c in lag.items()]), position).alias("_last"))
-    if lead:
-        edges.append(F.min_by(F.struct(*[F.col(c).alias(n) for n, c in lead.items()]), position).alias("_first"))
-    along = W.partitionBy(*keys).orderBy(F.col(_CHUNK).asc())
-    borders = cut.groupBy(*ids).agg(*edges)
-    carried = list(ids)
-    if lag:
-        borders = borders.withColumn("_before", F.lag("_last").over(along))
-        carried.append("_before")
-    if lead:
-        borders = borders.withColumn("_after", F.lead("_first").over(along))
-        carried.append("_after")
+    borders = rows.groupBy(*ids).agg(*edges).withColumns(carried).select(*ids, *carried)
+    out = rows.withColumns(local).join(borders, ids, "left")
+
+    def pick(near: str, far: str, name: str) -> Column:
+        return F.when(F.col(near).isNotNull(), F.col(f"{near}.{name}")).otherwise(F.col(f"{far}.{name}")).alias(name)
 
-    out = _attach(rows, borders.select(*carried), ids)
-    columns = [F.col(c) for c in df.columns]
-    columns += [
-        F.when(F.col("_lag").isNotNull(), F.col(f"_lag.{n}")).otherwise(F.col(f"_before.{n}")).alias(n) for n in lag
-    ]
-    columns += [
-        F.when(F.col("_lead").isNotNull(), F.col(f"_lead.{n}")).otherwise(F.col(f"_after.{n}")).alias(n) for n in lead
-    ]
-    return out.select(*columns)
+    added = [pick("_lag", "_before", n) for n in lag] + [pick("_lead", "_after", n) for n in lead]
+    return _finish(out, df, keys, added)
+
+
+def with_row_number(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: Chunks, out: str = "row_number"
+) -> DataFrame:
+    """Position of each row of a key in ascending ``order``, which must be unique inside a key."""
+    rows, ids, group = _cut(df, keys, chunks)
+    earlier = _along(group, chunks).rowsBetween(W.unboundedPreceding, -1)
+    sizes = (
+        rows.groupBy(*ids)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*ids, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"))
+    )
+    inside = W.partitionBy(*ids).orderBy(*order)
+    joined = rows.withColumn("_row", F.row_number().over(inside)).join(sizes, ids, "left")
+    return _finish(joined, df, keys, [(F.col("_row") + F.col("_n0")).alias(out)])
 
 
 def with_ranks(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    value: str,
     chunks: Chunks,
-    tie_break: Sequence[Column] = (),
-    row_number: str | None = None,
     rank: str | None = None,
     dense_rank: str | None = None,
 ) -> DataFrame:
-    """row_number, rank and dense_rank per key; all ties must fall into one chunk."""
-    ids = [*keys, _CHUNK]
-    ranked = W.partitionBy(*ids).orderBy(*order)
-    numbered = W.partitionBy(*ids).orderBy(*order, *tie_break)
-    rows = (
-        df.withColumn(_CHUNK, chunks.expr)
-        .withColumn("_rank", F.rank().over(ranked))
-        .withColumn("_dense", F.dense_rank().over(ranked))
-        .withColumn("_row", F.row_number().over(numbered))
-    )
-    earlier = W.partitionBy(*keys).orderBy(chunks.ordering()).rowsBetween(W.unboundedPreceding, -1)
+    """rank and dense_rank of ``value`` inside each key.
+
+    They depend only on how often each value occurs, so values are counted first
+    and the ranks of distinct values are joined back.
+    """
+    rows = _without_nulls(df, [*keys, value])
+    ids = [*keys, value, _NULLS]
+    counts = rows.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n"))
+    # NULL values are told by their bit in ``_nulls``; the rest of the mask belongs to the keys.
+    is_null = F.col(_NULLS).bitwiseAND(F.lit(1 << len(keys))) != 0
+    counts = counts.withColumns(
+        {"_key_nulls": F.col(_NULLS).bitwiseAND(F.lit((1 << len(keys)) - 1)), "_value_null": is_null}
+    ).withColumn(_CHUNK, F.coalesce(chunks.expr, F.lit(0)))
+    group = [*keys, "_key_nulls"]
+    chunk_ids = [*group, "_value_null", _CHUNK]
+    if chunks.descending:
+        near, far = F.col(value).desc(), [F.col("_value_null").asc(), F.col(_CHUNK).desc()]
+    else:
+        near, far = F.col(value).asc(), [F.col("_value_null").desc(), F.col(_CHUNK).asc()]
+    inside = W.partitionBy(*chunk_ids).orderBy(near)
+    preceding = inside.rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(*group).orderBy(*far).rowsBetween(W.unboundedPreceding, -1)
     totals = (
-        rows.groupBy(*ids)
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("_dense").alias("_d"))
+        counts.groupBy(*chunk_ids)
+        .agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_d"))
         .select(
-            *ids,
+            *chunk_ids,
             F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"),
             F.coalesce(F.sum("_d").over(earlier), F.lit(0)).alias("_d0"),
         )
     )
-    out = _attach(rows, totals, ids)
-    columns = [F.col(c) for c in df.columns]
-    for name, local, base in ((row_number, "_row", "_n0"), (rank, "_rank", "_n0"), (dense_rank, "_dense", "_d0")):
-        if name:
-            columns.append((F.col(local) + F.col(base)).alias(name))
-    return out.select(*columns)
+    ranked = (
+        counts.withColumns(
+            {"_before": F.coalesce(F.sum("_n").over(preceding), F.lit(0)), "_dense": F.row_number().over(inside)}
+        )
+        .join(totals, chunk_ids, "left")
+        .select(
+            *ids,
+            (F.col("_before") + F.col("_n0") + 1).alias("_rank"),
+            (F.col("_dense") + F.col("_d0")).alias("_dense_rank"),
+        )
+    )
+    added = [F.col(c).alias(n) for n, c in ((rank, "_rank"), (dense_rank, "_dense_rank")) if n]
+    return _finish(rows.join(ranked, ids, "left"), df, [*keys, value], added)
+
+
+def _running_columns(avg: str | None, total: str | None, count: str | None) -> list[Column]:
+    n = F.coalesce(F.col("_c"), F.lit(0)) + F.coalesce(F.col("_c0"), F.lit(0))
+    both = F.coalesce(F.col("_s"), F.lit(0)) + F.coalesce(F.col("_s0"), F.lit(0))
+    s = F.when(F.col("_s").isNotNull() | F.col("_s0").isNotNull(), both)
+    named = ((avg, s / F.nullif(n, F.lit(0))), (total, s), (count, n))
+    return [column.alias(name) for name, column in named if name]
 
 
 def with_running(
@@ -151,42 +218,68 @@ def with_running(
     avg: str | None = None,
     total: str | None = None,
     count: str | None = None,
-    share_ties: bool = True,
 ) -> DataFrame:
-    """Running average, sum and count of ``value`` from the first row of the key to this row.
+    """Running average, sum and count of ``value`` up to this row (a ROWS frame).
 
-    With ``share_ties`` rows equal in ``order`` see the same value (the default
-    RANGE frame); without it each row ends its own frame (a ROWS frame).
+    ``order`` must be unique inside a key.
     """
-    ids = [*keys, _CHUNK]
-    inside = W.partitionBy(*ids).orderBy(*order)
-    if not share_ties:
-        inside = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = (
-        df.withColumn(_CHUNK, chunks.expr)
-        .withColumn("_s", F.sum(value).over(inside))
-        .withColumn("_c", F.count(value).over(inside))
-    )
-    earlier = W.partitionBy(*keys).orderBy(chunks.ordering()).rowsBetween(W.unboundedPreceding, -1)
+    rows, ids, group = _cut(df, keys, chunks)
+    inside = W.partitionBy(*ids).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    earlier = _along(group, chunks).rowsBetween(W.unboundedPreceding, -1)
     totals = (
-        df.withColumn(_CHUNK, chunks.expr)
-        .groupBy(*ids)
+        rows.groupBy(*ids)
         .agg(F.sum(value).alias("_ts"), F.count(value).alias("_tc"))
         .select(*ids, F.sum("_ts").over(earlier).alias("_s0"), F.sum("_tc").over(earlier).alias("_c0"))
     )
-    out = _attach(rows, totals, ids)
-    n = F.col("_c") + F.coalesce(F.col("_c0"), F.lit(0))
-    s = F.when(F.col("_s").isNull() & F.col("_s0").isNull(), None).otherwise(
-        F.coalesce(F.col("_s"), F.lit(0)) + F.coalesce(F.col("_s0"), F.lit(0))
+    local = {"_s": F.sum(value).over(inside), "_c": F.count(value).over(inside)}
+    out = rows.withColumns(local).join(totals, ids, "left")
+    return _finish(out, df, keys, _running_columns(avg, total, count))
+
+
+def with_running_ties(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    chunks: Chunks,
+    value: str,
+    avg: str | None = None,
+    total: str | None = None,
+    count: str | None = None,
+) -> DataFrame:
+    """The same with the default RANGE frame: rows equal in ``order`` share one result.
+
+    Rows of one position are summed first, the running values of the positions are joined back.
+    """
+    rows = _without_nulls(df, [*keys, order])
+    ids = [*keys, order, _NULLS]
+    per_position = rows.groupBy(*ids).agg(F.sum(value).alias("_ps"), F.count(value).alias("_pc"))
+    cut = per_position.withColumns(
+        {
+            "_key_nulls": F.col(_NULLS).bitwiseAND(F.lit((1 << len(keys)) - 1)),
+            "_order_null": F.col(_NULLS).bitwiseAND(F.lit(1 << len(keys))) != 0,
+            _CHUNK: chunks.expr,
+        }
+    )
+    group = [*keys, "_key_nulls"]
+    chunk_ids = [*group, "_order_null", _CHUNK]
+    inside = W.partitionBy(*chunk_ids).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    earlier = (
+        W.partitionBy(*group).orderBy(F.col("_order_null").desc(), F.col(_CHUNK).asc())
+        .rowsBetween(W.unboundedPreceding, -1)
+    )
+    totals = (
+        cut.groupBy(*chunk_ids)
+        .agg(F.sum("_ps").alias("_ts"), F.sum("_pc").alias("_tc"))
+        .select(*chunk_ids, F.sum("_ts").over(earlier).alias("_s0"), F.sum("_tc").over(earlier).alias("_c0"))
+    )
+    running = (
+        cut.withColumns({"_s": F.sum("_ps").over(inside), "_c": F.sum("_pc").over(inside)})
+        .join(totals, chunk_ids, "left")
+        .select(*ids, *_running_columns("_avg", "_total", "_count"))
     )
-    columns = [F.col(c) for c in df.columns]
-    if avg:
-        columns.append((s / F.nullif(n, F.lit(0))).alias(avg))
-    if total:
-        columns.append(s.alias(total))
-    if count:
-        columns.append(n.alias(count))
-    return out.select(*columns)
+    named = ((avg, "_avg"), (total, "_total"), (count, "_count"))
+    added = [F.col(c).alias(n) for n, c in named if n]
+    return _finish(rows.join(running, ids, "left"), df, [*keys, order], added)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:

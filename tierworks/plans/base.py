@@ -23,8 +23,12 @@ def kpi(spark: SparkSession, d: str, require_valid: bool = True) -> DataFrame:
     return gold.daily_sensor_kpi(silver_readings(spark, d), require_valid)
 
 
+def stats(spark: SparkSession, d: str) -> DataFrame:
+    return gold.daily_sensor_stats(silver_readings(spark, d))
+
+
 def alerts(spark: SparkSession, d: str) -> DataFrame:
-    return spc.sensor_alerts(kpi(spark, d))
+    return spc.sensor_alerts(stats(spark, d))
 
 
 def staged_orders(spark: SparkSession, d: str) -> DataFrame:

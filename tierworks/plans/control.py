@@ -48,7 +48,7 @@ def between(spark: SparkSession, d: str) -> DataFrame:
 
 @query("dq_05_one_sided", sql("SELECT kpi_sk, total_readings FROM kpi WHERE total_readings < 2", "kpi"))
 def one_sided(spark: SparkSession, d: str) -> DataFrame:
-    return quality.check_between(base.kpi(spark, d), "total_readings", lo=2).select("kpi_sk", "total_readings")
+    return quality.check_between(base.stats(spark, d), "total_readings", lo=2).select("kpi_sk", "total_readings")
 
 
 @query("dq_06_custom_test", sql("""SELECT 'max_below_min' AS test_name, 'warn' AS severity, count(*) FILTER (WHERE max_reading < avg_reading
@@ -58,7 +58,7 @@ def one_sided(spark: SparkSession, d: str) -> DataFrame:
  CASE WHEN count(*) FILTER (WHERE status = 'CANCELLED') = 0 THEN 'PASS' ELSE 'ERROR' END FROM erp_orders""", "kpi", "erp_orders"))
 def custom_test(spark: SparkSession, d: str) -> DataFrame:
     one = quality.check_sql(
-        base.kpi(spark, d), "max_below_min",
+        base.stats(spark, d), "max_below_min",
         "max_reading + 1e-9 < avg_reading OR min_reading - 1e-9 > avg_reading", "warn",
     )
     return one.unionByName(quality.check_sql(base.staged_orders(spark, d), "cancelled_orders", "status = 'CANCELLED'"))
@@ -390,7 +390,7 @@ def parse_status(spark: SparkSession, d: str) -> DataFrame:
 def anomaly_score_sql(spark: SparkSession, d: str) -> DataFrame:
     business.register(spark)
     dated = base.silver_readings(spark, d).withColumn("kpi_date", F.to_date("reading_timestamp"))
-    stats = base.kpi(spark, d).select("sensor_id", "kpi_date", "avg_reading", "stddev_reading")
+    stats = base.stats(spark, d).select("sensor_id", "kpi_date", "avg_reading", "stddev_reading")
     return dated.join(stats, ["sensor_id", "kpi_date"]).select(
         "sensor_id", "reading_timestamp",
         F.expr("anomaly_score(reading_value, avg_reading, stddev_reading)").alias("score"),
@@ -445,7 +445,7 @@ def partner_kpi(spark: SparkSession, d: str) -> DataFrame:
 @query("ops_01_audit_row", sql("""SELECT CAST(1 AS BIGINT) AS log_id, 'MERGE_SENSOR_KPI' AS procedure_name, 'SUCCESS' AS status,
  count(*) AS row_count, TIMESTAMP '2024-02-01 00:00:00' AS executed_at, CAST(NULL AS VARCHAR) AS error_message FROM kpi""", "kpi"))
 def audit_row(spark: SparkSession, d: str) -> DataFrame:
-    return operations.audit_row(base.kpi(spark, d), "MERGE_SENSOR_KPI", "SUCCESS", b.AS_OF, log_id=1)
+    return operations.audit_row(base.stats(spark, d), "MERGE_SENSOR_KPI", "SUCCESS", b.AS_OF, log_id=1)
 
 
 @query("ops_02_run_alerts", sql("""SELECT procedure_name, status, error_message, executed_at, minutes_since_last_run,

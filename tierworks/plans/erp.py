@@ -257,7 +257,7 @@ def revenue(spark: SparkSession, d: str) -> DataFrame:
  UNION ALL SELECT 'quality_score_pct', {stable("count(*) FILTER (WHERE quality_flag IN ('PASS', 'WARN')) * 100.0 / count(*)", 4)}
  FROM silver""", "kpi", "revenue", "silver"))
 def metrics(spark: SparkSession, d: str) -> DataFrame:
-    out = gold.named_metrics(base.kpi(spark, d), base.revenue(spark, d), base.silver_readings(spark, d))
+    out = gold.named_metrics(base.stats(spark, d), base.revenue(spark, d), base.silver_readings(spark, d))
     places = F.when(F.col("metric") == "total_daily_revenue", 2).otherwise(4)
     return out.withColumn(
         "value", F.when(places == 2, stable_round("value", 2)).otherwise(stable_round("value", 4))

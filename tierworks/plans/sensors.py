@@ -266,7 +266,7 @@ def hourly(spark: SparkSession, d: str) -> DataFrame:
     return rounded(df, ["avg_value"])
 
 
-@query("agg_09_reading_lists", sql("""SELECT sensor_id, slot_start,
+@query("agg_09_reading_lists", sql("""SELECT sensor_id, slot_start, CAST(0 AS BIGINT) AS page,
  coalesce(array_to_string(list_transform(vals, lambda x: CAST(CAST(x AS DECIMAL(10, 2)) AS VARCHAR)), ','), '') AS all_readings,
  statuses AS unique_statuses, CAST(coalesce(len(vals), 0) AS INTEGER) AS reading_count FROM lists""", "lists"))
 def reading_lists(spark: SparkSession, d: str) -> DataFrame:
@@ -361,7 +361,7 @@ def running_rows(spark: SparkSession, d: str) -> DataFrame:
 @query("win_05_previous_day", sql(f"""SELECT kpi_sk, sensor_id, kpi_date, {rounds(['prev_stddev', 'prev_avg', 'prev_max'])}
  FROM with_prev""", "with_prev"))
 def previous_day(spark: SparkSession, d: str) -> DataFrame:
-    df = spc.with_previous_day(base.kpi(spark, d))
+    df = spc.with_previous_day(base.stats(spark, d))
     names = ["prev_stddev", "prev_avg", "prev_max"]
     return rounded(df.select("kpi_sk", "sensor_id", "kpi_date", *names), names)
 
@@ -472,7 +472,7 @@ def configured_limits(spark: SparkSession, d: str) -> DataFrame:
         F.when(group == 0, F.lit(40.0)).alias("unstable_above"),
         F.when(group == 1, F.lit(0.4)).alias("noisy_cv"),
     )
-    out = spc.sensor_alerts_with(base.kpi(spark, d), limits)
+    out = spc.sensor_alerts_with(base.stats(spark, d), limits)
     return out.select("alert_sk", "stability_level", "signal_quality", "alert_severity")
 
 
@@ -520,7 +520,7 @@ def correlated(spark: SparkSession, d: str) -> DataFrame:
  ELSE {stable('abs((reading_value - avg_reading) / stddev_reading)', 4)} END AS anomaly_score
  FROM silver r JOIN kpi k ON r.sensor_id = k.sensor_id AND CAST(r.reading_timestamp AS DATE) = k.kpi_date""", "silver", "kpi"))
 def anomaly(spark: SparkSession, d: str) -> DataFrame:
-    df = spc.reading_scores(base.silver_readings(spark, d), base.kpi(spark, d))
+    df = spc.reading_scores(base.silver_readings(spark, d), base.stats(spark, d))
     return df.select("sensor_id", "reading_timestamp", "anomaly_score")
 
 
