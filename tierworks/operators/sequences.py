@@ -106,20 +106,24 @@ def with_neighbours(
     """
     lag, lead = dict(lag or {}), dict(lead or {})
     rows, ids, group = _cut(df, keys, chunks)
-    position, along = F.struct(*order), _along(group, chunks)
-    before = F.struct(*[F.col(c).alias(n) for n, c in lag.items()]) if lag else None
-    after = F.struct(*[F.col(c).alias(n) for n, c in lead.items()]) if lead else None
+    along, inside = _along(group, chunks), W.partitionBy(*ids).orderBy(*order)
 
-    edges, carried, local = [], {}, {}
-    inside = W.partitionBy(*ids).orderBy(*order)
+    # Edge values of each chunk.  One plain order column keeps this a hash aggregation.
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+    def edge(choose, column: str) -> Column:
+        # Only a row without any position, alone in its chunk, is not found by its position.
+        return F.when(F.count(position) > 0, choose(column, position)).otherwise(F.any_value(column))
+
+    edges = [edge(F.max_by, c).alias(f"_last_{n}") for n, c in lag.items()]
+    edges += [edge(F.min_by, c).alias(f"_first_{n}") for n, c in lead.items()]
+    local, carried = {}, {}
     if lag:
-        local["_lag"] = F.lag(before).over(inside)
-        edges.append(F.max_by(before, position).alias("_last"))
-        carried["_before"] = F.lag("_last").over(along)
+        local["_lag"] = F.lag(F.struct(*[F.col(c).alias(n) for n, c in lag.items()])).over(inside)
+        carried["_before"] = F.lag(F.struct(*[F.col(f"_last_{n}").alias(n) for n in lag])).over(along)
     if lead:
-        local["_lead"] = F.lead(after).over(inside)
-        edges.append(F.min_by(after, position).alias("_first"))
-        carried["_after"] = F.lead("_first").over(along)
+        local["_lead"] = F.lead(F.struct(*[F.col(c).alias(n) for n, c in lead.items()])).over(inside)
+        carried["_after"] = F.lead(F.struct(*[F.col(f"_first_{n}").alias(n) for n in lead])).over(along)
 
     borders = rows.groupBy(*ids).agg(*edges).withColumns(carried).select(*ids, *carried)
     out = rows.withColumns(local).join(borders, ids, "left")

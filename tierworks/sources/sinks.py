@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierworks.operators.sequences import first_rows
 from tierworks.session import ensure_table
 from tierworks.sources.files import list_files
 
@@ -158,6 +159,64 @@ def read_last_good(spark: SparkSession, path: str, backup_path: str, gate_passed
     return read_as_of(spark, source).withColumn("_is_cached", F.lit(not gate_passed))
 
 
+# --- tables merged by key --------------------------------------------------------------------
+#
+# path/_bucket=B/_version=N/ holds the rows of one key bucket since version N, path/_log/ says
+# which buckets each version replaced.  A merge rewrites only the buckets it touches.
+
+LOG = "_bucket int, _version int, txn string"
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """Current rows: of every bucket its newest version.
+
+    The list of live versions has one row per bucket, so it can be broadcast, and
+    it prunes the folders that are read.
+    """
+    live = spark.read.schema(LOG).parquet(f"{path}/_log").groupBy("_bucket").agg(F.max("_version").alias("_version"))
+    return spark.read.parquet(path).join(F.broadcast(live), ["_bucket", "_version"]).drop("_bucket", "_version")
+
+
+def merge_buckets(
+    batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (), txn: str | None = None, buckets: int = 32
+) -> None:
+    """Merge rows into a table: of all rows of a key the last by ``order`` stays, a new one wins a tie.
+
+    ``txn`` makes a repeated merge of the same batch a no-op.  The log is written
+    last: what a stopped merge left behind is not in it, and a repeated one replaces it.
+    """
+    spark = batch.sparkSession
+    log = ensure_table(spark, f"{path}/_log", LOG)
+    if txn is not None and not log.filter(F.col("txn") == txn).isEmpty():
+        return
+    last = log.agg(F.max("_version")).first()[0]
+    version = 0 if last is None else last + 1
+    newest = [F.col(c).desc_nulls_last() for c in order]
+    rows = first_rows(batch, keys, newest or [F.lit(1)]).withColumns(
+        {"_new": F.lit(1), "_bucket": key_bucket(keys, buckets)}
+    )
+    touched = batch.select(key_bucket(keys, buckets).alias("_bucket")).distinct()
+    if last is not None:
+        live = log.groupBy("_bucket").agg(F.max("_version").alias("_version")).join(F.broadcast(touched), "_bucket")
+        current = spark.read.parquet(path).join(F.broadcast(live), ["_bucket", "_version"])
+        rows = current.drop("_version").withColumn("_new", F.lit(0)).unionByName(rows)
+    # One shuffle by bucket serves both the choice per key and the writing of one file per bucket.
+    merged = first_rows(rows.repartition("_bucket"), ["_bucket", *keys], [*newest, F.col("_new").desc()])
+    (
+        merged.drop("_new").withColumn("_version", F.lit(version))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_bucket", "_version")
+        .parquet(path)
+    )
+    entries = touched.select("_bucket", F.lit(version).alias("_version"), F.lit(txn).cast("string").alias("txn"))
+    entries.coalesce(1).write.mode("append").parquet(f"{path}/_log")
+
+
 def append_checked(df: DataFrame, path: str, predicate: str) -> None:
     """Append a batch only if every row satisfies the constraint; otherwise nothing is written.
 

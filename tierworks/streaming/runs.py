@@ -10,31 +10,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tierworks.operators.merge import merge_upsert
-from tierworks.operators.sequences import first_rows
-from tierworks.sources.sinks import history, latest_version, publish_version, read_as_of
+from tierworks.sources.sinks import merge_buckets, publish_version, read_as_of, read_buckets
 from tierworks.streaming.streams import file_stream
 
 BATCH_TIME = "1970-01-01 00:00:00"
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[None]:
-    """State is split once, at the first start of a query: by default into as many parts as the cluster has cores."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(n or spark.sparkContext.defaultParallelism))
+def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings a stateful query takes over at its start.
+
+    State is split once, by default into as many parts as the cluster has cores.
+    Sessions are merged before the shuffle too, so a busy key sends few rows.
+    """
+    settings = {
+        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def start_append(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Append to Parquet: everything available and stop, or micro-batches every ``interval``."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    with state_partitions(stream.sparkSession):
+    with state_settings(stream.sparkSession):
         return writer.start(path)
 
 
@@ -75,43 +82,32 @@ def run_complete(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 
 
 def run_update(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> DataFrame:
-    """Update mode: changed rows of each batch are merged into the table by key."""
-    _run_batches(stream, "update", _merge_into(path, keys), checkpoint)
-    return read_as_of(stream.sparkSession, path)
+    """Update mode: changed rows of each batch replace the table's rows of the same keys."""
+    return _merge_stream(stream, "update", path, checkpoint, keys, ())
 
 
 def stream_upsert(stream: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], checkpoint: str) -> DataFrame:
-    """Merge a stream of rows into a table exactly once per batch; the newest row of a key wins."""
-    _run_batches(stream, "append", _merge_into(path, keys, order), checkpoint)
-    return read_as_of(stream.sparkSession, path)
-
+    """Merge a stream of rows into a table exactly once per batch; the newest row of a key stays."""
+    return _merge_stream(stream, "append", path, checkpoint, keys, order)
 
-def _merge_into(path: str, keys: Sequence[str], order: Sequence[str] = ()):
-    """Batch writer: merge into the newest version unless this batch already made one."""
 
+def _merge_stream(
+    stream: DataFrame, mode: str, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        txn = f"batch-{batch_id}"
-        last = latest_version(spark, path)
-        if last is not None and not history(spark, path).filter(F.col("txn") == txn).isEmpty():
-            return
-        rows = first_rows(batch, keys, [F.col(c).desc() for c in order]) if order else batch
-        if last is None:
-            merged = rows
-        else:
-            target = read_as_of(spark, path, version=last)
-            if order:
-                # An older late row must not replace a newer one.
-                merged = first_rows(target.unionByName(rows), keys, [F.col(c).desc() for c in order])
-            else:
-                merged = merge_upsert(target, rows, keys, strict=False)
-        publish_version(merged, path, BATCH_TIME, operation="MERGE", txn=txn)
-
-    return write
+        batch.persist()  # read several times below, and its state must be touched once
+        try:
+            if not batch.isEmpty():
+                merge_buckets(batch, path, keys, order, txn=f"batch-{batch_id}")
+        finally:
+            batch.unpersist()
+
+    _run_batches(stream, mode, write, checkpoint)
+    return read_buckets(stream.sparkSession, path)
 
 
 def _run_batches(stream: DataFrame, mode: str, write, checkpoint: str) -> None:
-    with state_partitions(stream.sparkSession):
+    with state_settings(stream.sparkSession):
         query = (
             stream.writeStream.outputMode(mode)
             .foreachBatch(write)
