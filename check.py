@@ -70,7 +70,10 @@ def compare(spark, con, folder: str, query) -> str | None:
 def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     parts = sys.argv[2:]
-    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions=8, spark__driver__memory="8g")
+    spark = build_session(
+        "check", "local[8]", spark__sql__shuffle__partitions=8, spark__driver__memory="8g",
+        spark__ui__showConsoleProgress="false",
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0

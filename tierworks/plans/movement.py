@@ -105,6 +105,24 @@ def generated_orders(spark: SparkSession, d: str) -> DataFrame:
     return generate.orders_from(ids, seed=7)
 
 
+@query("src_13_generated_order_keys", """SELECT 'ORD-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS order_id,
+ 'MAT-' || lpad(CAST(o_orderkey % 5000 AS VARCHAR), 5, '0') AS material_id,
+ 'VND-' || lpad(CAST(o_orderkey % 200 AS VARCHAR), 4, '0') AS vendor_id,
+ 'CUST-' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 5, '0') AS customer_id,
+ CASE o_orderkey % 5 WHEN 0 THEN 'PLT-BKK' WHEN 1 THEN 'PLT-SGP' WHEN 2 THEN 'PLT-HKG' WHEN 3 THEN 'PLT-TYO' ELSE 'PLT-SYD' END AS plant_code,
+ CASE o_orderkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'THB' WHEN 2 THEN 'SGD' ELSE 'JPY' END AS currency,
+ true AS quantity_in_range, true AS total_adds_up, true AS delivered_later FROM orders""")
+def generated_order_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Columns which follow from the id, and the limits the other ones keep."""
+    total = F.abs(F.col("total_amount") - F.col("quantity") * F.col("unit_price")) < 0.006
+    days = F.datediff("delivery_date", "order_date")
+    return generated_orders(spark, d).select(
+        "order_id", "material_id", "vendor_id", "customer_id", "plant_code", "currency",
+        F.col("quantity").between(1, 1000).alias("quantity_in_range"),
+        total.alias("total_adds_up"), days.between(1, 30).alias("delivered_later"),
+    )
+
+
 @query("src_13_generated_readings")
 def generated_readings(spark: SparkSession, d: str) -> DataFrame:
     ids = b.table(spark, d, "events").select(F.col("event_id").alias("id"))
