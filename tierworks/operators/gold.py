@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tierworks.functions.business import stable_round
 from tierworks.functions.keys import row_number_value, surrogate_key
-from tierworks.operators.quantiles import HOT_ROWS, aggregate_with_quantiles
+from tierworks.operators.quantiles import aggregate_with_quantiles
 from tierworks.operators.sequences import by_time, first_rows, with_row_number
 from tierworks.operators.silver import promotable
+from tierworks.operators.skew import HOT_ROWS, busy_keys
 
 
 def count_where(condition: Column) -> Column:
@@ -121,7 +122,7 @@ def hourly_agg(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataF
 
 
 def reading_lists(
-    df: DataFrame, keys: Sequence[str], ts: str, unit: str = "hour", page_rows: int = 10_000
+    df: DataFrame, keys: Sequence[str], ts: str, unit: str = "hour", page_rows: int = 10_000, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Readings of each key as arrays in time order.
 
@@ -129,11 +130,15 @@ def reading_lists(
     readings: no array and no task holds an unbounded group, and together the
     pages hold every reading.  ``ts`` must be unique inside a key.
     """
-    slotted = df.select(
-        *keys, "reading_value", "status", ts, F.date_trunc(unit, ts).cast("timestamp_ntz").alias("slot_start")
-    )
-    numbered = with_row_number(slotted, [*keys, "slot_start"], [ts], by_time(ts, "minute"), "_row")
-    page = F.floor((F.col("_row") - 1) / page_rows).alias("page")
+    slot = F.date_trunc(unit, ts).cast("timestamp_ntz").alias("slot_start")
+    slotted = df.select(*keys, "reading_value", "status", ts, slot)
+    groups = [*keys, "slot_start"]
+    if busy_keys(slotted, groups, page_rows) is None:
+        numbered, page = slotted, F.lit(0).cast("bigint").alias("page")
+    else:
+        busy = busy_keys(slotted, groups, hot_rows)
+        numbered = with_row_number(slotted, groups, [ts], by_time(ts, "minute"), "_row", busy)
+        page = F.floor((F.col("_row") - 1) / page_rows).alias("page")
     entries = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("t"), F.col("reading_value").alias("v"))))
     return (
         numbered.groupBy(*keys, "slot_start", page)

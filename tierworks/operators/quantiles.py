@@ -14,20 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000
-SKETCH_ACCURACY = 100_000
-
-
-def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
-    return condition
-
+from tierworks.operators.skew import HOT_ROWS, busy_keys, by_size, same_keys
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Groups with more than ``hot_rows`` rows; never more than rows / hot_rows of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+SKETCH_ACCURACY = 100_000
 
 
 def hot_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
@@ -44,7 +33,7 @@ def hot_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping
     )
 
     # Count exactly what lies below and up to each bracket.
-    joined = values.alias("v").join(F.broadcast(sketch).alias("s"), _same_keys("v", "s", keys))
+    joined = values.alias("v").join(F.broadcast(sketch).alias("s"), same_keys("v", "s", keys))
     counts = []
     for i, _ in enumerate(names):
         low, high = F.col("s._edges")[2 * i], F.col("s._edges")[2 * i + 1]
@@ -76,7 +65,7 @@ def hot_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping
         values.alias("v")
         .join(
             F.broadcast(targets).alias("t"),
-            _same_keys("v", "t", keys) & F.col("v._v").between(F.col("t.lo"), F.col("t.hi")),
+            same_keys("v", "t", keys) & F.col("v._v").between(F.col("t.lo"), F.col("t.hi")),
         )
         .groupBy(*[F.col(f"v.{k}").alias(k) for k in keys], "t.q", "t.position", "t.below", "v._v")
         .agg(F.count(F.lit(1)).alias("_c"))
@@ -112,23 +101,20 @@ def aggregate_with_quantiles(
     asked first by counting ``sizes``: fewer columns which bound the groups from
     above (by default the keys).  Only the yes or no reaches the driver.
     """
-    quantiles = [F.percentile(value, p).alias(n) for n, p in probs.items()]
     bounds = df.select(*keys) if sizes is None else sizes
-    if hot_groups(bounds, bounds.columns, hot_rows).isEmpty():
-        return df.groupBy(*keys).agg(*others, *quantiles)
-    hot = hot_groups(df, keys, hot_rows)
-    marker = F.broadcast(hot).alias("h")
-    cold = df.alias("d").join(marker, _same_keys("d", "h", keys), "left_anti")
-    busy = df.alias("d").join(marker, _same_keys("d", "h", keys), "left_semi")
-    base = busy.groupBy(*keys).agg(*others)
-    exact = hot_quantiles(busy, keys, value, probs)
-    names = [c for c in base.columns if c not in keys]
-    large = (
-        base.alias("b")
-        .join(exact.alias("e"), _same_keys("b", "e", keys), "left")
-        .select(
-            *[F.col(f"b.{c}").alias(c) for c in [*keys, *names]],
-            *[F.col(f"e.{n}").alias(n) for n in probs],
-        )
-    )
-    return cold.groupBy(*keys).agg(*others, *quantiles).unionByName(large)
+    # One percentile call with all probabilities keeps one map of values per group.
+    several = F.percentile(value, list(probs.values())).alias("_q")
+    picked = [F.col("_q")[i].alias(n) for i, n in enumerate(probs)]
+
+    def plain(rows: DataFrame) -> DataFrame:
+        out = rows.groupBy(*keys).agg(*others, several)
+        return out.select(*[c for c in out.columns if c != "_q"], *picked)
+
+    def bracketed(rows: DataFrame) -> DataFrame:
+        base, exact = rows.groupBy(*keys).agg(*others), hot_quantiles(rows, keys, value, probs)
+        joined = base.alias("b").join(exact.alias("e"), same_keys("b", "e", keys), "left")
+        return joined.select("b.*", *[F.col(f"e.{n}").alias(n) for n in probs])
+
+    if busy_keys(bounds, bounds.columns, hot_rows) is None:
+        return plain(df)
+    return by_size(df, keys, busy_keys(df, keys, hot_rows), plain, bracketed)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierworks.functions.keys import row_hash, surrogate_key
 from tierworks.operators import sequences as seq
+from tierworks.operators.skew import HOT_ROWS, busy_keys
 from tierworks.schemas import OPEN_END
 
 
@@ -35,21 +36,21 @@ def detect_changes(source: DataFrame, history: DataFrame, key: str, tracked: Seq
     return hashed.join(current, F.col(key) == F.col("_key"), "left").withColumn("change", label).drop("_key", "_hash")
 
 
-def scd2_build(versions: DataFrame, key: str, tracked: Sequence[str], ts: str, unit: str = "month") -> DataFrame:
+def scd2_build(
+    versions: DataFrame, key: str, tracked: Sequence[str], ts: str, unit: str = "day", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """History from a batch of versions.
 
     Consecutive versions with equal tracked values collapse into one; each version
-    ends where the next one starts, the last one is open.  Neighbours are found
-    per (key, ``unit``) chunk, so a key with very many versions stays spread.
+    ends where the next one starts, the last one is open.  Keys with very many
+    versions are spread over chunks of one ``unit``.
     """
-    hashed = versions.withColumn("row_hash", row_hash(tracked))
-    hashed = hashed.dropDuplicates([key, ts, "row_hash"])
-    chunks = seq.by_time(ts, unit)
-    steps = seq.with_neighbours(hashed, [key], [ts, "row_hash"], chunks, lag={"_prev_hash": "row_hash"})
+    busy = busy_keys(versions, [key], hot_rows)
+    hashed = versions.withColumn("row_hash", row_hash(tracked)).dropDuplicates([key, ts, "row_hash"])
+    chunks, order = seq.by_time(ts, unit), [ts, "row_hash"]
+    steps = seq.with_neighbours(hashed, [key], order, chunks, lag={"_prev_hash": "row_hash"}, busy=busy)
     starts = steps.filter(~F.col("_prev_hash").eqNullSafe(F.col("row_hash"))).withColumn("valid_from", F.col(ts))
-    closed = seq.with_neighbours(
-        starts, [key], [ts, "row_hash"], seq.by_time(ts, unit), lead={"_next_from": "valid_from"}
-    )
+    closed = seq.with_neighbours(starts, [key], order, chunks, lead={"_next_from": "valid_from"}, busy=busy)
     return closed.select(
         surrogate_key(key, "row_hash", "valid_from").alias("version_sk"),
         key,

@@ -1,11 +1,12 @@
 """Ordered operations per key that stay spread when one key owns much of the data.
 
-A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task.  Here
-each key is cut into chunks along the order column (an hour, a value range).
-Rows are windowed inside (key, chunk); what crosses chunk borders - counts,
-sums, edge values - is carried by a table with one row per chunk, small enough
-for a plain window.  Rows equal in the order column are first counted together,
-so a frequent value costs one row.  Results equal those of the plain window.
+A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task, which is
+right for ordinary keys.  Busy keys (``skew.busy_keys``) are cut into chunks along
+the order column (an hour, a value range).  Rows are windowed inside (key, chunk);
+what crosses chunk borders - counts, sums, edge values - is carried by a table
+with one row per chunk, small enough for a plain window.  Rows equal in the order
+column are first counted together, so a frequent value costs one row.  Both ways
+give the same result.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierworks.operators.skew import by_size
+
 _CHUNK, _NULLS = "_chunk", "_nulls"
 
 
@@ -91,20 +94,14 @@ def _finish(out: DataFrame, df: DataFrame, keys: Sequence[str], added: Sequence[
     return out.select(*[original.get(c, F.col(c)) for c in df.columns], *added)
 
 
-def with_neighbours(
+def _spread_neighbours(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     chunks: Chunks,
-    lag: Mapping[str, str] | None = None,
-    lead: Mapping[str, str] | None = None,
+    lag: Mapping[str, str],
+    lead: Mapping[str, str],
 ) -> DataFrame:
-    """Add values of the previous (``lag``) and next (``lead``) row of the key.
-
-    ``lag`` and ``lead`` map new column names to source columns; ``order`` must be
-    unique inside a key.
-    """
-    lag, lead = dict(lag or {}), dict(lead or {})
     rows, ids, group = _cut(df, keys, chunks)
     along, inside = _along(group, chunks), W.partitionBy(*ids).orderBy(*order)
 
@@ -135,10 +132,9 @@ def with_neighbours(
     return _finish(out, df, keys, added)
 
 
-def with_row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: Chunks, out: str = "row_number"
+def _spread_row_number(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: Chunks, out: str
 ) -> DataFrame:
-    """Position of each row of a key in ascending ``order``, which must be unique inside a key."""
     rows, ids, group = _cut(df, keys, chunks)
     earlier = _along(group, chunks).rowsBetween(W.unboundedPreceding, -1)
     sizes = (
@@ -151,19 +147,15 @@ def with_row_number(
     return _finish(joined, df, keys, [(F.col("_row") + F.col("_n0")).alias(out)])
 
 
-def with_ranks(
+def _spread_ranks(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     chunks: Chunks,
-    rank: str | None = None,
-    dense_rank: str | None = None,
+    rank: str,
+    dense_rank: str,
 ) -> DataFrame:
-    """rank and dense_rank of ``value`` inside each key.
-
-    They depend only on how often each value occurs, so values are counted first
-    and the ranks of distinct values are joined back.
-    """
+    """Ranks depend only on how often each value occurs: distinct values are counted, ranked and joined back."""
     rows = _without_nulls(df, [*keys, value])
     ids = [*keys, value, _NULLS]
     counts = rows.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n"))
@@ -201,7 +193,7 @@ def with_ranks(
             (F.col("_dense") + F.col("_d0")).alias("_dense_rank"),
         )
     )
-    added = [F.col(c).alias(n) for n, c in ((rank, "_rank"), (dense_rank, "_dense_rank")) if n]
+    added = [F.col("_rank").alias(rank), F.col("_dense_rank").alias(dense_rank)]
     return _finish(rows.join(ranked, ids, "left"), df, [*keys, value], added)
 
 
@@ -213,20 +205,16 @@ def _running_columns(avg: str | None, total: str | None, count: str | None) -> l
     return [column.alias(name) for name, column in named if name]
 
 
-def with_running(
+def _spread_running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     chunks: Chunks,
     value: str,
-    avg: str | None = None,
-    total: str | None = None,
-    count: str | None = None,
+    avg: str | None,
+    total: str | None,
+    count: str | None,
 ) -> DataFrame:
-    """Running average, sum and count of ``value`` up to this row (a ROWS frame).
-
-    ``order`` must be unique inside a key.
-    """
     rows, ids, group = _cut(df, keys, chunks)
     inside = W.partitionBy(*ids).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = _along(group, chunks).rowsBetween(W.unboundedPreceding, -1)
@@ -240,20 +228,17 @@ def with_running(
     return _finish(out, df, keys, _running_columns(avg, total, count))
 
 
-def with_running_ties(
+def _spread_running_ties(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     chunks: Chunks,
     value: str,
-    avg: str | None = None,
-    total: str | None = None,
-    count: str | None = None,
+    avg: str | None,
+    total: str | None,
+    count: str | None,
 ) -> DataFrame:
-    """The same with the default RANGE frame: rows equal in ``order`` share one result.
-
-    Rows of one position are summed first, the running values of the positions are joined back.
-    """
+    """Rows of one position are summed first, the running values of the positions are joined back."""
     rows = _without_nulls(df, [*keys, order])
     ids = [*keys, order, _NULLS]
     per_position = rows.groupBy(*ids).agg(F.sum(value).alias("_ps"), F.count(value).alias("_pc"))
@@ -286,6 +271,92 @@ def with_running_ties(
     return _finish(rows.join(running, ids, "left"), df, [*keys, order], added)
 
 
+def with_neighbours(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    chunks: Chunks,
+    lag: Mapping[str, str] | None = None,
+    lead: Mapping[str, str] | None = None,
+    busy: DataFrame | None = None,
+) -> DataFrame:
+    """Add values of the previous (``lag``) and next (``lead``) row of the key.
+
+    ``lag`` and ``lead`` map new column names to source columns; ``order`` must be
+    unique inside a key; ``busy`` lists keys too large for one task.
+    """
+    lag, lead = dict(lag or {}), dict(lead or {})
+    w = W.partitionBy(*keys).orderBy(*order)
+    added = {n: F.lag(c).over(w) for n, c in lag.items()} | {n: F.lead(c).over(w) for n, c in lead.items()}
+    return by_size(
+        df, keys, busy,
+        lambda rows: rows.withColumns(added),
+        lambda rows: _spread_neighbours(rows, keys, order, chunks, lag, lead),
+    )
+
+
+def with_row_number(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: Chunks, out: str, busy: DataFrame | None = None
+) -> DataFrame:
+    """Position of each row of a key in ascending ``order``, which must be unique inside a key."""
+    number = F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    return by_size(
+        df, keys, busy,
+        lambda rows: rows.withColumn(out, number),
+        lambda rows: _spread_row_number(rows, keys, order, chunks, out),
+    )
+
+
+def with_ranks(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    chunks: Chunks,
+    rank: str,
+    dense_rank: str,
+    busy: DataFrame | None = None,
+) -> DataFrame:
+    """rank and dense_rank of ``value`` inside each key."""
+    w = W.partitionBy(*keys).orderBy(F.col(value).desc() if chunks.descending else F.col(value).asc())
+    added = {rank: F.rank().over(w).cast("bigint"), dense_rank: F.dense_rank().over(w).cast("bigint")}
+    return by_size(
+        df, keys, busy,
+        lambda rows: rows.withColumns(added),
+        lambda rows: _spread_ranks(rows, keys, value, chunks, rank, dense_rank),
+    )
+
+
+def with_running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    chunks: Chunks,
+    value: str,
+    avg: str | None = None,
+    total: str | None = None,
+    count: str | None = None,
+    share_ties: bool = False,
+    busy: DataFrame | None = None,
+) -> DataFrame:
+    """Running average, sum and count of ``value``.
+
+    Each row ends its own frame (ROWS), and ``order`` must be unique inside a key.
+    With ``share_ties`` rows equal in the one order column share a result (the default RANGE frame).
+    """
+    w = W.partitionBy(*keys).orderBy(*order)
+    if not share_ties:
+        w = w.rowsBetween(W.unboundedPreceding, W.currentRow)
+    measures = ((avg, F.avg(value)), (total, F.sum(value)), (count, F.count(value)))
+    added = {name: measure.over(w) for name, measure in measures if name}
+
+    def spread(rows: DataFrame) -> DataFrame:
+        if share_ties:
+            return _spread_running_ties(rows, keys, order[0], chunks, value, avg, total, count)
+        return _spread_running(rows, keys, order, chunks, value, avg, total, count)
+
+    return by_size(df, keys, busy, lambda rows: rows.withColumns(added), spread)
+
+
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:
     """The first ``n`` rows per key.
 
