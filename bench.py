@@ -36,6 +36,8 @@ def main() -> None:
             taken = time.perf_counter() - start
             best = taken if best is None else min(best, taken)
         seconds[name] = round(best, 3)
+    events = spark.read.parquet(f"{folder}/events.parquet").count()
+    per_second = {n: round(events / s) for n, s in seconds.items() if n.startswith(("spc_08", "str_"))}
     found = re.search(r"sf([\d.]+)", folder)
     print(
         json.dumps(
@@ -44,6 +46,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "events_per_second": per_second,
                 "sf": float(found.group(1)) if found else None,
                 "cpus": int(cpus),
                 "spark": spark.version,

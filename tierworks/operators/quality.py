@@ -271,35 +271,38 @@ def gate_decisions(bronze: DataFrame, silver: DataFrame, alerts: DataFrame, max_
 # --- reconciliation ----------------------------------------------------------------------
 
 
-def reconcile(source: DataFrame, bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Counts of every layer and the verdict that each row is accounted for.
+def side_by_side(**counts: DataFrame) -> DataFrame:
+    """One row of row counts of several tables.
 
-    One-row aggregates are stacked and summed, so no side is joined.
+    Each table gives a one-row aggregate; they are stacked and summed, so nothing is joined.
     """
+    parts = []
+    for name, df in counts.items():
+        n = df.agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(n.select(*[(F.col("_n") if c == name else F.lit(0)).cast("bigint").alias(c) for c in counts]))
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    return stacked.agg(*[F.sum(c).alias(c) for c in counts])
+
+
+def reconcile(source: DataFrame, bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts of every layer and the verdict that each Bronze row is accounted for.
 
-    def count(df: DataFrame, name: str) -> DataFrame:
-        names = ["source_rows", "bronze_rows", "silver_rows", "quarantined_rows", "duplicate_rows"]
-        n = F.count(F.lit(1)) if name != "duplicate_rows" else F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
-        return df.agg(n.alias("n")).select(*[(F.col("n") if c == name else F.lit(0)).cast("bigint").alias(c) for c in names])
-
-    repeated = bronze.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    stacked = (
-        count(source, "source_rows")
-        .unionByName(count(bronze, "bronze_rows"))
-        .unionByName(count(silver, "silver_rows"))
-        .unionByName(count(quarantine, "quarantined_rows"))
-        .unionByName(count(repeated, "duplicate_rows"))
+    Bronze rows are good rows, quarantined rows, or further copies of a key.
+    """
+    counts = side_by_side(
+        source_rows=source, bronze_rows=bronze, silver_rows=silver, quarantined_rows=quarantine,
+        distinct_keys=bronze.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")),
     )
-    sums = stacked.agg(*[F.sum(c).alias(c) for c in stacked.columns])
+    named = counts.withColumn("duplicate_rows", F.col("bronze_rows") - F.col("distinct_keys")).drop("distinct_keys")
     explained = F.col("silver_rows") + F.col("quarantined_rows") + F.col("duplicate_rows")
-    return sums.withColumns(
+    return named.withColumns(
         {
             "source_matches": F.col("source_rows") == F.col("bronze_rows"),
             "rows_explained": F.col("bronze_rows") == explained,
         }
-    ).withColumn(
-        "verdict", F.when(F.col("source_matches") & F.col("rows_explained"), "PASS").otherwise("FAIL")
-    )
+    ).withColumn("verdict", F.when(F.col("source_matches") & F.col("rows_explained"), "PASS").otherwise("FAIL"))
 
 
 def freshness(df: DataFrame, loaded_at: str, as_of: str, warn_hours: int = 24, error_hours: int = 48) -> DataFrame:

@@ -182,6 +182,14 @@ def reconcile(spark: SparkSession, d: str) -> DataFrame:
     return quality.reconcile(b.table(spark, d, "lineitem"), lines, good, bad, ["order_id", "line_number"])
 
 
+@query("join_10_scalar_counts", sql("""SELECT (SELECT count(*) FROM events) AS source_rows, (SELECT count(*) FROM silver) AS silver_rows,
+ (SELECT count(*) FROM kpi) AS kpi_rows""", "silver", "kpi"))
+def scalar_counts(spark: SparkSession, d: str) -> DataFrame:
+    return quality.side_by_side(
+        source_rows=b.table(spark, d, "events"), silver_rows=base.silver_readings(spark, d), kpi_rows=base.stats(spark, d)
+    )
+
+
 @query("dq_13_quarantined", sql("""SELECT sensor_reading_sk, quality_flag, CASE WHEN reading_value IS NULL THEN 'missing value'
  ELSE 'other' END AS quarantine_reason FROM silver WHERE quality_flag = 'FAIL'""", "silver"))
 def quarantined(spark: SparkSession, d: str) -> DataFrame:

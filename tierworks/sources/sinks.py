@@ -186,6 +186,7 @@ def merge_buckets(
 ) -> None:
     """Merge rows into a table: of all rows of a key the last by ``order`` stays, a new one wins a tie.
 
+    ``buckets`` is fixed by the first merge; choose it so that a bucket suits one task.
     ``txn`` makes a repeated merge of the same batch a no-op.  The log is written
     last: what a stopped merge left behind is not in it, and a repeated one replaces it.
     """
