@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierworks.operators import gold, merge, operations, silver, spc
+from tierworks.operators.sequences import first_rows
 from tierworks.operators.silver import latest_slice
 from tierworks.schemas import DEFAULT_BAND, AlertLimits, Band
 from tierworks.sources import sinks, staging
@@ -82,7 +83,8 @@ def run_medallion(bronze: DataFrame, cfg: RunConfig) -> RunResult:
         return finish(raw)
 
     cleaned = silver.clean_sensors(staging.stage_sensor(raw), cfg.band)
-    sinks.publish_version(cleaned.dropDuplicates(list(cfg.duplicate_keys)), path["silver"], cfg.at)
+    newest = [F.col("loaded_at").desc_nulls_last(), F.col("reading_value").desc_nulls_last(), F.col("status").asc()]
+    sinks.publish_version(first_rows(cleaned, list(cfg.duplicate_keys), newest), path["silver"], cfg.at)
     clean = sinks.read_as_of(spark, path["silver"])
     good, bad = merge.split_by_flag(clean, {"missing value": F.col("reading_value").isNull()})
     sinks.publish(bad, f"{quarantine}/silver")
