@@ -14,9 +14,21 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of one Arrow batch between Spark and Python, so that rows with long texts don't pile up in a task.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes as well as by rows, for this session."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name, str(2**31 - 1)).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def stored(df: DataFrame, label: str, **options) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession

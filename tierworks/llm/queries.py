@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierworks.llm import bpe, packing, token_codes
+from tierworks.llm import ann, bpe, html_text, near_dedup, packing, quality_cascade, token_codes, warc
 from tierworks.llm.common import table
 from tierworks.session import work_dir
 
@@ -37,3 +37,98 @@ def op8_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op4_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    order = quality_cascade.estimate_order(docs, quality_cascade.RULES)
+    judged = quality_cascade.cascade(quality_cascade.measured(docs), tuple(order), known=base, ordered=False)
+    failed = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
+    return judged.select("doc_id", *base, failed.alias("base_failed"), (~failed & F.col("failed_rule").isNull()).alias("kept"))
+
+
+ORACLE_SQL["op4_quality_cascade"] = r"""
+with t as (select doc_id, coalesce(text, '') as text from documents),
+w as (
+    select doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+    from t
+),
+g as (
+    select *, case when len(words) < 5 then [] else list_transform(
+        range(1, len(words) - 3), i -> words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3] || ' ' || words[i + 4]
+    ) end as grams
+    from w
+),
+u as (select row_number() over () as row, * from g),
+e as (select row, unnest(grams) as gram, unnest(range(1, len(grams) + 1)) as pos from u),
+d as (select row, pos from (select *, count(*) over (partition by row, gram) as n from e) where n > 1),
+r as (
+    select row, sum(least(5, coalesce(next - pos, 5))) as n
+    from (select *, lead(pos) over (partition by row order by pos) as next from d) group by row
+),
+f as (
+    select u.doc_id, len(words)::bigint as n_words,
+        length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols,
+        (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(r.n, 0)::bigint as n_repeat_words,
+        len(lines) as n_lines, len(regexp_extract_all(text, '[A-Z]')) as n_capitals, len(regexp_extract_all(text, '!')) as n_marks
+    from u left join r using (row)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    not (n_words < 10 or 100 * n_repeat_words > 20 * n_words or 10 * n_symbols > n_words
+        or word_chars < 2 * n_words or word_chars > 15 * n_words or 10 * n_capitals > 3 * word_chars
+        or 5 * n_marks > n_words or (n_lines > 3 and 10 * n_dup_lines > 5 * n_lines)) as kept
+from f
+"""
+
+
+@query
+def op5_hyper_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "warc")
+    warc.write_warc(warc.responses(table(spark, sf_dir, "pages")), path)
+    derived = warc.derive(warc.read_warc(spark, path))
+    head = lambda name: F.col("headers")[name]
+    return derived.select(
+        head("X-Source-Row").cast("bigint").alias("page_id"), head("WARC-Type").alias("warc_type"),
+        head("WARC-Record-ID").alias("record_id"), head("WARC-Refers-To").alias("refers_to"),
+        head("WARC-Concurrent-To").alias("concurrent_to"), head("WARC-Target-URI").alias("target_uri"),
+        head("X-Source-Payload-Digest").alias("source_payload_digest"),
+        head("X-Source-Content-Type").alias("source_content_type"), head("WARC-Block-Digest").alias("block_digest"),
+        head("Content-Type").alias("content_type"), head("Content-Length").cast("bigint").alias("content_length"),
+        F.col("block").cast("string").alias("block"),
+    )
+
+
+@query
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), "id % 100 = 0")
+
+
+ORACLE_SQL["op10_inverted_multi_index"] = """
+with v as (
+    select vec_id, list_transform(embedding, x -> x::double) as e from embeddings
+    where vec_id is not null and embedding is not null
+        and list_bool_and(list_transform(embedding, x -> x is not null and isfinite(x)))
+        and list_bool_or(list_transform(embedding, x -> x <> 0))
+),
+d as (
+    select q.vec_id as query_id, v.vec_id, sqrt(list_sum(list_transform(list_zip(q.e, v.e), p -> (p[1] - p[2]) * (p[1] - p[2])))) as score
+    from v q join v on q.vec_id % 100 = 0 and q.vec_id <> v.vec_id
+),
+r as (select *, row_number() over (partition by query_id order by score, vec_id)::int as rank from d)
+select query_id, rank, vec_id, score from r where rank <= 10
+"""
