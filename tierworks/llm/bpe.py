@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,11 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tierworks.llm.common import WORD_BPE, tokenizer_json
 
 LEAF = 16
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 1_000_000
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(rf"([{_LETTERS}]+)([!-/:-@\[-`{{-~]*)").fullmatch
 
 
 def tree_encode(symbols: str, inner, last, leaf: int = LEAF) -> list[int]:
@@ -83,10 +87,13 @@ class Encoder:
         self.separate = bool(self.suffix)
         self.leaf = leaf if tree else 1 << 62
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.bytes_only = ByteLevel(add_prefix_space=False, use_regex=False)
         self.normalizer, self.splitter = self.library.normalizer, self.library.pre_tokenizer
-        self.plain = re.compile(r"([A-Za-z]+)([.,]?)").fullmatch
-        self.young: dict[str, bytes] = _Cache(self)
-        self.old: dict[str, bytes] = {}
+        lead = "" if self.separate else self._symbols(" ")
+        self.marks: dict[str, bytes] = _Marks(self)
+        self.newline = b"" if self.separate else self._pack(self.run(self._symbols("\n")))
+        self.bare = _Cache(self, "")
+        self.spaced = _Cache(self, lead)
         names = self.library.get_vocab(with_added_tokens=True)
         self.names = dict(sorted((i, t) for t, i in names.items()))
         self.dense = [self.names.get(i) for i in range(max(self.names) + 1)] if self.names else []
@@ -107,40 +114,40 @@ class Encoder:
             return [t.id for t in self.model.tokenize(symbols)]
         return tree_encode(symbols, self._inner, self._last, self.leaf)
 
-    def stretch(self, text: str) -> bytes:
+    def _symbols(self, text: str) -> str:
+        """The byte symbols of a text that needs no splitting."""
+        return text if text.isascii() and text.isalpha() else "".join(p for p, _ in self.bytes_only.pre_tokenize_str(text))
+
+    @staticmethod
+    def _pack(ids: list[int]) -> bytes:
+        return array("H", ids).tobytes()
+
+    def stretch(self, text: str, spaced: bool = False) -> bytes:
         """Ids, as 16-bit ones, of a stretch that no token reaches beyond."""
+        text = " " * (spaced and not self.separate) + text
         if any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+            return self._pack(self.library.encode(text, add_special_tokens=False).ids)
         if self.normalizer is not None:
-            text = text.lower() if text.isascii() and not text.isspace() else self.normalizer.normalize_str(text)
+            text = self.normalizer.normalize_str(text)
         ids: list[int] = []
-        for piece, _ in self._split(text):
+        for piece, _ in self.splitter.pre_tokenize_str(text):
             ids += self.run(piece)
-        return np.array(ids, "<u2").tobytes()
-
-    def _split(self, text: str):
-        found = self.plain(text[1:] if not self.separate and text[:1] == " " else text)
-        if found:
-            word = ("Ġ" if not self.separate and text[:1] == " " else "") + found[1]
-            return ((word, 0), (found[2], 0)) if found[2] else ((word, 0),)
-        return self.splitter.pre_tokenize_str(text)
+        return self._pack(ids)
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 16-bit integers."""
         if not text:
             return b""
-        first, *rest = text.split(" ")
         if self.separate:
-            return b"".join(map(self.young.__getitem__, [first, *rest]))
-        if not first or first[-1].isspace():
-            return self._by_pattern(text)
+            return b"".join(map(self.bare.current().__getitem__, text.split(" ")))
+        first, *rest = text.split(" ")
         try:
-            return self.stretch(first) + b"".join(map(self.young.__getitem__, rest))
+            return self.bare.current()[first] + b"".join(map(self.spaced.current().__getitem__, rest))
         except _Ragged:
             return self._by_pattern(text)
 
     def _by_pattern(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        return self._pack(self.library.encode(text, add_special_tokens=False).ids)
 
     def decode(self, ids: np.ndarray) -> str:
         """As the library decodes with special tokens kept."""
@@ -155,29 +162,69 @@ class _Ragged(Exception):
     """A stretch next to more white space than one space."""
 
 
-class _Cache(dict):
-    """Ids of stretches; the older half goes when it is full."""
+class _Generation(dict):
+    """Ids of stretches; ``at`` knows the tool, the generation before, and the symbol of a space before the stretch."""
 
-    def __init__(self, owner: Encoder) -> None:
-        self.owner = owner
+    def __init__(self, at: _Cache, before: dict) -> None:
+        self.at, self.before = at, before
 
     def __missing__(self, text: str) -> bytes:
-        owner = self.owner
-        ids = owner.old.get(text)
+        ids = self.before.get(text)
         if ids is None:
-            if owner.separate:
-                ids = owner.stretch(text)
-            elif not text or text[0].isspace() or text[-1].isspace():
-                raise _Ragged
-            else:
-                ids = owner.stretch(" " + text)
+            ids = self._new(text)
         if len(text) <= 64:
-            if len(self) >= CACHE_ENTRIES // 2:
-                owner.old = dict(self)
-                self.clear()
             self[text] = ids
         return ids
 
+    def _new(self, text: str) -> bytes:
+        tool = self.at.tool
+        found = _PLAIN(text)
+        if found:  # letters, then marks: two pieces for every splitter here
+            word, marks = found.groups()
+            if marks:
+                return self[word] + tool.marks[marks]
+            if tool.separate:
+                small = word.lower()
+                if small != word:
+                    return self[small]
+            return tool._pack(tool.run(self.at.lead + tool._symbols(word)))
+        if tool.separate:
+            return b"".join(map(self.__getitem__, text.split("\n"))) if "\n" in text else tool.stretch(text)
+        if not text or text[0].isspace() or text[-1].isspace():
+            raise _Ragged
+        if "\n" in text:  # a line end between two other characters is a piece of its own
+            first, *rest = text.split("\n")
+            bare = tool.bare.current()
+            return self[first] + b"".join(tool.newline + bare[x] for x in rest)
+        return tool.stretch(text, bool(self.at.lead))
+
+
+class _Cache:
+    """Two generations of ids; the older one goes when the younger is full."""
+
+    def __init__(self, tool: Encoder, lead: str) -> None:
+        self.tool, self.lead = tool, lead
+        self.young = _Generation(self, {})
+
+    def current(self) -> _Generation:
+        if len(self.young) >= CACHE_ENTRIES // 2:
+            before = dict(self.young)
+            self.young = _Generation(self, before)
+        return self.young
+
+
+class _Marks(dict):
+    """Ids of runs of punctuation behind letters."""
+
+    def __init__(self, tool: Encoder) -> None:
+        self.tool = tool
+
+    def __missing__(self, marks: str) -> bytes:
+        ids = self.tool._pack(self.tool.run(self.tool._symbols(marks)))
+        if len(marks) <= 16 and len(self) < 65536:
+            self[marks] = ids
+        return ids
+
 
 def _by_symbols(tokens, run: str):
     """Tokens with offsets in symbols; the library gives them in the symbols' UTF-8 bytes."""

@@ -14,7 +14,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    bounded_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -22,8 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_BYTES = 8 << 20
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bounds Arrow batches by bytes as well as by rows, for this session."""
+def prepare(spark: SparkSession) -> None:
+    """Settings of this session that the operators rely on.
+
+    Arrow batches are bounded by bytes as well as by rows. Spark 4.1 can lose rows of a join above a union whose
+    branches are partitioned alike, so unions make no claim about their partitioning.
+    """
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(name, str(2**31 - 1)).rstrip("b")) > BATCH_BYTES:
         spark.conf.set(name, BATCH_BYTES)
@@ -32,6 +37,7 @@ def bounded_batches(spark: SparkSession) -> None:
 def stored(df: DataFrame, label: str, **options) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession
+    prepare(spark)
     path = work_dir(spark, label)
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierworks.llm import ann, bpe, html_text, near_dedup, packing, quality_cascade, token_codes, warc
+from tierworks.llm import ann, bpe, html_text, license_scan, line_dedup, near_dedup, packing, quality_cascade, token_codes, warc
 from tierworks.llm.common import table
 from tierworks.session import work_dir
 
@@ -53,12 +53,12 @@ ORACLE_SQL["op4_quality_cascade"] = r"""
 with t as (select doc_id, coalesce(text, '') as text from documents),
 w as (
     select doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
-        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
     from t
 ),
 g as (
     select *, case when len(words) < 5 then [] else list_transform(
-        range(1, len(words) - 3), i -> words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3] || ' ' || words[i + 4]
+        range(1, len(words) - 3), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3] || ' ' || words[i + 4]
     ) end as grams
     from w
 ),
@@ -120,15 +120,61 @@ def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL["op10_inverted_multi_index"] = """
 with v as (
-    select vec_id, list_transform(embedding, x -> x::double) as e from embeddings
+    select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings
     where vec_id is not null and embedding is not null
-        and list_bool_and(list_transform(embedding, x -> x is not null and isfinite(x)))
-        and list_bool_or(list_transform(embedding, x -> x <> 0))
+        and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+        and list_bool_or(list_transform(embedding, lambda x: x <> 0))
 ),
 d as (
-    select q.vec_id as query_id, v.vec_id, sqrt(list_sum(list_transform(list_zip(q.e, v.e), p -> (p[1] - p[2]) * (p[1] - p[2])))) as score
+    select q.vec_id as query_id, v.vec_id, sqrt(list_sum(list_transform(list_zip(q.e, v.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) as score
     from v q join v on q.vec_id % 100 = 0 and q.vec_id <> v.vec_id
 ),
 r as (select *, row_number() over (partition by query_id order by score, vec_id)::int as rank from d)
 select query_id, rank, vec_id, score from r where rank <= 10
 """
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(docs, count_col="n_deleted")
+
+
+ORACLE_SQL["op6_line_dedup"] = r"""
+with d as (select doc_id, text, string_split(text, chr(10)) as parts from documents),
+l as (select doc_id, unnest(parts) as line, unnest(range(1, len(parts) + 1)) as pos from d where text is not null),
+w as (
+    select *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as n,
+        row_number() over (partition by doc_id order by pos) as k
+    from l where regexp_matches(line, '[^\x20\x09-\x0D]')
+),
+s as (select *, sum(n) over (partition by doc_id order by k) as total from w),
+runs as (
+    select a.doc_id, a.k as low, min(b.k) as high from s a join s b using (doc_id)
+    where b.k >= a.k and b.total - a.total + a.n >= 50 group by all
+    union
+    select b.doc_id, max(a.k) as low, b.k as high from s a join s b using (doc_id)
+    where b.k >= a.k and b.total - a.total + a.n >= 50 group by all
+),
+listed as (select doc_id, list(line order by k) as held from w group by doc_id),
+keyed as (select r.*, array_to_string(held[low:high], chr(10)) as run from runs r join listed using (doc_id)),
+later as (select *, row_number() over (partition by run order by doc_id, low) as turn from keyed),
+gone as (select distinct doc_id, unnest(range(low, high + 1)) as k from later where turn > 1),
+-- lines without words go with the line before them
+held as (
+    select l.doc_id, l.pos, l.line, coalesce(max(w.k) over (partition by l.doc_id order by l.pos rows between unbounded preceding and current row), 0) as k
+    from l left join w using (doc_id, pos)
+),
+kept as (
+    select h.doc_id, string_agg(h.line, chr(10) order by h.pos) filter (g.k is null) as text
+    from held h left join gone g using (doc_id, k) group by h.doc_id
+)
+select d.doc_id, case when d.text is not null then coalesce(kept.text, '') end as text,
+    coalesce(c.n, 0)::bigint as n_deleted
+from d left join kept using (doc_id) left join (select doc_id, count(*) as n from gone group by doc_id) c using (doc_id)
+"""
+
+
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("blocks")
