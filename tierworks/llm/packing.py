@@ -155,7 +155,7 @@ def pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     counts = stored(counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))), "piece-counts")
     sizes = counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()  # at most ``capacity`` rows
     shared = spark.sparkContext.broadcast(plan({r["length"]: r["n"] for r in sizes}, capacity))
-    ranked = pieces.join(counts.drop("_n"), ["task", "length"]).withColumn("rank", F.col("rank") + F.col("_before"))
+    ranked = pieces.join(counts.drop("_n").hint("merge"), ["task", "length"]).withColumn("rank", F.col("rank") + F.col("_before"))
     names = [c for c in pieces.columns if c not in ("task", "rank")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
