@@ -60,7 +60,7 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered(text), f"[{APART}]+"), "")
 
 
-def _plain_words(text: str) -> list[str]:
+def template_words(text: str) -> list[str]:
     return sorted(set(re.findall(f"[^{APART}]+", text.lower())))
 
 
@@ -128,7 +128,7 @@ def matches(
     spark: SparkSession = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    sets = [(label, _plain_words(wording)) for label, wording in templates]
+    sets = [(label, template_words(wording)) for label, wording in templates]
     vocabulary = sorted({w for _, ws in sets for w in ws})
     counted = _lines_with(keyed, vocabulary, None).select(F.explode("tokens").alias("token")).groupBy("token").count()
     counts = {r["token"]: r["count"] for r in counted.collect()}  # a row per word of the templates
