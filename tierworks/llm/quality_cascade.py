@@ -87,7 +87,7 @@ FEATURES = {
     "word_chars": lambda t: F.length(F.regexp_replace(t, f"{SPACE}+", "")).cast("bigint"),
     "n_symbols": lambda t: F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("bigint"),
     "n_dup_lines": dup_lines,
-    "n_repeat_words": lambda t: repeat_words(words(t)),
+    "n_repeat_words": lambda t: _let(words(t), repeat_words),
     "n_lines": lambda t: F.regexp_count(t, F.lit("(?m)^.*[^\\x20\\x09-\\x0D].*$")).cast("bigint"),
     "n_capitals": lambda t: F.regexp_count(t, F.lit("[A-Z]")).cast("bigint"),
     "n_marks": lambda t: F.regexp_count(t, F.lit("!")).cast("bigint"),
