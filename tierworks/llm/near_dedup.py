@@ -11,11 +11,14 @@ values, so that no register of a short document stays empty. Four registers are
    serve as hubs and are compared with the others.
 3. Of each pair, the share of equal registers, less the share that collides by chance at these set sizes, estimates the
    similarity. Pairs far below the threshold (six standard deviations) go; all others are confirmed on their full sets.
-4. Components are formed of the confirmed links. Where a bucket still holds several components, members of different
-   ones are compared too, in blocks of sketches, and those that pass are confirmed, so no link between classes that
-   share a bucket is lost unless both ends are in one component already.
+4. Components are formed of the confirmed links. Where a bucket still holds several components, hubs were not enough:
+   the members of such buckets are joined exactly, on their rarest shingles, across components only. Two sets similar
+   enough must share one of the first few shingles in the order of frequency, at places that leave room for enough
+   others (prefix, length and positional filters). Components are compared before their members, so the many alike
+   members of one are never paired with each other. What passes is estimated and confirmed like the rest.
 
-Two sets of similarity 0.8 share no band of 32 with a probability of 5e-8.
+So no link between classes that share a band is lost unless it joins what is one component already. Two sets of
+similarity 0.8 share no band of 24 with a probability of 3e-6, and more similar ones with far less.
 
 Behaviour: null text, or one without words, has an empty set, is linked with nothing and kept. Rows with a null id are
 linked with nothing, get no component and are kept. Rows that repeat an id are one node of the graph. With fewer words
@@ -35,9 +38,8 @@ from pyspark.sql import functions as F
 
 from tierworks.llm.common import stored
 
-REGISTERS, ROWS, MANTISSA = 128, 4, 10
+REGISTERS, MANTISSA = 96, 10
 HUBS = 4
-BLOCK = 64
 #: Share of register collisions of unrelated sets of equal size at no mantissa bits, as published for HyperMinHash.
 COLLISION = 0.169919487159739093975315012348630288992889
 CHUNK_BYTES = 1 << 20
@@ -211,59 +213,57 @@ def _sketch_matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, REGISTERS)
 
 
+def _buckets(classes: DataFrame, *more: str) -> DataFrame:
+    """``bucket`` (band and key) and ``same`` of every band of every class."""
+    bands = classes.select("same", *more, F.posexplode("bands").alias("band", "key"))
+    return bands.select(F.xxhash64("band", "key").alias("bucket"), "same", *more)
+
+
 def _hub_pairs(members: DataFrame) -> DataFrame:
-    """Hubs of each bucket with its other members; ``members``: ``band``, ``key``, ``same``."""
-    hubs = members.groupBy("band", "key").agg(
-        F.min_by("same", F.xxhash64("same", F.col("band") % HUBS)).alias("hub"), F.count("*").alias("_n")
-    ).where("_n > 1")
+    """Hubs of each bucket with its other members; ``members``: ``bucket``, ``same``."""
+    hubs = members.groupBy("bucket").agg(
+        F.min_by("same", F.xxhash64("same", F.pmod("bucket", F.lit(HUBS)))).alias("hub"), F.count("*").alias("_n")
+    ).where("_n > 1").drop("_n")
     return (
-        members.join(hubs, ["band", "key"])
+        members.join(hubs, "bucket")
         .where(F.col("same") != F.col("hub"))
         .select(F.greatest("same", "hub").alias("b"), F.least("same", "hub").alias("a"))
         .distinct()
     )
 
 
-def _block_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different components within a bucket whose registers allow the threshold.
+def _prefix_pairs(members: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (``a``, ``b``) of different components that can be similar enough, by an exact set-similarity join.
 
-    ``members``: ``band``, ``key``, ``same``, ``n``, ``bands``, ``component``.
+    ``members``: ``same``, ``component``, ``shingles``.
     """
-    buckets = members.groupBy("band", "key", "component").agg(F.count("*").alias("_n"))
-    mixed = buckets.groupBy("band", "key").agg(F.count("*").alias("_c"), F.sum("_n").alias("_all")).where("_c > 1 and _all > 2")
-    rows = members.join(buckets.join(mixed, ["band", "key"]), ["band", "key", "component"])
-    # blocks follow the components' order, so that one of many small components is not a block of its own
-    block = F.when(F.col("_n") > BLOCK, F.concat_ws("-", F.col("component").cast("string"), F.expr(f"pmod(xxhash64(same), cast(ceil(_n / {BLOCK}) as int))").cast("string"))).otherwise(
-        F.concat(F.lit("s"), F.expr(f"pmod(xxhash64(component), cast(ceil(_all / {BLOCK}) as int))").cast("string"))
-    )
-    blocks = rows.withColumn("block", block).groupBy("band", "key", "block").agg(
-        F.collect_list(F.struct("same", "n", "bands", "component")).alias("held"),
-        F.min("component").alias("low"), F.max("component").alias("high"),
+    share = threshold / (1 + threshold) - 1e-9  # of both sizes together, that two sets must have in common
+    threshold -= 1e-9
+    rows = members.withColumn("n", F.size("shingles"))
+    single = rows.select("same", F.explode("shingles").alias("token"))
+    often = single.groupBy("token").agg(F.count("*").alias("_f")).where("_f > 1")
+    # shingles that no other member has come first and match nothing: only their number counts
+    common = single.join(often, "token").groupBy("same").agg(F.sort_array(F.collect_list(F.struct("_f", "token"))).alias("list"))
+    rows = rows.drop("shingles").join(common, "same").withColumn("alone", F.col("n") - F.size("list"))
+    first = F.expr(f"n - cast(ceil({threshold} * n) as int) + 1 - alone")
+    rows = rows.where(first > 0).withColumn("list", F.slice("list", F.lit(1), F.greatest(first, F.lit(0))))
+    heads = rows.select("same", "component", "n", "alone", F.posexplode("list").alias("at", "_token")).select(
+        "same", "component", "n", F.col("_token.token").alias("token"), F.expr("n - alone - at").alias("left")
+    )  # left: shingles from this one on
+    heads = stored(heads, "prefixes")
+    groups = heads.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("left").alias("left"))
+    side = lambda x: groups.toDF("token", *(f"{c}_{x}" for c in ("component", "least", "left")))
+    meet = side("x").join(side("y"), "token").where(
+        f"component_x < component_y and least(left_x, left_y) >= {share} * (least_x + least_y)"
     )
-    left = blocks.select("band", "key", *(F.col(c).alias(f"{c}_a") for c in ("block", "held", "low", "high")))
-    right = blocks.select("band", "key", *(F.col(c).alias(f"{c}_b") for c in ("block", "held", "low", "high")))
-    meet = left.join(right, ["band", "key"]).where(
-        "block_a <= block_b and not (low_a = high_a and low_b = high_b and low_a = low_b)"
+    one = heads.select("token", F.col("component").alias("component_x"), F.col("same").alias("x"), F.col("n").alias("n_x"), F.col("left").alias("l_x"))
+    two = heads.select("token", F.col("component").alias("component_y"), F.col("same").alias("y"), F.col("n").alias("n_y"), F.col("left").alias("l_y"))
+    pairs = (
+        meet.select("token", "component_x", "component_y", "least_y", "left_y")
+        .join(one, ["token", "component_x"]).where(f"least(l_x, left_y) >= {share} * (n_x + least_y)")
+        .join(two, ["token", "component_y"])
+        .where(f"least(l_x, l_y) >= {share} * (n_x + n_y) and n_x >= {threshold} * n_y and n_y >= {threshold} * n_x")
     )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for one, two in zip(*batch.columns):
-                one, two = one.values, two.values
-                n, m = (x.field("n").to_numpy(zero_copy_only=False)[:, None] for x in (one, two))
-                c, d = (x.field("component").to_numpy(zero_copy_only=False)[:, None] for x in (one, two))
-                s, t = _sketch_matrix(one.field("bands")), _sketch_matrix(two.field("bands"))
-                equal = np.zeros((len(s), len(t)), np.int32)
-                for k in range(s.shape[1]):
-                    equal += s[:, k][:, None] == t[:, k][None, :]
-                fits = (estimate(equal, n, m.T) >= _floor(threshold)) & (c != d.T)
-                fits &= (n >= threshold * m.T) & (m.T >= threshold * n)
-                a, b = np.nonzero(fits)
-                yield pa.RecordBatch.from_arrays(
-                    [one.field("same").take(pa.array(a)), two.field("same").take(pa.array(b))], names=["x", "y"]
-                )
-
-    pairs = meet.select("held_a", "held_b").mapInArrow(run, "x binary, y binary")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -295,8 +295,7 @@ def near_duplicates(
     classes = stored(
         known.groupBy("same").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes"
     )
-    members = classes.select("same", F.posexplode("bands").alias("band", "key"))
-    pairs = stored(_alike(_hub_pairs(members), classes, threshold), "pairs")
+    pairs = stored(_alike(_hub_pairs(_buckets(classes)), classes, threshold), "pairs")
     ends = lambda p: p.select(F.col("a").alias("same")).union(p.select(F.col("b").alias("same"))).distinct()
     names = classes.select("same", "id")
     sets = stored(_full_sets(docs, ends(pairs).join(names, "same"), width, id_col, text_col), "sets")
@@ -313,15 +312,15 @@ def near_duplicates(
 
     labelled = classes.join(groups, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
     labelled = stored(labelled.select("same", "n", "bands", "component"), "labelled")
-    spread = labelled.select("same", "component", F.posexplode("bands").alias("band", "key"))
-    open_buckets = spread.groupBy("band", "key").agg(
+    spread = _buckets(labelled, "component")
+    mixed = spread.groupBy("bucket").agg(
         F.min("component").alias("_l"), F.max("component").alias("_h"), F.count("*").alias("_n")
-    ).where("_l <> _h and _n > 2").select("band", "key")
-    still = spread.join(open_buckets, ["band", "key"]).join(labelled.select("same", "n", "bands"), "same")
-    rest = _block_pairs(still, threshold).join(pairs, ["a", "b"], "left_anti")
-    rest = stored(rest, "rest")
-    more = ends(rest).join(sets.select("same"), "same", "left_anti").join(names, "same")
+    ).where("_l <> _h and _n > 2").select("bucket")
+    still = stored(spread.join(mixed, "bucket", "left_semi").select("same", "component").distinct(), "open")
+    more = still.select("same").join(sets.select("same"), "same", "left_anti").join(names, "same")
     sets = sets.unionByName(stored(_full_sets(docs, more, width, id_col, text_col), "sets"))
+    rest = _prefix_pairs(still.join(sets.select("same", "shingles"), "same"), threshold)
+    rest = stored(_alike(rest.join(pairs, ["a", "b"], "left_anti"), classes, threshold), "rest")
     late = stored(_confirmed(rest, sets, percent), "links")
     groups = components(edges.union(as_ids(late))) if late.head(1) else groups
 
