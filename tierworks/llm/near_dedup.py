@@ -11,11 +11,10 @@ values, so that no register of a short document stays empty. Four registers are
    serve as hubs and are compared with the others.
 3. Of each pair, the share of equal registers, less the share that collides by chance at these set sizes, estimates the
    similarity. Pairs far below the threshold (six standard deviations) go; all others are confirmed on their full sets.
-4. Components are formed of the confirmed links. Where a bucket still holds several components, hubs were not enough:
-   the members of such buckets are joined exactly, on their rarest shingles, across components only. Two sets similar
-   enough must share one of the first few shingles in the order of frequency, at places that leave room for enough
-   others (prefix, length and positional filters). Components are compared before their members, so the many alike
-   members of one are never paired with each other. What passes is estimated and confirmed like the rest.
+4. Components are formed of the confirmed links. Where a bucket still holds several components, hubs were not enough.
+   The members of such buckets form cells, connected by the buckets they share; a cell's full sets are laid out in
+   blocks of bounded size, and blocks are compared with each other, exactly and across components only. A pair of
+   blocks gives no more links than it joins components, so no group is ever written out as all its pairs.
 
 So no link between classes that share a band is lost unless it joins what is one component already. Two sets of
 similarity 0.8 share no band of 24 with a probability of 3e-6, and more similar ones with far less.
@@ -40,6 +39,7 @@ from tierworks.llm.common import stored
 
 REGISTERS, MANTISSA = 96, 10
 HUBS = 4
+BLOCK_SHINGLES, DENSE = 65536, 1 << 22
 #: Share of register collisions of unrelated sets of equal size at no mantissa bits, as published for HyperMinHash.
 COLLISION = 0.169919487159739093975315012348630288992889
 CHUNK_BYTES = 1 << 20
@@ -232,39 +232,73 @@ def _hub_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def _prefix_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (``a``, ``b``) of different components that can be similar enough, by an exact set-similarity join.
+def _cell_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (``a``, ``b``: digests) that join components within a cell, from full sets in blocks.
 
-    ``members``: ``same``, ``component``, ``shingles``.
+    ``members``: ``cell``, ``same``, ``component``, ``shingles``.
     """
-    share = threshold / (1 + threshold) - 1e-9  # of both sizes together, that two sets must have in common
-    threshold -= 1e-9
-    rows = members.withColumn("n", F.size("shingles"))
-    single = rows.select("same", F.explode("shingles").alias("token"))
-    often = single.groupBy("token").agg(F.count("*").alias("_f")).where("_f > 1")
-    # shingles that no other member has come first and match nothing: only their number counts
-    common = single.join(often, "token").groupBy("same").agg(F.sort_array(F.collect_list(F.struct("_f", "token"))).alias("list"))
-    rows = rows.drop("shingles").join(common, "same").withColumn("alone", F.col("n") - F.size("list"))
-    first = F.expr(f"n - cast(ceil({threshold} * n) as int) + 1 - alone")
-    rows = rows.where(first > 0).withColumn("list", F.slice("list", F.lit(1), F.greatest(first, F.lit(0))))
-    heads = rows.select("same", "component", "n", "alone", F.posexplode("list").alias("at", "_token")).select(
-        "same", "component", "n", F.col("_token.token").alias("token"), F.expr("n - alone - at").alias("left")
-    )  # left: shingles from this one on
-    heads = stored(heads, "prefixes")
-    groups = heads.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("left").alias("left"))
-    side = lambda x: groups.toDF("token", *(f"{c}_{x}" for c in ("component", "least", "left")))
-    meet = side("x").join(side("y"), "token").where(
-        f"component_x < component_y and least(left_x, left_y) >= {share} * (least_x + least_y)"
+    sized = members.withColumn("n", F.size("shingles").cast("bigint"))
+    totals = sized.groupBy("cell").agg(F.sum("n").alias("_all"))
+    spread = F.expr(f"pmod(xxhash64(same), cast(ceil(_all / {BLOCK_SHINGLES}) as int))")
+    blocks = sized.join(totals, "cell").groupBy("cell", spread.alias("block")).agg(
+        F.collect_list(F.struct("same", "component", "shingles")).alias("held"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
     )
-    one = heads.select("token", F.col("component").alias("component_x"), F.col("same").alias("x"), F.col("n").alias("n_x"), F.col("left").alias("l_x"))
-    two = heads.select("token", F.col("component").alias("component_y"), F.col("same").alias("y"), F.col("n").alias("n_y"), F.col("left").alias("l_y"))
-    pairs = (
-        meet.select("token", "component_x", "component_y", "least_y", "left_y")
-        .join(one, ["token", "component_x"]).where(f"least(l_x, left_y) >= {share} * (n_x + least_y)")
-        .join(two, ["token", "component_y"])
-        .where(f"least(l_x, l_y) >= {share} * (n_x + n_y) and n_x >= {threshold} * n_y and n_y >= {threshold} * n_x")
+    side = lambda x: blocks.select("cell", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "held", "low", "high")))
+    meet = side("a").join(side("b"), "cell").where(
+        "block_a <= block_b and not (low_a = high_a and low_b = high_b and low_a = low_b)"
     )
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, two in zip(*batch.columns):
+                links = _block_links(one.values, two.values, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)] or [pa.array([], pa.binary())] * 2, names=["a", "b"])
+
+    return meet.select("held_a", "held_b").mapInArrow(run, "a binary, b binary")
+
+
+def _block_links(one, two, percent: int) -> list[tuple[bytes, bytes]]:
+    """A forest of the links between components of two blocks: shared shingles are counted for all pairs at once."""
+    sets, sizes, names, groups = [], [], [], []
+    for block in (one, two):
+        lists = block.field("shingles")
+        values = lists.flatten().to_numpy(zero_copy_only=False)
+        sizes.append(np.array([len(x) for x in lists]))
+        sets.append(values)
+        names.append(block.field("same"))
+        groups.append(block.field("component").to_numpy(zero_copy_only=False))
+    vocabulary, places = np.unique(np.concatenate(sets), return_inverse=True)
+    places = (places[: len(sets[0])], places[len(sets[0]) :])
+    rows = max(1, DENSE // len(vocabulary))
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    def dense(side: int, start: int) -> np.ndarray:
+        n = sizes[side][start : start + rows]
+        first = int(sizes[side][:start].sum())
+        out = np.zeros((len(n), len(vocabulary)), np.float32)
+        out[np.repeat(np.arange(len(n)), n), places[side][first : first + int(n.sum())]] = 1
+        return out
+
+    links = []
+    for i in range(0, len(sizes[0]), rows):
+        left = dense(0, i)
+        for j in range(0, len(sizes[1]), rows):
+            both = left @ dense(1, j).T
+            n, m = sizes[0][i : i + rows, None], sizes[1][None, j : j + rows]
+            c, d = groups[0][i : i + rows, None], groups[1][None, j : j + rows]
+            a, b = np.nonzero((100 * both >= percent * (n + m - both)) & (c != d))
+            for x, y in zip((a + i).tolist(), (b + j).tolist()):
+                u, v = root(int(groups[0][x])), root(int(groups[1][y]))
+                if u != v:
+                    parent[max(u, v)] = min(u, v)
+                    links.append((names[0][x].as_py(), names[1][y].as_py()))
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -316,12 +350,14 @@ def near_duplicates(
     mixed = spread.groupBy("bucket").agg(
         F.min("component").alias("_l"), F.max("component").alias("_h"), F.count("*").alias("_n")
     ).where("_l <> _h and _n > 2").select("bucket")
-    still = stored(spread.join(mixed, "bucket", "left_semi").select("same", "component").distinct(), "open")
-    more = still.select("same").join(sets.select("same"), "same", "left_anti").join(names, "same")
+    still = stored(spread.join(mixed, "bucket", "left_semi"), "open")
+    lowest = still.groupBy("bucket").agg(F.min("component").alias("a"))
+    cells = components(still.join(lowest, "bucket").select("a", F.col("component").alias("b"))).toDF("component", "cell")
+    inside = still.select("same", "component").distinct().join(cells, "component", "left")
+    inside = inside.withColumn("cell", F.coalesce("cell", "component"))
+    more = inside.select("same").join(sets.select("same"), "same", "left_anti").join(names, "same")
     sets = sets.unionByName(stored(_full_sets(docs, more, width, id_col, text_col), "sets"))
-    rest = _prefix_pairs(still.join(sets.select("same", "shingles"), "same"), threshold)
-    rest = stored(_alike(rest.join(pairs, ["a", "b"], "left_anti"), classes, threshold), "rest")
-    late = stored(_confirmed(rest, sets, percent), "links")
+    late = stored(_cell_links(inside.join(sets.select("same", "shingles"), "same"), percent), "links")
     groups = components(edges.union(as_ids(late))) if late.head(1) else groups
 
     named = names.join(groups, F.col("id") == F.col("node"), "left").select("same", F.coalesce("component", "id").alias("_component"))
