@@ -1,64 +1,52 @@
-"""Small plant with planted faults: five sensors over two days, twenty orders, ten units."""
+"""A small invented plant with planted faults; all results are worked out by hand."""
 
 from datetime import date, datetime
 
 from tierworks.schemas import EQUIPMENT, ORDERS, SENSOR_READINGS
 
+# Four readings a day at 8, 9, 10 and 11 o'clock.
 SENSORS = {
-    "SNS-TM-0001": ("Temp Sensor A1", "Compressor-01", "COMPRESSOR_BAY",
-                    [72.3, 73.1, 74.8, 71.2, 76.5], [155.0, 72.0, 73.5, 71.8, 74.2]),
-    "SNS-PR-0002": ("Pressure Sensor B1", "Pump-03", "PUMP_STATION",
-                    [245.6, 248.3, 251.1, 246.9, 250.0], [520.0, 247.5, 249.8, 246.2, 248.1]),
-    "SNS-VB-0003": ("Vibration Sensor C1", "Motor-07", "MOTOR_HALL",
-                    [4.2, 4.5, 4.8, 4.1, 30.5], [4.3, 4.6, 4.9, 4.0, 4.7]),
-    "SNS-TM-0004": ("Temp Sensor D1", "Reactor-02", "REACTOR_ZONE",
-                    [185.2, 186.7, 184.9, 187.3, 185.8], [186.1, 185.5, 187.0, 184.6, 186.4]),
-    "SNS-FL-0005": ("Flow Sensor E1", "Pipeline-12", "PIPELINE_AREA",
-                    [120.5, 118.3, 122.1, 119.7, None], [121.0, 119.5, -1500.0, 120.8, 118.9]),
+    "north-1": ("mill-1", "hall", [10.0, 20.0, 30.0, 40.0], [40.0, 30.0, 20.0, 10.0]),
+    "north-2": ("mill-2", "hall", [100.0, 100.0, 100.0, 100.0], [300.0, 100.0, 300.0, 100.0]),
+    "south-1": ("kiln-1", "yard", [50.0, 52.0, 54.0, 56.0], [60.0, 62.0, 64.0, None]),
+    "south-2": ("kiln-2", "yard", [-5.0, 5.0, -5.0, 5.0], [-5.0, 5.0, -5.0, -2000.0]),
 }
 # sensor, day: readings, mean, deviation, median, p95, stability, signal, trend, spike, severity
 ALERTS = {
-    ("SNS-FL-0005", 15): (4, 120.15, 1.586, 120.1, 121.86, "STABLE", "CLEAN", "NO_HISTORY", "NO_HISTORY", "OK"),
-    ("SNS-FL-0005", 16): (4, 120.05, 1.015, 120.15, 120.97, "STABLE", "CLEAN", "IMPROVING", "NORMAL", "OK"),
-    ("SNS-PR-0002", 15): (5, 248.38, 2.233, 248.3, 250.88, "STABLE", "CLEAN", "NO_HISTORY", "NO_HISTORY", "OK"),
-    ("SNS-PR-0002", 16): (5, 302.32, 121.694, 248.1, 465.96, "UNSTABLE", "NOISY", "DEGRADING", "SPIKE", "CRITICAL"),
-    ("SNS-TM-0001", 15): (5, 73.58, 2.095, 73.1, 76.16, "STABLE", "CLEAN", "NO_HISTORY", "NO_HISTORY", "OK"),
-    ("SNS-TM-0001", 16): (5, 89.3, 36.741, 73.5, 138.84, "UNSTABLE", "NOISY", "DEGRADING", "SPIKE", "CRITICAL"),
-    ("SNS-TM-0004", 15): (5, 185.98, 1.008, 185.8, 187.18, "STABLE", "CLEAN", "NO_HISTORY", "NO_HISTORY", "OK"),
-    ("SNS-TM-0004", 16): (5, 185.92, 0.915, 186.1, 186.88, "STABLE", "CLEAN", "STEADY", "NORMAL", "OK"),
-    ("SNS-VB-0003", 15): (5, 9.62, 11.675, 4.5, 25.36, "NORMAL", "VERY_NOISY", "NO_HISTORY", "NO_HISTORY", "OK"),
-    ("SNS-VB-0003", 16): (5, 4.5, 0.354, 4.6, 4.86, "STABLE", "CLEAN", "IMPROVING", "SPIKE", "OK"),
+    # squares of 15, 5, 5, 15 make 500, over three: 166.7, root 12.910; p95 lies 0.85 of the way from 30 to 40
+    ("north-1", 15): (4, 25.0, 12.910, 25.0, 38.5, "NORMAL", "VERY_NOISY", "NO_HISTORY", "NO_HISTORY", "OK"),
+    ("north-1", 16): (4, 25.0, 12.910, 25.0, 38.5, "NORMAL", "VERY_NOISY", "STEADY", "NORMAL", "OK"),
+    ("north-2", 15): (4, 100.0, 0.0, 100.0, 100.0, "STABLE", "CLEAN", "NO_HISTORY", "NO_HISTORY", "OK"),
+    # four squares of 100 over three: 13333.3, root 115.470; the maximum rose by 200, less than twice that
+    ("north-2", 16): (4, 200.0, 115.470, 200.0, 300.0, "UNSTABLE", "VERY_NOISY", "DEGRADING", "NORMAL", "CRITICAL"),
+    ("south-1", 15): (4, 53.0, 2.582, 53.0, 55.7, "STABLE", "CLEAN", "NO_HISTORY", "NO_HISTORY", "OK"),
+    ("south-1", 16): (3, 62.0, 2.0, 62.0, 63.8, "STABLE", "CLEAN", "IMPROVING", "SPIKE", "OK"),
+    ("south-2", 15): (4, 0.0, 5.774, 0.0, 5.0, "NORMAL", "INVALID", "NO_HISTORY", "NO_HISTORY", "OK"),
+    ("south-2", 16): (3, -1.667, 5.774, -5.0, 4.0, "NORMAL", "VERY_NOISY", "STEADY", "NORMAL", "OK"),
 }
+# days with a value beyond one deviation from the mean (exactly on it is inside)
+OUTSIDE = {("north-1", 15), ("north-1", 16), ("south-1", 15), ("south-2", 16)}
 # number, unit, day of January, quantity, value, status, priority
 ORDER_ROWS = [
-    (1, "EQ-001", 10, 5, 2500.0, "RELEASED", "HIGH"), (2, "EQ-002", 10, 2, 800.0, "RELEASED", "MEDIUM"),
-    (3, "EQ-003", 11, 10, 15000.0, "RELEASED", "HIGH"), (4, "EQ-001", 11, 1, 350.0, "COMPLETED", "LOW"),
-    (5, "EQ-004", 12, 3, 1500.0, "RELEASED", "HIGH"), (6, "EQ-005", 12, 8, 4200.0, "RELEASED", "MEDIUM"),
-    (7, "EQ-002", 13, 1, 500.0, "CANCELLED", "LOW"), (8, "EQ-003", 13, 15, 7500.0, "RELEASED", "HIGH"),
-    (9, None, 14, 2, 1000.0, "RELEASED", "MEDIUM"), (10, "EQ-006", 14, 4, 1800.0, "RELEASED", "HIGH"),
-    (11, "EQ-001", 15, 6, 3200.0, "RELEASED", "MEDIUM"), (12, "EQ-004", 15, 20, 25000.0, "RELEASED", "HIGH"),
-    (13, "EQ-007", 15, 1, 450.0, "RELEASED", None), (14, "EQ-002", None, 3, 1200.0, "RELEASED", "HIGH"),
-    (15, "EQ-003", 16, 7, 3800.0, "COMPLETED", "MEDIUM"), (16, "EQ-005", 16, 2, 900.0, "RELEASED", "LOW"),
-    (17, "EQ-001", 17, 12, 6000.0, "RELEASED", "HIGH"), (18, "EQ-008", 17, 5, 2750.0, "RELEASED", "MEDIUM"),
-    (19, "EQ-004", 18, 3, 1650.0, "RELEASED", "HIGH"), (20, "EQ-006", 18, 9, 4500.0, "RELEASED", "LOW"),
+    (1, "U1", 10, 2, 12000.0, "RELEASED", "HIGH"), (2, "U2", 10, 1, 5000.0, "RELEASED", "LOW"),
+    (3, "U1", 11, 4, 100.0, "COMPLETED", "LOW"), (4, "U2", 11, 1, 300.0, "CANCELLED", "LOW"),
+    (5, None, 12, 1, 400.0, "RELEASED", "HIGH"), (6, "U1", None, 1, 600.0, "RELEASED", "HIGH"),
+    (7, "U2", 12, 3, 2000.0, "RELEASED", None),
 ]
 UNITS = [
-    ("EQ-001", "Compressor-01", "COMPRESSOR", 2015, "ACTIVE"), ("EQ-002", "Pump-03", "PUMP", 2018, "ACTIVE"),
-    ("EQ-003", "Motor-07", "MOTOR", 2012, "ACTIVE"), ("EQ-004", "Reactor-02", "REACTOR", 2020, "ACTIVE"),
-    ("EQ-005", "Pipeline-12", "PIPELINE", 2016, "ACTIVE"), ("EQ-006", "Turbine-04", "TURBINE", 2010, "ACTIVE"),
-    ("EQ-007", "Conveyor-09", "CONVEYOR", 2019, "ACTIVE"), ("EQ-008", "HeatExchanger-03", "HEAT_EXCHANGER", 2017, "ACTIVE"),
-    ("EQ-009", "Valve-15", "VALVE", 2008, "DECOMMISSIONED"), ("EQ-010", "Generator-02", "GENERATOR", 2021, "ACTIVE"),
+    ("U1", "mill-1", "MILL", 2012, "ACTIVE"), ("U2", "mill-2", "MILL", 2021, "ACTIVE"),
+    ("U3", "kiln-1", "KILN", 2005, "DECOMMISSIONED"),
 ]
 
 
 def readings(spark):
     rows = []
-    for sensor, (name, unit, area, first, second) in SENSORS.items():
+    for sensor, (unit, area, first, second) in SENSORS.items():
         for day, values in ((15, first), (16, second)):
             for i, value in enumerate(values):
                 at = datetime(2024, 1, day, 8 + i)
                 state = "ERROR" if value is None else "ACTIVE"
-                rows.append((sensor, name, unit, value, at, state, area, at.replace(minute=5)))
+                rows.append((sensor, f"gauge {sensor}", unit, value, at, state, area, at.replace(minute=5)))
     return spark.createDataFrame(rows, SENSOR_READINGS)
 
 
@@ -66,11 +54,10 @@ def orders(spark):
     rows = []
     for n, unit, day, quantity, value, status, priority in ORDER_ROWS:
         placed = date(2024, 1, day) if day else None
-        rows.append((f"ORD-{n:04d}", "PM01", unit, "MAT-001", placed, quantity, value, status, priority, "USER",
-                     datetime(2024, 1, day or 16, 6)))
+        rows.append((f"O{n}", "T1", unit, "M1", placed, quantity, value, status, priority, "clerk", datetime(2024, 1, day or 16, 6)))
     return spark.createDataFrame(rows, ORDERS)
 
 
 def equipment(spark):
-    rows = [(i, n, t, f"PLACE-{i}", date(y, 6, 1), "MAKER", s, datetime(2024, 1, 1)) for i, n, t, y, s in UNITS]
+    rows = [(i, n, t, f"place {i}", date(y, 6, 1), "maker", s, datetime(2024, 1, 1)) for i, n, t, y, s in UNITS]
     return spark.createDataFrame(rows, EQUIPMENT)

@@ -125,3 +125,44 @@ def test_key_hash_tells_null_positions_apart(spark):
     df = spark.createDataFrame([("a", None, "b"), ("a", "b", None)], "x string, y string, z string")
     for make in (lambda: row_hash(["x", "y", "z"]), lambda: surrogate_key("x", "y", "z")):
         assert df.select(make()).distinct().count() == 2
+
+
+def test_null_and_repeated_keys_merge_once(spark):
+    target = spark.createDataFrame([(None, "old"), (1, "one")], "k int, v string")
+    source = spark.createDataFrame([(None, "new"), (2, "two")], "k int, v string")
+    rows = lambda df: sorted(((r.k or 0, r.v) for r in df.collect()))
+    once = merge.merge_upsert(target, source, ["k"])
+    assert rows(once) == rows(merge.merge_upsert(once, source, ["k"])) == [(0, "new"), (1, "one"), (2, "two")]
+    doubled = source.union(spark.createDataFrame([(2, "another"), (None, "more")], "k int, v string"))
+    with pytest.raises(Exception, match="duplicate merge key"):
+        merge.merge_upsert(target, doubled, ["k"]).collect()
+    added = merge.merge_insert_new(target, doubled, ["k"], [F.col("v")])
+    assert rows(added) == [(0, "old"), (1, "one"), (2, "another")]
+
+
+def test_merge_when_takes_the_callers_condition(spark):
+    target = spark.createDataFrame([(1, "a", 5), (2, "b", 5), (None, "c", 5)], "k int, v string, seq int")
+    source = spark.createDataFrame([(1, "x", 9), (2, "y", 1), (None, "z", 9), (3, "w", 1)], "k int, v string, seq int")
+    got = merge.merge_when(target, source, ["k"], ["v", "seq"], F.col("s.seq") > F.col("t.seq"))
+    assert sorted((r.k or 0, r.v) for r in got.collect()) == [(0, "z"), (1, "x"), (2, "b"), (3, "w")]
+
+
+def test_late_changes_do_not_undo_the_target(spark):
+    target = spark.createDataFrame([(1, "new", 9), (2, "b", 1)], "k int, v string, seq int")
+    changes = spark.createDataFrame([(1, "late", 3, "U"), (2, "c", 2, "U"), (2, "d", 2, "U")], "k int, v string, seq int, op string")
+    got = merge.cdc_apply(target, changes, ["k"], "seq", target_seq="seq", tie_break=[F.col("v").desc()])
+    assert sorted((r.k, r.v) for r in got.collect()) == [(1, "new"), (2, "d")]
+
+
+def test_changes_are_told_by_columns(spark):
+    """The joined texts of both rows are the same, the columns are not."""
+    first = spark.createDataFrame([(1, "a|b", "c")], "k int, x string, y string")
+    second = spark.createDataFrame([(1, "a", "b|c")], "k int, x string, y string")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    history = scd.scd2_build(first.withColumn("ts", at), "k", ["x", "y"], "ts")
+    assert scd.detect_changes(second, history, "k", ["x", "y"]).first().change == "Changed"
+    assert scd.scd2_merge(history, second, "k", ["x", "y"], "2024-02-01 00:00:00").count() == 2
+    later = second.withColumn("ts", F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+    assert scd.scd2_build(first.withColumn("ts", at).union(later), "k", ["x", "y"], "ts").count() == 2
+    with pytest.raises(Exception, match="duplicate merge key"):
+        scd.scd2_merge(history, second.union(second), "k", ["x", "y"], "2024-02-01 00:00:00").collect()

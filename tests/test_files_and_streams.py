@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tierworks.operators import quality
 from tierworks.session import work_dir
-from tierworks.sources import files, generate, ingest, sinks
+from tierworks.sources import files, ingest, sinks
 from tierworks.streaming import runs, streams
 
 START = datetime(2024, 1, 1)
@@ -115,47 +115,31 @@ def test_compaction_keeps_content(spark):
     assert 1 < detail.num_files <= 11 and detail.size_bytes > 0
 
 
-def test_versions(spark):
-    path = work_dir(spark, "versions")
-    one, two = spark.range(3), spark.range(5)
-    assert sinks.publish_version(one, path, AT, txn="load-1") == 0
-    assert sinks.publish_version(two, path, AT, txn="load-1") == 0  # the same unit of work is not repeated
-    assert sinks.publish_version(two, path, "2024-01-02 00:00:00") == 1
-    assert sinks.read_as_of(spark, path).count() == 5
-    assert sinks.read_as_of(spark, path, ts="2024-01-01 12:00:00").count() == 3
-    assert sinks.restore(spark, path, 0, "2024-01-03 00:00:00") == 2
-    assert sinks.read_as_of(spark, path).count() == 3
-    got = [(r.version, r.operation, r.num_rows) for r in sinks.history(spark, path).orderBy("version").collect()]
-    assert got == [(0, "WRITE", 3), (1, "WRITE", 5), (2, "RESTORE", 3)]
+def test_merge_touches_only_its_partitions_and_may_be_repeated(spark):
+    path = work_dir(spark, "merged")
+    part = {"id_mod_8": "pmod(id, 8)"}
+    first = spark.range(200).select("id", F.lit(1).alias("seq"), F.lit("a").alias("v"))
+    sinks.merge_partitions(first, path, ["id"], part, ["seq"])
+    before = {r.path for r in files.list_files(spark, path).collect()}
+    change = spark.createDataFrame([(7, 2, "b"), (7, 1, "late"), (15, 0, "older"), (503, 1, "new"), (None, 1, "n")], "id bigint, seq int, v string")
+    for _ in range(2):
+        sinks.merge_partitions(change, path, ["id"], part, ["seq"])
+    now = {r.id: r.v for r in spark.read.parquet(path).collect()}
+    assert len(now) == 202 and (now[7], now[15], now[503], now[None]) == ("b", "a", "new", "n")
+    kept = {r.path for r in files.list_files(spark, path).collect()} & before
+    assert kept == {p for p in before if "id_mod_8=7" not in p}
     with pytest.raises(ValueError):
-        sinks.read_as_of(spark, path, version=9)
+        sinks.merge_partitions(change, path, ["id"], {"id_mod_4": "pmod(id, 4)"}, ["seq"])
 
 
-def test_bucket_merge_rewrites_only_touched_buckets(spark):
-    path = work_dir(spark, "buckets")
-    first = spark.range(200).select("id", F.lit(1).alias("seq"), F.lit("a").alias("v"))
-    sinks.merge_buckets(first, path, ["id"], ["seq"], txn="t0", buckets=8)
-    change = spark.createDataFrame([(7, 2, "b"), (7, 1, "late"), (8, 0, "older"), (500, 1, "new")], "id bigint, seq int, v string")
-    sinks.merge_buckets(change, path, ["id"], ["seq"], txn="t1", buckets=8)
-    sinks.merge_buckets(change, path, ["id"], ["seq"], txn="t1", buckets=8)
-    now = {r.id: r.v for r in sinks.read_buckets(spark, path).collect()}
-    assert len(now) == 201 and (now[7], now[8], now[500]) == ("b", "a", "new")
-    log = spark.read.parquet(f"{path}/_log").groupBy("_version").count().collect()
-    touched = {r["_version"]: r["count"] for r in log}
-    assert touched[0] == 8 and touched[1] <= 3 and set(touched) == {0, 1}
-
-
-def test_generated_rows_are_reproducible(spark):
-    for kind in generate.KINDS:
-        a, b = (generate.generate_rows(spark, kind, 500, seed=3) for _ in range(2))
-        assert quality.same_content(a, b.repartition(3)).isEmpty()
-        assert not quality.same_content(a, generate.generate_rows(spark, kind, 500, seed=4)).isEmpty()
-    stats = generate.generate_rows(spark, "readings", 8000, 1).groupBy("sensor_type").agg(
-        F.avg("reading_value").alias("mean"), F.stddev("reading_value").alias("sd")
-    )
-    for r in stats.collect():
-        _, mean, sd = generate.SENSORS[r.sensor_type]
-        assert abs(r.mean - mean) < 4 * sd / 2000**0.5 and r.sd == pytest.approx(sd, rel=0.1)
+def test_backup_is_read_when_the_gate_fails(spark):
+    out = work_dir(spark, "gold")
+    sinks.publish(spark.range(3), f"{out}/now")
+    sinks.backup(spark, f"{out}/now", f"{out}/backup")
+    sinks.publish(spark.range(5), f"{out}/now")
+    counts = [sinks.read_last_good(spark, f"{out}/now", f"{out}/backup", ok).groupBy("_is_cached").count().first() for ok in (True, False)]
+    assert [tuple(c) for c in counts] == [(False, 5), (True, 3)]
+    assert sinks.read_or_none(spark, f"{out}/nothing") is None
 
 
 def test_stream_restart_reads_only_new_files(spark):
@@ -184,19 +168,37 @@ def test_update_mode_matches_batch(spark):
         land(readings(spark, minutes), f"{out}/landing")
         stream = streams.file_stream(spark, f"{out}/landing", SCHEMA)
         windows = streams.hourly_stream(stream, "reading_timestamp", "1 day")
-        df = runs.run_update(windows, f"{out}/table", f"{out}/checkpoint", ["sensor_id", "window_start"])
+        day = {"window_day": "to_date(window_start)"}
+        df = runs.run_update(windows, f"{out}/table", f"{out}/checkpoint", ["sensor_id", "window_start"], day)
     assert sorted((r.window_start.hour, r.n_readings) for r in df.collect()) == [(0, 3), (1, 2), (2, 1)]
 
 
+def _upsert(spark, out, source="landing", checkpoint="checkpoint"):
+    stream = streams.file_stream(spark, f"{out}/{source}", SCHEMA)
+    part = {"sensor_part": "pmod(xxhash64(sensor_id), 4)"}
+    return runs.stream_upsert(stream, f"{out}/table", ["sensor_id"], ["reading_timestamp"], f"{out}/{checkpoint}", part)
+
+
 def test_upsert_stream_keeps_the_newest(spark):
     out = work_dir(spark, "upsert")
     for minutes in ([5, 9], [7]):  # an older reading arrives later
         land(readings(spark, minutes), f"{out}/landing")
-        stream = streams.file_stream(spark, f"{out}/landing", SCHEMA)
-        df = runs.stream_upsert(stream, f"{out}/table", ["sensor_id"], ["reading_timestamp"], f"{out}/checkpoint")
+        df = _upsert(spark, out)
     assert [r.reading_value for r in df.collect()] == [9.0]
 
 
+def test_upsert_loses_nothing_with_a_new_checkpoint_or_a_second_stream(spark):
+    out = work_dir(spark, "upsert")
+    land(readings(spark, [5]), f"{out}/landing")
+    _upsert(spark, out)
+    other = readings(spark, [6]).withColumn("sensor_id", F.lit("another"))
+    land(other, f"{out}/second")
+    _upsert(spark, out, "second", "second-checkpoint")  # its batch has the same number
+    land(readings(spark, [8]), f"{out}/landing")
+    df = _upsert(spark, out, checkpoint="new-checkpoint")  # repeats the first file as well
+    assert sorted((r.sensor_id == "another", r.reading_value) for r in df.collect()) == [(False, 8.0), (True, 6.0)]
+
+
 def test_stream_expectations_report_each_batch(spark):
     out = work_dir(spark, "expect")
     land(readings(spark, [1, 2]).union(readings(spark, [3]).withColumn("reading_value", F.lit(None).cast("double"))), f"{out}/landing")

@@ -1,5 +1,6 @@
 """Hand-checked results on a small plant."""
 
+import math
 from collections import Counter
 
 import pytest
@@ -18,7 +19,7 @@ def cleaned(spark):
 
 
 def test_flags(cleaned):
-    assert Counter(r.quality_flag for r in cleaned.collect()) == {"PASS": 48, "WARN": 1, "FAIL": 1}
+    assert Counter(r.quality_flag for r in cleaned.collect()) == {"PASS": 30, "WARN": 1, "FAIL": 1}
 
 
 def test_kpi_and_alerts(spark, cleaned):
@@ -33,13 +34,13 @@ def test_kpi_and_alerts(spark, cleaned):
         assert s.stddev_reading == pytest.approx(sd, abs=6e-4)
         got = [a.stability_level, a.signal_quality, a.volatility_trend, a.spike_status, a.alert_severity]
         assert got == classes
-        assert a.range_violated and not a.has_outlier
+        assert a.range_violated == (key in golden.OUTSIDE) and not a.has_outlier
 
 
 def test_warn_rows_count_only_without_the_validity_rule(cleaned):
     strict = gold.daily_sensor_kpi(cleaned).agg(F.sum("warn_count"), F.sum("total_readings")).first()
     loose = gold.daily_sensor_kpi(cleaned, require_valid=False).agg(F.sum("warn_count"), F.sum("total_readings")).first()
-    assert tuple(strict) == (0, 48) and tuple(loose) == (1, 49)
+    assert tuple(strict) == (0, 30) and tuple(loose) == (1, 31)
 
 
 def test_stats_equal_kpi_without_quantiles(cleaned):
@@ -48,30 +49,20 @@ def test_stats_equal_kpi_without_quantiles(cleaned):
     assert a == {r.kpi_sk: tuple(r) for r in gold.daily_sensor_kpi(cleaned).select(*names).collect()}
 
 
-def test_hot_groups_change_nothing(cleaned):
-    plain = gold.daily_sensor_kpi(cleaned).orderBy("kpi_sk").collect()
-    split = gold.daily_sensor_kpi(cleaned, hot_rows=4).orderBy("kpi_sk").collect()
-    assert len(plain) == len(split)
-    for a, b in zip(plain, split):
-        assert a.asDict().keys() == b.asDict().keys()
-        for name in a.asDict():
-            assert b[name] == (pytest.approx(a[name], rel=1e-12) if isinstance(a[name], float) else a[name])
-
-
 def test_orders_and_revenue(spark):
     validated = silver.validate_orders(
         staging.stage_orders(golden.orders(spark)), staging.stage_equipment(golden.equipment(spark)), "2024-02-01"
     )
     flagged = {r.order_id: r.quality_flag for r in validated.collect()}
-    assert Counter(flagged.values()) == {"PASS": 16, "WARN": 1, "FAIL": 3}
-    assert flagged["ORD-0013"] == "WARN"
-    assert {k for k, v in flagged.items() if v == "FAIL"} == {"ORD-0007", "ORD-0009", "ORD-0014"}
+    assert Counter(flagged.values()) == {"PASS": 3, "WARN": 1, "FAIL": 3}
+    assert flagged["O7"] == "WARN"
+    assert {k for k, v in flagged.items() if v == "FAIL"} == {"O4", "O5", "O6"}
     total = gold.daily_revenue(validated).agg(
         F.count("*"), F.sum("order_count"), F.sum("total_revenue"), F.sum("total_quantity"), F.sum("warn_count")
     ).first()
-    assert tuple(total) == (17, 17, 81900.0, 113, 1)
+    assert tuple(total) == (4, 4, 19100.0, 10, 1)
     tiers = Counter(r.order_tier for r in silver.order_line_items(golden.orders(spark)).collect())
-    assert tiers == {"HIGH_VALUE": 2, "MEDIUM_VALUE": 12, "LOW_VALUE": 6}
+    assert tiers == {"HIGH_VALUE": 1, "MEDIUM_VALUE": 2, "LOW_VALUE": 4}
 
 
 def test_old_unit_is_aging_before_retired(spark):
@@ -79,17 +70,17 @@ def test_old_unit_is_aging_before_retired(spark):
     as_written = {r.equipment_id: r.lifecycle_stage for r in silver.equipment_enriched(staged, "2024-02-01").collect()}
     swapped = {r.equipment_id: r.lifecycle_stage
                for r in silver.equipment_enriched(staged, "2024-02-01", status_first=True).collect()}
-    assert (as_written["EQ-009"], swapped["EQ-009"]) == ("AGING", "RETIRED")
-    assert as_written["EQ-003"] == "AGING" and as_written["EQ-010"] == "ACTIVE"
+    assert (as_written["U3"], swapped["U3"]) == ("AGING", "RETIRED")
+    assert as_written["U1"] == "AGING" and as_written["U2"] == "ACTIVE"
 
 
 def test_gate_decisions(spark, cleaned):
     bronze = staging.stage_sensor(golden.readings(spark))
     alerts = spc.sensor_alerts(gold.daily_sensor_kpi(cleaned))
     got = {r.gate: (r.decision, r.measure) for r in quality.gate_decisions(bronze, cleaned, alerts).collect()}
-    assert got == {"bronze": ("FAIL", 1.0), "silver": ("PASS", 2.0), "gold": ("FAIL", 2.0)}
+    assert got == {"bronze": ("FAIL", 1.0), "silver": ("PASS", 3.125), "gold": ("FAIL", 1.0)}
     summary = spc.alarm_summary(alerts).first()
-    assert (summary.alarm_level, summary.exit_code, summary.critical_count) == ("CRITICAL", 2, 2)
+    assert (summary.alarm_level, summary.exit_code, summary.critical_count) == ("CRITICAL", 2, 1)
 
 
 def _classify(spark, sd, mean, low, high, psd, pmean, pmax):
@@ -156,3 +147,13 @@ def test_fail_band_comes_before_warn_band(spark):
     df = spark.createDataFrame([(None,), (-5000.0,), (-1000.0,), (0.0,), (9999.0,)], "v double")
     band = Band(-999, 9999, -2000, 20000)
     assert [r[0] for r in df.select(flags.quality_flag("v", band)).collect()] == ["FAIL", "FAIL", "WARN", "PASS", "PASS"]
+
+
+def test_rounding_keeps_every_value(spark):
+    values = [1e20, -3e25, math.nan, math.inf, None, 2.345]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(business.stable_round("v", 2)).collect()]
+    assert math.isnan(got[2]) and got[:2] + got[3:] == [1e20, -3e25, math.inf, None, 2.35]
+    business.register(spark)
+    scores = df.withColumn("m", F.lit(0.0)).withColumn("s", F.lit(1.0)).selectExpr("anomaly_score(v, m, s)").collect()
+    assert scores[0][0] == 1e20 and scores[3][0] == math.inf

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tierworks.operators.quantiles import aggregate_with_quantiles, hot_quantiles
+from tierworks.operators.quantiles import aggregate_with_quantiles, exact_quantiles
 
 PROBS = {"median": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}
 
@@ -25,23 +25,22 @@ def collected(df):
 
 
 @pytest.mark.parametrize("accuracy", [10, 100, 100_000])
-def test_hot_quantiles_are_exact(spark, accuracy):
+def test_exact_quantiles_are_exact(spark, accuracy):
     df = data(spark, accuracy).filter("v IS NOT NULL")
     plain = df.groupBy("k").agg(*[F.percentile("v", p).alias(n) for n, p in PROBS.items()])
-    got, want = collected(hot_quantiles(df, ["k"], "v", PROBS, accuracy)), collected(plain)
+    got, want = collected(exact_quantiles(df, ["k"], "v", PROBS, accuracy)), collected(plain)
     assert got.keys() == want.keys()
     for key in want:
         assert got[key] == pytest.approx(want[key], rel=1e-12)
 
 
-def test_hot_and_ordinary_groups_together(spark):
+def test_with_other_measures(spark):
     df = data(spark, 1)
     others = [F.count(F.lit(1)).alias("n"), F.max("v").alias("top")]
-    whole = aggregate_with_quantiles(df, ["k"], "v", PROBS, others)
-    split = aggregate_with_quantiles(df, ["k"], "v", PROBS, others, hot_rows=100)
-    a, b = collected(whole), collected(split)
+    got = aggregate_with_quantiles(df, ["k"], "v", PROBS, others)
+    plain = df.groupBy("k").agg(*others, *[F.percentile("v", p).alias(n) for n, p in PROBS.items()])
+    a, b = collected(got), collected(plain)
     assert a.keys() == b.keys()
-    for key in a:
-        assert b[key] == pytest.approx(a[key], rel=1e-12)
-    counts = {r.k: (r.n, r.top) for r in whole.collect()}
-    assert counts == {r.k: (r.n, r.top) for r in split.collect()}
+    for key in b:
+        assert a[key] == pytest.approx(b[key], rel=1e-12)
+    assert {r.k: (r.n, r.top) for r in got.collect()} == {r.k: (r.n, r.top) for r in plain.collect()}

@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierworks.operators import sequences as seq
-from tierworks.operators.skew import hot_groups
 
 SCHEMA = "k string, n int, ts timestamp_ntz, v double"
 START = datetime(2024, 1, 1)
@@ -30,11 +29,6 @@ def frame(spark, data):
     return spark.createDataFrame([(k, m, START + timedelta(minutes=m), v) for k, m, v in data], SCHEMA)
 
 
-def busy(df):
-    """Keys with more than three rows count as busy, so both ways run and are put together."""
-    return hot_groups(df, ["k"], 3)
-
-
 def same(a, b):
     columns = sorted(a.columns)
     assert columns == sorted(b.columns)
@@ -48,7 +42,7 @@ def test_neighbours(spark, data):
     df = frame(spark, data)
     w = W.partitionBy("k").orderBy("ts")
     want = df.withColumns({"p": F.lag("v").over(w), "q": F.lead("n").over(w)})
-    same(seq.with_neighbours(df, ["k"], ["ts"], seq.by_time("ts"), {"p": "v"}, {"q": "n"}, busy(df)), want)
+    same(seq.with_neighbours(df, ["k"], ["ts"], seq.by_time("ts"), {"p": "v"}, {"q": "n"}), want)
 
 
 @checked
@@ -56,7 +50,7 @@ def test_neighbours(spark, data):
 def test_row_number(spark, data):
     df = frame(spark, data)
     want = df.withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy("ts")).cast("bigint"))
-    same(seq.with_row_number(df, ["k"], ["ts"], seq.by_time("ts"), "rn", busy(df)), want)
+    same(seq.with_row_number(df, ["k"], ["ts"], seq.by_time("ts"), "rn"), want)
 
 
 @pytest.mark.parametrize("descending", [True, False])
@@ -66,7 +60,7 @@ def test_ranks(spark, descending, data):
     df = frame(spark, data)
     w = W.partitionBy("k").orderBy(F.col("v").desc() if descending else F.col("v").asc())
     want = df.withColumns({"r": F.rank().over(w).cast("bigint"), "d": F.dense_rank().over(w).cast("bigint")})
-    same(seq.with_ranks(df, ["k"], "v", seq.by_value("v", 2.0, descending), "r", "d", busy(df)), want)
+    same(seq.with_ranks(df, ["k"], "v", seq.by_value("v", 2.0, descending), "r", "d"), want)
 
 
 @checked
@@ -75,7 +69,7 @@ def test_running_rows(spark, data):
     df = frame(spark, data)
     w = W.partitionBy("k").orderBy("ts").rowsBetween(W.unboundedPreceding, W.currentRow)
     want = df.withColumns({"s": F.sum("v").over(w), "c": F.count("v").over(w), "a": F.avg("v").over(w)})
-    got = seq.with_running(df, ["k"], ["ts"], seq.by_time("ts"), "v", avg="a", total="s", count="c", busy=busy(df))
+    got = seq.with_running(df, ["k"], ["ts"], seq.by_time("ts"), "v", avg="a", total="s", count="c")
     same(got, want)
 
 
@@ -87,7 +81,7 @@ def test_running_with_ties(spark, data):
     w = W.partitionBy("k").orderBy("ts")
     want = df.withColumns({"s": F.sum("v").over(w), "c": F.count("v").over(w)})
     got = seq.with_running(
-        df, ["k"], ["ts"], seq.by_time("ts", "day"), "v", total="s", count="c", share_ties=True, busy=busy(df)
+        df, ["k"], ["ts"], seq.by_time("ts", "day"), "v", total="s", count="c", share_ties=True
     )
     same(got, want)
 
@@ -97,7 +91,7 @@ def test_order_may_be_null_once(spark):
                                "k string, ts timestamp_ntz, v double")
     w = W.partitionBy("k").orderBy("ts")
     want = df.withColumns({"p": F.lag("v").over(w), "q": F.lead("v").over(w)})
-    same(seq.with_neighbours(df, ["k"], ["ts"], seq.by_time("ts"), {"p": "v"}, {"q": "v"}, hot_groups(df, ["k"], 1)), want)
+    same(seq.with_neighbours(df, ["k"], ["ts"], seq.by_time("ts"), {"p": "v"}, {"q": "v"}), want)
 
 
 def test_first_rows_limits_before_the_shuffle(spark, capsys):

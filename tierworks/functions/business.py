@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.udtf import UserDefinedTableFunction
 
 from tierworks.functions.flags import first_match, label_lookup
 
@@ -27,9 +26,11 @@ def stable_round(value: str | Column, places: int) -> Column:
 
     Sums of doubles depend in their last bits on the order of the rows, which a
     cluster does not fix; the decimal drops these bits first, so that a value on
-    the edge between two results is always rounded the same way.
+    the edge between two results is always rounded the same way.  Values too large
+    for it, NaN and infinities stay as they are.
     """
-    return F.round(_col(value).cast("decimal(28,9)"), places).cast("double")
+    number = _col(value).cast("double")
+    return F.when(F.abs(number) < 1e18, F.round(number.cast("decimal(28,9)"), places).cast("double")).otherwise(number)
 
 
 def quality_score(passed: str | Column, total: str | Column) -> Column:
@@ -65,20 +66,6 @@ def date_range(spark: SparkSession, start: str, end: str) -> "DataFrame":  # noq
     return spark.range(1).select(F.explode(days).alias("dt"))
 
 
-def date_range_udtf() -> UserDefinedTableFunction:
-    """The same range as a Python table function, for lateral use in SQL."""
-    from datetime import timedelta
-
-    from pyspark.sql.functions import udtf
-
-    class DateRange:
-        def eval(self, start, end):
-            for offset in range((end - start).days + 1):
-                yield (start + timedelta(days=offset),)
-
-    return udtf(DateRange, returnType="dt: date")
-
-
 def register(spark: SparkSession) -> None:
     """SQL functions of the session with the same meaning as the columns above."""
     spark.sql(
@@ -97,6 +84,7 @@ def register(spark: SparkSession) -> None:
         """CREATE OR REPLACE TEMPORARY FUNCTION anomaly_score(r DOUBLE, mean DOUBLE, sd DOUBLE)
            RETURNS DOUBLE
            RETURN CASE WHEN sd IS NULL OR sd = 0 THEN 0D
+                       WHEN abs((r - mean) / nullif(sd, 0D)) >= 1e18D THEN abs((r - mean) / nullif(sd, 0D))
                        ELSE CAST(round(CAST(abs((r - mean) / nullif(sd, 0D)) AS DECIMAL(28, 9)), 4) AS DOUBLE) END"""
     )
     spark.sql(
@@ -106,4 +94,8 @@ def register(spark: SparkSession) -> None:
                        ELSE coalesce(element_at(map('A', 'ACTIVE', 'I', 'INACTIVE', 'M',
                             'MAINTENANCE', 'E', 'ERROR'), trim(upper(raw))), trim(upper(raw))) END"""
     )
-    spark.udtf.register("generate_date_range", date_range_udtf())
+    spark.sql(
+        """CREATE OR REPLACE TEMPORARY FUNCTION generate_date_range(a DATE, z DATE)
+           RETURNS TABLE (dt DATE)
+           RETURN SELECT explode(sequence(a, z)) AS dt"""
+    )

@@ -12,7 +12,6 @@ from tierworks.functions.keys import row_number_value, surrogate_key
 from tierworks.operators.quantiles import aggregate_with_quantiles
 from tierworks.operators.sequences import by_time, first_rows, with_row_number
 from tierworks.operators.silver import promotable
-from tierworks.operators.skew import HOT_ROWS, busy_keys
 
 
 def count_where(condition: Column) -> Column:
@@ -44,12 +43,11 @@ def daily_sensor_stats(silver: DataFrame, require_valid: bool = True) -> DataFra
     return stats.select(surrogate_key("sensor_id", "kpi_date").alias("kpi_sk"), "*")
 
 
-def daily_sensor_kpi(silver: DataFrame, require_valid: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+def daily_sensor_kpi(silver: DataFrame, require_valid: bool = True) -> DataFrame:
     """Readings per sensor and day: count, mean, extremes, sample deviation, median, p95, warnings."""
-    sizes = silver.select("sensor_id", F.col("reading_timestamp").cast("date").alias("kpi_date"))
     kpi = aggregate_with_quantiles(
         _kpi_rows(silver, require_valid), KPI_KEYS, "reading_value",
-        {"median_reading": 0.5, "p95_reading": 0.95}, _kpi_measures(), sizes, hot_rows,
+        {"median_reading": 0.5, "p95_reading": 0.95}, _kpi_measures(),
     )
     return kpi.select(
         surrogate_key("sensor_id", "kpi_date").alias("kpi_sk"), *KPI_KEYS,
@@ -121,27 +119,16 @@ def hourly_agg(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataF
     return df.groupBy(*keys, hour).agg(F.avg(value).alias("avg_value"), F.max(value).alias("max_value"))
 
 
-def reading_lists(
-    df: DataFrame, keys: Sequence[str], ts: str, unit: str = "hour", page_rows: int = 10_000, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Readings of each key as arrays in time order.
+def reading_lists(df: DataFrame, keys: Sequence[str], ts: str, unit: str = "hour") -> DataFrame:
+    """Readings of each key as one array per time slot, in time order.
 
-    There is one array per time slot, cut into pages of at most ``page_rows``
-    readings: no array and no task holds an unbounded group, and together the
-    pages hold every reading.  ``ts`` must be unique inside a key.
+    ``unit`` is the slot and the only bound of an array: choose one whose readings suit one row.
     """
     slot = F.date_trunc(unit, ts).cast("timestamp_ntz").alias("slot_start")
-    slotted = df.select(*keys, "reading_value", "status", ts, slot)
-    groups = [*keys, "slot_start"]
-    if busy_keys(slotted, groups, page_rows) is None:
-        numbered, page = slotted, F.lit(0).cast("bigint").alias("page")
-    else:
-        busy = busy_keys(slotted, groups, hot_rows)
-        numbered = with_row_number(slotted, groups, [ts], by_time(ts, "minute"), "_row", busy)
-        page = F.floor((F.col("_row") - 1) / page_rows).alias("page")
+    numbered = df.select(*keys, "reading_value", "status", ts, slot)
     entries = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("t"), F.col("reading_value").alias("v"))))
     return (
-        numbered.groupBy(*keys, "slot_start", page)
+        numbered.groupBy(*keys, "slot_start")
         .agg(entries.alias("_e"), F.array_sort(F.collect_set("status")).alias("unique_statuses"))
         .withColumn("all_readings", F.filter(F.transform("_e", lambda e: e.v), lambda v: v.isNotNull()))
         .withColumn("reading_count", F.size("all_readings"))

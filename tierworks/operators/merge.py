@@ -5,21 +5,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierworks.operators.gold import daily_sensor_kpi
 from tierworks.operators.sequences import first_rows
+from tierworks.operators.skew import same_keys
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows; the query fails if a key occurs twice.
-
-    One aggregation by key does both, combined before its shuffle.
-    """
-    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*df.columns)).alias("_r"))
-    key_text = F.concat_ws(",", *[F.col(k).cast("string") for k in keys])
+    """The same rows; the query fails if a key occurs twice (NULL is a value here)."""
+    counted = df.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy(*keys)))
+    key_text = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
     clash = F.raise_error(F.concat(F.lit("duplicate merge key: "), key_text)).cast("boolean")
-    return rows.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(clash)).select("_r.*")
+    return counted.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(clash)).drop("_n")
+
+
+def _without(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in ``others``; NULL keys are equal to each other."""
+    return rows.alias("l").join(others.select(*keys).alias("r"), same_keys("l", "r", keys), "left_anti")
 
 
 def merge_upsert(
@@ -29,44 +33,48 @@ def merge_upsert(
     delete_when: Column | None = None,
     strict: bool = True,
 ) -> DataFrame:
-    """Update all columns on a match, insert otherwise.
+    """Update all columns on a match, insert otherwise; NULL keys match each other.
 
     ``delete_when`` is a condition on source rows whose keys leave the table.
     Source keys must be unique (``strict`` fails on a repeated key).
     """
     rows = require_unique(source, keys) if strict else source
-    untouched = target.join(source.select(*keys).distinct(), list(keys), "left_anti")
     arriving = rows if delete_when is None else rows.filter(~F.coalesce(delete_when, F.lit(False)))
-    return untouched.unionByName(arriving.select(*target.columns))
+    return _without(target, source, keys).unionByName(arriving.select(*target.columns))
 
 
 def merge_when(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], changed: Sequence[str]
+    target: DataFrame, source: DataFrame, keys: Sequence[str], changed: Sequence[str], condition: Column | None = None
 ) -> DataFrame:
-    """Update only the ``changed`` columns, and only where they differ; insert new keys."""
-    t, s = target.alias("t"), source.alias("s")
-    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    joined = t.join(s, on, "full")
-    in_target = F.col(f"t.{keys[0]}").isNotNull()
-    in_source = F.col(f"s.{keys[0]}").isNotNull()
+    """Update only the ``changed`` columns, where ``condition`` holds; insert new keys.
+
+    ``condition`` is the caller's own test on the aliases ``t`` and ``s``; without one a
+    column is updated where it differs.  NULL keys match each other.
+    """
+    t = target.withColumn("_here", F.lit(True)).alias("t")
+    s = source.withColumn("_here", F.lit(True)).alias("s")
+    joined = t.join(s, same_keys("t", "s", keys), "full")
+    in_target, in_source = F.col("t._here").isNotNull(), F.col("s._here").isNotNull()
     columns = []
     for c in target.columns:
         mine, theirs = F.col(f"t.{c}"), F.col(f"s.{c}")
-        if c in keys:
-            columns.append(F.coalesce(mine, theirs).alias(c))
-        elif c in changed:
+        if c in changed:
             # A plain comparison: an unknown value on either side is not a change.
-            differs = in_target & in_source & F.coalesce(mine != theirs, F.lit(False))
-            columns.append(F.when(~in_target | differs, theirs).otherwise(mine).alias(c))
+            wanted = mine != theirs if condition is None else condition
+            update = in_target & in_source & F.coalesce(wanted, F.lit(False))
+            columns.append(F.when(~in_target | update, theirs).otherwise(mine).alias(c))
         else:
             columns.append(F.when(in_target, mine).otherwise(theirs).alias(c))
     return joined.select(*columns)
 
 
-def merge_insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Append source rows whose key is not in the target; running it twice adds nothing."""
-    new = source.join(target.select(*keys), list(keys), "left_anti")
-    return target.unionByName(new.select(*target.columns))
+def merge_insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Append source rows whose key is not in the target; running it twice adds nothing.
+
+    Of several source rows with one key the first by ``order`` enters.
+    """
+    first = first_rows(source, keys, list(order) or [F.col(c) for c in target.columns])
+    return target.unionByName(_without(first, target, keys).select(*target.columns))
 
 
 def merge_kpi(target: DataFrame, silver: DataFrame) -> DataFrame:
@@ -83,9 +91,18 @@ def incremental_new(source: DataFrame, target: DataFrame, ts: str, lookback: str
     return source.filter(F.col(ts) > target.agg(mark).scalar())
 
 
-def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], seq: str, op: str = "op") -> DataFrame:
-    """Apply ordered inserts, updates and deletes; the last change of a key decides."""
-    last = first_rows(changes, keys, [F.col(seq).desc()])
+def cdc_apply(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], seq: str, op: str = "op", target_seq: str | None = None,
+    tie_break: Sequence[Column] = (),
+) -> DataFrame:
+    """Apply ordered inserts, updates and deletes; the last change of a key decides (equal ones by ``tie_break``).
+
+    With ``target_seq``, the column of the target that holds the order, changes older than the target's row are left out.
+    """
+    last = first_rows(changes, keys, [F.col(seq).desc(), *tie_break])
+    if target_seq is not None:
+        newer = F.col(f"r.{target_seq}") > F.col(f"l.{seq}")
+        last = last.alias("l").join(target.select(*keys, target_seq).alias("r"), same_keys("l", "r", keys) & newer, "left_anti")
     return merge_upsert(target, last, keys, delete_when=F.col(op) == "D", strict=False)
 
 

@@ -10,42 +10,33 @@ from pyspark.sql import functions as F
 
 from tierworks.functions.timeparts import boundary_diff
 from tierworks.operators import sequences as seq
-from tierworks.operators.skew import HOT_ROWS, busy_keys
 
 
 def rank_readings(
-    df: DataFrame, key: str, ts: str, value: str, value_step: float = 1.0, hot_rows: int = HOT_ROWS
+    df: DataFrame, key: str, ts: str, value: str, value_step: float = 0.01, tie_break: Sequence[str] = ()
 ) -> DataFrame:
-    """Position by time and rank by falling value of each reading of a sensor."""
-    busy = busy_keys(df, [key], hot_rows)
-    numbered = seq.with_row_number(df, [key], [ts], seq.by_time(ts), "row_num", busy)
+    """Position by time (then ``tie_break``) and rank by falling value of each reading of a sensor."""
+    numbered = seq.with_row_number(df, [key], [ts, *tie_break], seq.by_time(ts), "row_num")
     steps = seq.by_value(value, value_step, descending=True)
-    return seq.with_ranks(numbered, [key], value, steps, "value_rank", "value_dense_rank", busy)
+    return seq.with_ranks(numbered, [key], value, steps, "value_rank", "value_dense_rank")
 
 
-def neighbour_readings(df: DataFrame, key: str, ts: str, value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    busy = busy_keys(df, [key], hot_rows)
-    return seq.with_neighbours(
-        df, [key], [ts], seq.by_time(ts), {"lag_value": value}, {"lead_value": value}, busy
-    )
+def neighbour_readings(df: DataFrame, key: str, ts: str, value: str, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Values before and after each reading by time, then ``tie_break``."""
+    order = [ts, *tie_break]
+    return seq.with_neighbours(df, [key], order, seq.by_time(ts), {"lag_value": value}, {"lead_value": value})
 
 
-def running_avg_range(df: DataFrame, key: str, ts: str, value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def running_avg_range(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     """Average up to this time; readings of the same time share it."""
-    busy = busy_keys(df, [key], hot_rows)
-    return seq.with_running(
-        df, [key], [ts], seq.by_time(ts, "day"), value, avg="running_avg", share_ties=True, busy=busy
-    )
+    return seq.with_running(df, [key], [ts], seq.by_time(ts), value, avg="running_avg", share_ties=True)
 
 
 def running_avg_rows(
-    df: DataFrame, key: str, order: Sequence[str], ts: str, value: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, key: str, order: Sequence[str], ts: str, value: str
 ) -> DataFrame:
     """Average up to this row in the given unique order."""
-    busy = busy_keys(df, [key], hot_rows)
-    return seq.with_running(
-        df, [key], order, seq.by_time(ts), value, avg="running_avg", count="running_count", busy=busy
-    )
+    return seq.with_running(df, [key], order, seq.by_time(ts), value, avg="running_avg", count="running_count")
 
 
 def latest_per_key(df: DataFrame, key: str, ts: str, tie_break: Sequence[Column] = ()) -> DataFrame:
@@ -94,17 +85,16 @@ def late_rows(df: DataFrame, ts: str, delay: str) -> DataFrame:
 
 
 def sessions(
-    df: DataFrame, key: str, ts: str, gap_seconds: int, max_rate: float | None = None, hot_rows: int = HOT_ROWS
+    df: DataFrame, key: str, ts: str, gap_seconds: int, max_rate: float | None = None
 ) -> DataFrame:
     """Sessions per key: a new one starts after a gap of at least ``gap_seconds``.
 
     ``max_rate`` marks sessions above that many events per minute as bots.
     """
-    busy = busy_keys(df, [key], hot_rows)
     gap = F.col(ts) >= F.col("_prev") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
-    steps = seq.with_neighbours(df.select(key, ts), [key], [ts], seq.by_time(ts), {"_prev": ts}, busy=busy)
+    steps = seq.with_neighbours(df.select(key, ts), [key], [ts], seq.by_time(ts), {"_prev": ts})
     marked = steps.withColumn("_start", F.when(F.col("_prev").isNull() | gap, 1).otherwise(0))
-    numbered = seq.with_running(marked, [key], [ts], seq.by_time(ts), "_start", total="session_no", busy=busy)
+    numbered = seq.with_running(marked, [key], [ts], seq.by_time(ts), "_start", total="session_no")
     out = numbered.groupBy(key, F.col("session_no").cast("bigint").alias("session_no")).agg(
         F.min(ts).alias("session_start"), F.max(ts).alias("session_last"), F.count(F.lit(1)).alias("n_events")
     )

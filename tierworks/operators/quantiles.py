@@ -1,9 +1,9 @@
 """Exact continuous quantiles per group, safe for very large groups.
 
-``percentile`` keeps every distinct value of a group in one task.  Groups above
-``hot_rows`` rows take another way: a mergeable sketch brackets each wanted
-rank, exact counts below the bracket are taken in a second pass, and only the
-values inside the bracket are ranked.  Both ways give the exact quantile.
+``percentile`` keeps every distinct value of a group in one task.  Here a mergeable
+sketch brackets each wanted rank, exact counts below the bracket are taken in a
+second pass, and only the values inside the bracket are ranked, which gives the
+exact quantile by the same plan at every size.
 """
 
 from __future__ import annotations
@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tierworks.operators.skew import HOT_ROWS, busy_keys, by_size, same_keys
+from tierworks.operators.skew import same_keys
 
 SKETCH_ACCURACY = 100_000
 
 
-def hot_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """Exact quantiles by bracketing; every step is combined before its shuffle."""
     names = list(probs)
     margin = 2.0 / accuracy
@@ -33,7 +33,7 @@ def hot_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping
     )
 
     # Count exactly what lies below and up to each bracket.
-    joined = values.alias("v").join(F.broadcast(sketch).alias("s"), same_keys("v", "s", keys))
+    joined = values.alias("v").join(sketch.alias("s"), same_keys("v", "s", keys))
     counts = []
     for i, _ in enumerate(names):
         low, high = F.col("s._edges")[2 * i], F.col("s._edges")[2 * i + 1]
@@ -64,7 +64,7 @@ def hot_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping
     inside = (
         values.alias("v")
         .join(
-            F.broadcast(targets).alias("t"),
+            targets.alias("t"),
             same_keys("v", "t", keys) & F.col("v._v").between(F.col("t.lo"), F.col("t.hi")),
         )
         .groupBy(*[F.col(f"v.{k}").alias(k) for k in keys], "t.q", "t.position", "t.below", "v._v")
@@ -87,34 +87,9 @@ def hot_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping
 
 
 def aggregate_with_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: Mapping[str, float],
-    others: Sequence[Column],
-    sizes: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], others: Sequence[Column]
 ) -> DataFrame:
-    """One aggregation of ``others`` plus exact quantiles of ``value``.
-
-    Ordinary groups need a single scan and shuffle.  Whether any group is hot is
-    asked first by counting ``sizes``: fewer columns which bound the groups from
-    above (by default the keys).  Only the yes or no reaches the driver.
-    """
-    bounds = df.select(*keys) if sizes is None else sizes
-    # One percentile call with all probabilities keeps one map of values per group.
-    several = F.percentile(value, list(probs.values())).alias("_q")
-    picked = [F.col("_q")[i].alias(n) for i, n in enumerate(probs)]
-
-    def plain(rows: DataFrame) -> DataFrame:
-        out = rows.groupBy(*keys).agg(*others, several)
-        return out.select(*[c for c in out.columns if c != "_q"], *picked)
-
-    def bracketed(rows: DataFrame) -> DataFrame:
-        base, exact = rows.groupBy(*keys).agg(*others), hot_quantiles(rows, keys, value, probs)
-        joined = base.alias("b").join(exact.alias("e"), same_keys("b", "e", keys), "left")
-        return joined.select("b.*", *[F.col(f"e.{n}").alias(n) for n in probs])
-
-    if busy_keys(bounds, bounds.columns, hot_rows) is None:
-        return plain(df)
-    return by_size(df, keys, busy_keys(df, keys, hot_rows), plain, bracketed)
+    """``others`` plus exact quantiles of ``value`` per group."""
+    base, exact = df.groupBy(*keys).agg(*others), exact_quantiles(df, keys, value, probs)
+    joined = base.alias("b").join(exact.alias("e"), same_keys("b", "e", keys), "left")
+    return joined.select("b.*", *[F.col(f"e.{n}").alias(n) for n in probs])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tierworks.functions.keys import row_hash, surrogate_key
 from tierworks.operators import sequences as seq
-from tierworks.operators.skew import HOT_ROWS, busy_keys
+from tierworks.operators.merge import require_unique
 from tierworks.schemas import OPEN_END
 
 
@@ -26,31 +26,32 @@ def _same(left: str, right: str, columns: Sequence[str]) -> Column:
 
 def detect_changes(source: DataFrame, history: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
     """Source rows labelled New, Changed or Unchanged against the current versions."""
-    current = history.filter("is_current").select(F.col(key).alias("_key"), F.col("row_hash").alias("_hash"))
-    hashed = source.withColumn("row_hash", row_hash(tracked))
+    current = history.filter("is_current").select(key, *tracked, F.lit(True).alias("_known")).alias("c")
+    hashed = source.withColumn("row_hash", row_hash(tracked)).alias("s")
     label = (
-        F.when(F.col("_key").isNull(), "New")
-        .when(F.col("_hash") != F.col("row_hash"), "Changed")
-        .otherwise("Unchanged")
+        F.when(F.col("c._known").isNull(), "New").when(~_same("c", "s", tracked), "Changed").otherwise("Unchanged")
     )
-    return hashed.join(current, F.col(key) == F.col("_key"), "left").withColumn("change", label).drop("_key", "_hash")
+    return hashed.join(current, F.col(f"s.{key}") == F.col(f"c.{key}"), "left").select("s.*", label.alias("change"))
 
 
 def scd2_build(
-    versions: DataFrame, key: str, tracked: Sequence[str], ts: str, unit: str = "day", hot_rows: int = HOT_ROWS
+    versions: DataFrame, key: str, tracked: Sequence[str], ts: str, unit: str = "day"
 ) -> DataFrame:
     """History from a batch of versions.
 
     Consecutive versions with equal tracked values collapse into one; each version
-    ends where the next one starts, the last one is open.  Keys with very many
-    versions are spread over chunks of one ``unit``.
+    ends where the next one starts, the last one is open.  Versions are spread over
+    chunks of one ``unit``, compared by their columns and, at the same time, ordered by them.
     """
-    busy = busy_keys(versions, [key], hot_rows)
-    hashed = versions.withColumn("row_hash", row_hash(tracked)).dropDuplicates([key, ts, "row_hash"])
-    chunks, order = seq.by_time(ts, unit), [ts, "row_hash"]
-    steps = seq.with_neighbours(hashed, [key], order, chunks, lag={"_prev_hash": "row_hash"}, busy=busy)
-    starts = steps.filter(~F.col("_prev_hash").eqNullSafe(F.col("row_hash"))).withColumn("valid_from", F.col(ts))
-    closed = seq.with_neighbours(starts, [key], order, chunks, lead={"_next_from": "valid_from"}, busy=busy)
+    hashed = versions.withColumn("row_hash", row_hash(tracked)).dropDuplicates([key, ts, *tracked])
+    chunks, order = seq.by_time(ts, unit), [ts, "row_hash", *tracked]
+    before = {"_prev_at": ts, **{f"_prev_{c}": c for c in tracked}}
+    steps = seq.with_neighbours(hashed, [key], order, chunks, lag=before)
+    unchanged = F.col("_prev_at").isNotNull()
+    for c in tracked:
+        unchanged = unchanged & F.col(c).eqNullSafe(F.col(f"_prev_{c}"))
+    starts = steps.filter(~unchanged).drop(*before).withColumn("valid_from", F.col(ts))
+    closed = seq.with_neighbours(starts, [key], order, chunks, lead={"_next_from": "valid_from"})
     return closed.select(
         surrogate_key(key, "row_hash", "valid_from").alias("version_sk"),
         key,
@@ -66,16 +67,16 @@ def scd2_merge(history: DataFrame, source: DataFrame, key: str, tracked: Sequenc
     """Merge a new load into the history in one pass.
 
     A changed current version is closed at ``effective`` and its new version is
-    added; new keys are added; everything else stays as it is.  Keys are unique
-    among current versions, so the full join pairs one row with one row.
+    added; new keys are added; everything else stays as it is.  A source key that
+    occurs twice fails the query, so the full join pairs one row with one row.
     """
     at = F.lit(effective).cast("timestamp_ntz")
     past = history.filter(~F.col("is_current"))
     current = history.filter("is_current").alias("c")
-    incoming = source.select(key, *tracked).withColumn("row_hash", row_hash(tracked)).alias("s")
+    incoming = require_unique(source.select(key, *tracked), [key]).withColumn("row_hash", row_hash(tracked)).alias("s")
     pairs = current.join(incoming, F.col(f"c.{key}") == F.col(f"s.{key}"), "full")
     has_old, has_new = F.col(f"c.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
-    changed = has_old & has_new & (F.col("c.row_hash") != F.col("s.row_hash"))
+    changed = has_old & has_new & ~_same("c", "s", tracked)
 
     old = F.struct(
         *[F.col(f"c.{c}").alias(c) for c in history.columns if c not in ("is_current", "valid_to")],

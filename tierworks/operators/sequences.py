@@ -1,12 +1,11 @@
 """Ordered operations per key that stay spread when one key owns much of the data.
 
-A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task, which is
-right for ordinary keys.  Busy keys (``skew.busy_keys``) are cut into chunks along
-the order column (an hour, a value range).  Rows are windowed inside (key, chunk);
-what crosses chunk borders - counts, sums, edge values - is carried by a table
-with one row per chunk, small enough for a plain window.  Rows equal in the order
-column are first counted together, so a frequent value costs one row.  Both ways
-give the same result.
+A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task.  Here every
+key is cut into chunks along the order column (a minute, a value range; both are
+parameters).  Rows are windowed inside (key, chunk); what crosses chunk borders -
+counts, sums, edge values - is carried by a table with one row per chunk, small
+enough for a plain window.  Rows equal in the order column are first counted
+together, so a frequent value costs one row.  The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -19,8 +18,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierworks.operators.skew import by_size
-
 _CHUNK, _NULLS = "_chunk", "_nulls"
 
 
@@ -32,7 +29,7 @@ class Chunks:
     descending: bool = False
 
 
-def by_time(ts: str, unit: str = "hour") -> Chunks:
+def by_time(ts: str, unit: str = "minute") -> Chunks:
     return Chunks(F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz"))
 
 
@@ -278,52 +275,23 @@ def with_neighbours(
     chunks: Chunks,
     lag: Mapping[str, str] | None = None,
     lead: Mapping[str, str] | None = None,
-    busy: DataFrame | None = None,
 ) -> DataFrame:
     """Add values of the previous (``lag``) and next (``lead``) row of the key.
 
-    ``lag`` and ``lead`` map new column names to source columns; ``order`` must be
-    unique inside a key; ``busy`` lists keys too large for one task.
+    ``lag`` and ``lead`` map new column names to source columns; rows that are equal
+    in ``order`` stand in an arbitrary order to each other, so end it with a tie-break.
     """
-    lag, lead = dict(lag or {}), dict(lead or {})
-    w = W.partitionBy(*keys).orderBy(*order)
-    added = {n: F.lag(c).over(w) for n, c in lag.items()} | {n: F.lead(c).over(w) for n, c in lead.items()}
-    return by_size(
-        df, keys, busy,
-        lambda rows: rows.withColumns(added),
-        lambda rows: _spread_neighbours(rows, keys, order, chunks, lag, lead),
-    )
+    return _spread_neighbours(df, keys, order, chunks, dict(lag or {}), dict(lead or {}))
 
 
-def with_row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: Chunks, out: str, busy: DataFrame | None = None
-) -> DataFrame:
-    """Position of each row of a key in ascending ``order``, which must be unique inside a key."""
-    number = F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    return by_size(
-        df, keys, busy,
-        lambda rows: rows.withColumn(out, number),
-        lambda rows: _spread_row_number(rows, keys, order, chunks, out),
-    )
+def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: Chunks, out: str) -> DataFrame:
+    """Position of each row of a key in ascending ``order``; see ``with_neighbours`` about ties."""
+    return _spread_row_number(df, keys, order, chunks, out)
 
 
-def with_ranks(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    chunks: Chunks,
-    rank: str,
-    dense_rank: str,
-    busy: DataFrame | None = None,
-) -> DataFrame:
+def with_ranks(df: DataFrame, keys: Sequence[str], value: str, chunks: Chunks, rank: str, dense_rank: str) -> DataFrame:
     """rank and dense_rank of ``value`` inside each key."""
-    w = W.partitionBy(*keys).orderBy(F.col(value).desc() if chunks.descending else F.col(value).asc())
-    added = {rank: F.rank().over(w).cast("bigint"), dense_rank: F.dense_rank().over(w).cast("bigint")}
-    return by_size(
-        df, keys, busy,
-        lambda rows: rows.withColumns(added),
-        lambda rows: _spread_ranks(rows, keys, value, chunks, rank, dense_rank),
-    )
+    return _spread_ranks(df, keys, value, chunks, rank, dense_rank)
 
 
 def with_running(
@@ -336,25 +304,15 @@ def with_running(
     total: str | None = None,
     count: str | None = None,
     share_ties: bool = False,
-    busy: DataFrame | None = None,
 ) -> DataFrame:
     """Running average, sum and count of ``value``.
 
-    Each row ends its own frame (ROWS), and ``order`` must be unique inside a key.
-    With ``share_ties`` rows equal in the one order column share a result (the default RANGE frame).
+    Each row ends its own frame (ROWS).  With ``share_ties`` rows equal in the one
+    order column share a result (the default RANGE frame).
     """
-    w = W.partitionBy(*keys).orderBy(*order)
-    if not share_ties:
-        w = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    measures = ((avg, F.avg(value)), (total, F.sum(value)), (count, F.count(value)))
-    added = {name: measure.over(w) for name, measure in measures if name}
-
-    def spread(rows: DataFrame) -> DataFrame:
-        if share_ties:
-            return _spread_running_ties(rows, keys, order[0], chunks, value, avg, total, count)
-        return _spread_running(rows, keys, order, chunks, value, avg, total, count)
-
-    return by_size(df, keys, busy, lambda rows: rows.withColumns(added), spread)
+    if share_ties:
+        return _spread_running_ties(df, keys, order[0], chunks, value, avg, total, count)
+    return _spread_running(df, keys, order, chunks, value, avg, total, count)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:

@@ -1,14 +1,12 @@
-"""Finding and separating groups too large for one task."""
+"""Keys that may be NULL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000
-
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     """NULL-safe equality of keys between two aliases."""
@@ -16,39 +14,3 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     for key in keys:
         condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
     return condition
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Groups with more than ``hot_rows`` rows; never more than rows / hot_rows of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
-
-
-def busy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The hot groups, or None where there are none.
-
-    This runs a count over the key columns before the plan is built, so that data
-    without hot groups gets the plain plan; only the yes or no reaches the driver.
-    """
-    hot = hot_groups(df.select(*keys), keys, hot_rows)
-    return None if hot.isEmpty() else hot
-
-
-def split_busy(df: DataFrame, keys: Sequence[str], busy: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary groups, rows of hot groups); the list of hot groups is small by its definition."""
-    marker = F.broadcast(busy).alias("h")
-    condition = same_keys("d", "h", keys)
-    return df.alias("d").join(marker, condition, "left_anti"), df.alias("d").join(marker, condition, "left_semi")
-
-
-def by_size(
-    df: DataFrame,
-    keys: Sequence[str],
-    busy: DataFrame | None,
-    plain: Callable[[DataFrame], DataFrame],
-    spread: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """``plain`` for ordinary groups and ``spread`` for hot ones, which give the same columns."""
-    if busy is None:
-        return plain(df)
-    ordinary, hot = split_busy(df, keys, busy)
-    return plain(ordinary).unionByName(spread(hot))

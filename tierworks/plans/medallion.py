@@ -37,9 +37,6 @@ class RunResult:
     def status(self) -> str:
         return "SUCCESS" if all(d == "PASS" for _, d, _ in self.gates) else "PARTIAL"
 
-    def as_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.gates, "gate string, decision string, measure double")
-
 
 def _measure(df: DataFrame, value) -> float:
     """One number of a table; the only thing a gate brings to the driver."""
@@ -62,6 +59,9 @@ def run_medallion(bronze: DataFrame, cfg: RunConfig) -> RunResult:
         return passed
 
     def finish(table: DataFrame) -> RunResult:
+        gates = [F.struct(F.lit(g).alias("gate"), F.lit(d).alias("decision"), F.lit(m).alias("measure")) for g, d, m in result.gates]
+        rows = spark.range(1).select(F.inline(F.array(*gates)))
+        sinks.publish(rows.withColumn("run_at", F.lit(cfg.at).cast("timestamp_ntz")).coalesce(1), f"{cfg.root}/gates", mode="append")
         status = "SUCCESS" if result.status == "SUCCESS" else "FAILURE"
         row = operations.audit_row(table, "MEDALLION_RUN", status, cfg.at)
         sinks.publish(row.coalesce(1), log, mode="append")
@@ -70,8 +70,8 @@ def run_medallion(bronze: DataFrame, cfg: RunConfig) -> RunResult:
     def skip(*gates: str) -> None:
         result.gates.extend((gate, "SKIP", 0.0) for gate in gates)
 
-    sinks.publish_version(bronze, path["bronze"], cfg.at)
-    raw = sinks.read_as_of(spark, path["bronze"])
+    sinks.publish(bronze, path["bronze"])
+    raw = spark.read.parquet(path["bronze"])
     incomplete = F.lit(False)
     for column in cfg.required:
         incomplete = incomplete | F.col(column).isNull()
@@ -84,8 +84,8 @@ def run_medallion(bronze: DataFrame, cfg: RunConfig) -> RunResult:
 
     cleaned = silver.clean_sensors(staging.stage_sensor(raw), cfg.band)
     newest = [F.col("loaded_at").desc_nulls_last(), F.col("reading_value").desc_nulls_last(), F.col("status").asc()]
-    sinks.publish_version(first_rows(cleaned, list(cfg.duplicate_keys), newest), path["silver"], cfg.at)
-    clean = sinks.read_as_of(spark, path["silver"])
+    sinks.publish(first_rows(cleaned, list(cfg.duplicate_keys), newest), path["silver"])
+    clean = spark.read.parquet(path["silver"])
     good, bad = merge.split_by_flag(clean, {"missing value": F.col("reading_value").isNull()})
     sinks.publish(bad, f"{quarantine}/silver")
     share = F.count_if(F.col("quality_flag") == "FAIL") * 100.0 / F.nullif(F.count(F.lit(1)), F.lit(0))
@@ -93,17 +93,22 @@ def run_medallion(bronze: DataFrame, cfg: RunConfig) -> RunResult:
         skip("gold")
         return finish(clean)
 
-    if sinks.latest_version(spark, path["alerts"]) is not None:
-        sinks.backup(spark, path["alerts"], path["alerts_backup"], cfg.at)
-    sinks.publish_version(gold.daily_sensor_kpi(good), path["kpi"], cfg.at)
-    alerts = spc.sensor_alerts(sinks.read_as_of(spark, path["kpi"]), cfg.limits)
-    sinks.publish_version(alerts, path["alerts"], cfg.at)
-    published = sinks.read_as_of(spark, path["alerts"])
+    if sinks.read_or_none(spark, path["alerts"]) is not None:
+        sinks.backup(spark, path["alerts"], path["alerts_backup"])
+    sinks.publish(gold.daily_sensor_kpi(good), path["kpi"])
+    sinks.publish(spc.sensor_alerts(spark.read.parquet(path["kpi"]), cfg.limits), path["alerts"])
+    published = spark.read.parquet(path["alerts"])
     critical = F.count_if(F.col("alert_severity") == "CRITICAL")
     decide("gold", _measure(latest_slice(published, "kpi_date"), critical), cfg.max_critical)
     return finish(published)
 
 
+def read_gates(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """The gate decisions of the run at ``cfg.at``, from the run table."""
+    rows = spark.read.parquet(f"{cfg.root}/gates").filter(F.col("run_at") == F.lit(cfg.at).cast("timestamp_ntz"))
+    return rows.select("gate", "decision", "measure")
+
+
 def read_gold(spark: SparkSession, cfg: RunConfig, result: RunResult) -> DataFrame:
     """Alerts of this run, or the last good ones marked ``_is_cached``."""
     return sinks.read_last_good(

@@ -1,4 +1,4 @@
-"""Queries which write and stream: files, layouts, versions, micro-batches and the whole run.
+"""Queries which write and stream: files, layouts, backups, micro-batches and the whole run.
 
 Each one writes under the shared folder of the session, in a fresh place, and
 returns what a reader of the written table sees.
@@ -14,12 +14,12 @@ from tierworks import bindings as b
 from tierworks.operators import quality
 from tierworks.operators.ordering import sessions
 from tierworks.plans import base
-from tierworks.plans.medallion import RunConfig, run_medallion
+from tierworks.plans.medallion import RunConfig, read_gates, run_medallion
 from tierworks.plans.oracle import rounds, sql, stable
 from tierworks.plans.registry import query, rounded
 from tierworks.schemas import EQUIPMENT, TABLES
 from tierworks.session import work_dir
-from tierworks.sources import files, generate, ingest, sinks
+from tierworks.sources import files, ingest, sinks
 from tierworks.streaming import runs, streams
 
 EVENTS_FILE = "events.parquet"
@@ -99,36 +99,6 @@ def rejects(spark: SparkSession, d: str) -> DataFrame:
     return files.load_rejects(_dirty_csv(spark, d)).select("rejected_record")
 
 
-@query("src_13_generated_orders")
-def generated_orders(spark: SparkSession, d: str) -> DataFrame:
-    ids = b.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
-    return generate.orders_from(ids, seed=7)
-
-
-@query("src_13_generated_order_keys", """SELECT 'ORD-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS order_id,
- 'MAT-' || lpad(CAST(o_orderkey % 5000 AS VARCHAR), 5, '0') AS material_id,
- 'VND-' || lpad(CAST(o_orderkey % 200 AS VARCHAR), 4, '0') AS vendor_id,
- 'CUST-' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 5, '0') AS customer_id,
- CASE o_orderkey % 5 WHEN 0 THEN 'PLT-BKK' WHEN 1 THEN 'PLT-SGP' WHEN 2 THEN 'PLT-HKG' WHEN 3 THEN 'PLT-TYO' ELSE 'PLT-SYD' END AS plant_code,
- CASE o_orderkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'THB' WHEN 2 THEN 'SGD' ELSE 'JPY' END AS currency,
- true AS quantity_in_range, true AS total_adds_up, true AS delivered_later FROM orders""")
-def generated_order_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Columns which follow from the id, and the limits the other ones keep."""
-    total = F.abs(F.col("total_amount") - F.col("quantity") * F.col("unit_price")) < 0.006
-    days = F.datediff("delivery_date", "order_date")
-    return generated_orders(spark, d).select(
-        "order_id", "material_id", "vendor_id", "customer_id", "plant_code", "currency",
-        F.col("quantity").between(1, 1000).alias("quantity_in_range"),
-        total.alias("total_adds_up"), days.between(1, 30).alias("delivered_later"),
-    )
-
-
-@query("src_13_generated_readings")
-def generated_readings(spark: SparkSession, d: str) -> DataFrame:
-    ids = b.table(spark, d, "events").select(F.col("event_id").alias("id"))
-    return generate.readings_from(ids, seed=7)
-
-
 # --- sinks -------------------------------------------------------------------------------------------
 
 
@@ -204,46 +174,16 @@ def append_checked(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-# --- versions ------------------------------------------------------------------------------------------
-
-
-def _two_versions(spark: SparkSession, d: str) -> str:
-    out = work_dir(spark, "versions")
-    sinks.publish_version(base.staged_vendors(spark, d), out, b.V1_TIME)
-    sinks.publish_version(base.staged_vendors(spark, d, 2), out, b.V2_TIME)
-    return out
-
-
-@query("chg_17_read_version", sql("SELECT vendor_number AS vendor_id, * FROM vendors1", "vendors1"))
-def read_version(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.read_as_of(spark, _two_versions(spark, d), version=0)
-
-
-@query("chg_17_read_timestamp", sql("SELECT vendor_number AS vendor_id, * FROM vendors1", "vendors1"))
-def read_timestamp(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.read_as_of(spark, _two_versions(spark, d), ts="2024-01-15 00:00:00")
-
-
-@query("chg_18_restore", sql("SELECT vendor_number AS vendor_id, * FROM vendors1", "vendors1"))
-def restore(spark: SparkSession, d: str) -> DataFrame:
-    out = _two_versions(spark, d)
-    sinks.restore(spark, out, 0, "2024-02-02 00:00:00")
-    return sinks.read_as_of(spark, out)
-
-
-@query("chg_19_history", sql("""SELECT CAST(0 AS INTEGER) AS version, TIMESTAMP '2024-01-01 00:00:00' AS committed_at,
- 'WRITE' AS operation, count(*) AS num_rows FROM vendors1 UNION ALL SELECT 1, TIMESTAMP '2024-02-01 00:00:00', 'WRITE', count(*) FROM vendors2""", "vendors1", "vendors2"))
-def version_history(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.history(spark, _two_versions(spark, d)).drop("txn")
+# --- backups ------------------------------------------------------------------------------------------
 
 
 @query("chg_20_last_good", sql("SELECT vendor_number AS vendor_id, *, true AS _is_cached FROM vendors1", "vendors1"))
 def last_good(spark: SparkSession, d: str) -> DataFrame:
     """A backup before the rebuild is read when the rebuilt table fails its gate."""
     out = work_dir(spark, "gold")
-    sinks.publish_version(base.staged_vendors(spark, d), f"{out}/gold", b.V1_TIME)
-    sinks.backup(spark, f"{out}/gold", f"{out}/backup", b.V1_TIME)
-    sinks.publish_version(base.staged_vendors(spark, d, 2), f"{out}/gold", b.V2_TIME)
+    sinks.publish(base.staged_vendors(spark, d), f"{out}/gold")
+    sinks.backup(spark, f"{out}/gold", f"{out}/backup")
+    sinks.publish(base.staged_vendors(spark, d, 2), f"{out}/gold")
     return sinks.read_last_good(spark, f"{out}/gold", f"{out}/backup", gate_passed=False)
 
 
@@ -275,6 +215,10 @@ def micro_batches(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{out}/table")
 
 
+#: Partitions of merged tables, derived from their keys.
+WINDOW_DAY = {"window_day": "to_date(window_start)"}
+USER_PART = {"user_mod_16": "pmod(user_id, 16)"}
+
 _HOURLY = """SELECT sensor_id, date_trunc('hour', reading_timestamp) AS window_start,
  date_trunc('hour', reading_timestamp) + INTERVAL 1 HOUR AS window_end, """ + stable("avg(reading_value)", 6) + """ AS avg_reading,
  count(*) AS n_readings FROM readings GROUP BY 1, 2, 3"""
@@ -282,9 +226,11 @@ _HOURLY = """SELECT sensor_id, date_trunc('hour', reading_timestamp) AS window_s
 
 @query("str_03_hourly_complete", sql(_HOURLY, "readings"))
 def hourly_complete(spark: SparkSession, d: str) -> DataFrame:
+    """The whole result after every batch; windows the watermark has closed leave the state."""
     out = work_dir(spark, "hourly")
-    windows = streams.hourly_stream(_stream(spark, d), "reading_timestamp")
-    return rounded(runs.run_complete(windows, f"{out}/table", f"{out}/checkpoint"), ["avg_reading"])
+    windows = streams.hourly_stream(_stream(spark, d), "reading_timestamp", "2 hours")
+    keys = ["sensor_id", "window_start", "window_end"]
+    return rounded(runs.run_update(windows, f"{out}/table", f"{out}/checkpoint", keys, WINDOW_DAY), ["avg_reading"])
 
 
 @query("str_04_hourly_append", sql(f"""SELECT * FROM ({_HOURLY}) WHERE window_end <=
@@ -302,7 +248,7 @@ def hourly_update(spark: SparkSession, d: str) -> DataFrame:
     out = work_dir(spark, "update")
     windows = streams.hourly_stream(_stream(spark, d), "reading_timestamp", "2 hours")
     keys = ["sensor_id", "window_start", "window_end"]
-    return rounded(runs.run_update(windows, f"{out}/table", f"{out}/checkpoint", keys), ["avg_reading"])
+    return rounded(runs.run_update(windows, f"{out}/table", f"{out}/checkpoint", keys, WINDOW_DAY), ["avg_reading"])
 
 
 def _halves(spark: SparkSession, d: str):
@@ -347,12 +293,14 @@ def sessions_batch(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("str_08_sessions_stream", f"""SELECT user_id, session_start AS window_start, session_last + INTERVAL 6 HOUR AS window_end, n_events
- FROM ({_SESSION_SQL})""")
+ FROM ({_SESSION_SQL}) WHERE session_last + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 HOUR FROM events)""")
 def sessions_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions the watermark has closed; only open ones are held as state."""
     out = work_dir(spark, "sessions")
     stream = streams.file_stream(spark, d, TABLES["events"], EVENTS_FILE)
-    windows = streams.session_stream(stream, "user_id", "ts", "6 hours")
-    return runs.run_complete(windows, f"{out}/table", f"{out}/checkpoint")
+    windows = streams.session_stream(stream, "user_id", "ts", "6 hours", "2 hours")
+    runs.run_append(windows, f"{out}/table", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/table")
 
 
 @query("str_09_stream_upsert", """SELECT user_id, event_id, ts, value FROM events
@@ -363,7 +311,7 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     for part in _halves(spark, d):
         part.write.mode("append").parquet(f"{out}/landing")
         stream = streams.file_stream(spark, f"{out}/landing", TABLES["events"]).select("user_id", "event_id", "ts", "value")
-        df = runs.stream_upsert(stream, f"{out}/table", ["user_id"], ["ts", "event_id"], f"{out}/checkpoint")
+        df = runs.stream_upsert(stream, f"{out}/table", ["user_id"], ["ts", "event_id"], f"{out}/checkpoint", USER_PART)
     return df
 
 
@@ -379,16 +327,6 @@ def stream_expectations(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{out}/table")
 
 
-@query("str_12_stream_versions", sql("""SELECT vendor_number, payment_terms, CAST(0 AS INTEGER) AS _version FROM vendors1
- UNION ALL SELECT vendor_number, payment_terms, 1 FROM vendors2""", "vendors1", "vendors2"))
-def stream_versions(spark: SparkSession, d: str) -> DataFrame:
-    source, out = _two_versions(spark, d), work_dir(spark, "follow")
-    schema = T.StructType.fromDDL("vendor_number string, payment_terms string")
-    stream = runs.stream_versions(spark, source, schema)
-    runs.run_append(stream, f"{out}/table", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/table")
-
-
 _WINDOW_STATS = ["avg_reading", "stddev_reading", "max_reading"]
 
 
@@ -433,8 +371,8 @@ def medallion_run(spark: SparkSession, d: str) -> DataFrame:
     cfg = RunConfig(
         root=work_dir(spark, "run"), at=b.AS_OF, band=b.TEST_BAND, required=("sensor_id", "reading_timestamp")
     )
-    result = run_medallion(b.sensor_readings(spark, d), cfg)
-    return rounded(result.as_frame(spark), ["measure"])
+    run_medallion(b.sensor_readings(spark, d), cfg)
+    return rounded(read_gates(spark, cfg), ["measure"])
 
 
 @query("ops_06_bronze_gate_stops", sql("""SELECT 'bronze' AS gate, 'FAIL' AS decision, CAST(count(*) AS DOUBLE) AS measure FROM readings
@@ -442,4 +380,5 @@ def medallion_run(spark: SparkSession, d: str) -> DataFrame:
 def bronze_gate_stops(spark: SparkSession, d: str) -> DataFrame:
     """With readings required, missing ones stop the run at the first gate."""
     cfg = RunConfig(root=work_dir(spark, "run"), at=b.AS_OF, band=b.TEST_BAND)
-    return run_medallion(b.sensor_readings(spark, d), cfg).as_frame(spark)
+    run_medallion(b.sensor_readings(spark, d), cfg)
+    return read_gates(spark, cfg)

@@ -1,14 +1,15 @@
-"""Writers: plain, partitioned, clustered, compacted and versioned tables."""
+"""Writers: plain, partitioned, clustered, compacted and merged tables."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierworks.operators.sequences import first_rows
-from tierworks.session import ensure_table
 from tierworks.sources.files import list_files
 
 
@@ -38,13 +39,12 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 def interleaved_key(df: DataFrame, columns: Sequence[str], bits: int = 10) -> Column:
     """Morton key of numeric columns: their scaled bits interleaved, so rows close in all columns get close keys."""
-    parts = []
+    ends = df.agg(F.struct(*(F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c) for c in columns)))
+    bounds, parts = ends.scalar(), []  # one pass for all columns
     for c in columns:
-        ends = df.agg(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"))
-        lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+        lo, hi = bounds[c]["lo"], bounds[c]["hi"]
         share = (F.col(c).cast("double") - lo) / F.nullif(hi - lo, F.lit(0.0))
-        cell = F.floor(F.coalesce(share, F.lit(0.0)) * ((1 << bits) - 1)).cast("bigint")
-        parts.append(cell)
+        parts.append(F.floor(F.coalesce(share, F.lit(0.0)) * ((1 << bits) - 1)).cast("bigint"))
     key = F.lit(0).cast("bigint")
     for bit in range(bits):
         for j, cell in enumerate(parts):
@@ -65,14 +65,20 @@ def publish_clustered(df: DataFrame, path: str, columns: Sequence[str], files: i
     ranged.sortWithinPartitions(key, *columns).select(*df.columns).write.mode("overwrite").parquet(path)
 
 
-def compact(spark: SparkSession, path: str, dst: str, target_files: int, where: Column | None = None) -> None:
+def compact(
+    spark: SparkSession, path: str, dst: str, target_files: int, where: Column | None = None, cluster: Sequence[str] = ()
+) -> None:
     """Rewrite small files of ``path`` into ``dst`` with few files; content is unchanged.
 
+    Rows are dealt out by ranges of ``cluster`` (default: the first column), so a clustered table stays clustered.
+
     With ``where`` only those rows are compacted, the others keep their layout.
     """
     table = spark.read.parquet(path)
     chosen = table if where is None else table.filter(where)
-    chosen.repartition(target_files).write.mode("overwrite").parquet(dst)
+    by = list(cluster) or table.columns[:1]
+    ranged = chosen.repartitionByRange(target_files, *by, F.xxhash64(*table.columns)).sortWithinPartitions(*by)
+    ranged.write.mode("overwrite").parquet(dst)
     if where is not None:
         table.filter(~F.coalesce(where, F.lit(False))).write.mode("append").parquet(dst)
 
@@ -84,145 +90,60 @@ def table_detail(spark: SparkSession, path: str, partition_columns: Sequence[str
     ).withColumn("partition_columns", F.lit(",".join(partition_columns)))
 
 
-# --- versioned tables ----------------------------------------------------------------------
-#
-# path/_version=N/ holds one whole version, path/_history/ one small row per finished
-# version.  A version exists once its history row does; a write that stopped early leaves
-# a folder without a row, which the next write overwrites.
-
-HISTORY = "version int, committed_at timestamp_ntz, operation string, num_rows bigint, txn string"
-
-
-def history(spark: SparkSession, path: str) -> DataFrame:
-    """Versions with time, operation and row count."""
-    return spark.read.schema(HISTORY).parquet(f"{path}/_history")
-
-
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest version, None for a table without any."""
-    return ensure_table(spark, f"{path}/_history", HISTORY).agg(F.max("version")).first()[0]
-
-
-def publish_version(df: DataFrame, path: str, at: str, operation: str = "WRITE", txn: str | None = None) -> int:
-    """Write a new version and return its number.
-
-    ``txn`` makes a repeated write of the same unit of work a no-op.
-    """
-    spark = df.sparkSession
-    past = ensure_table(spark, f"{path}/_history", HISTORY)
-    if txn is not None:
-        done = past.filter(F.col("txn") == txn).select("version").first()
-        if done is not None:
-            return done[0]
-    last = past.agg(F.max("version")).first()[0]
-    version = 0 if last is None else last + 1
-    counts = Observation()
-    counted = df.observe(counts, F.count(F.lit(1)).alias("n"))
-    counted.write.mode("overwrite").parquet(f"{path}/_version={version}")
-    row = spark.range(1).select(
-        F.lit(version).cast("int").alias("version"),
-        F.lit(at).cast("timestamp_ntz").alias("committed_at"),
-        F.lit(operation).alias("operation"),
-        F.lit(counts.get["n"]).cast("bigint").alias("num_rows"),
-        F.lit(txn).cast("string").alias("txn"),
-    )
-    row.coalesce(1).write.mode("append").parquet(f"{path}/_history")
-    return version
-
-
-def read_as_of(spark: SparkSession, path: str, version: int | None = None, ts: str | None = None) -> DataFrame:
-    """A version by number, by time (the last one committed by then), or the latest."""
-    known = history(spark, path)
-    if version is not None:
-        known = known.filter(F.col("version") == version)
-    if ts is not None:
-        known = known.filter(F.col("committed_at") <= F.lit(ts).cast("timestamp_ntz"))
-    number = known.agg(F.max("version")).first()[0]
-    if number is None:
-        raise ValueError(f"no such version in {path}")
-    return spark.read.parquet(f"{path}/_version={number}")
-
-
-def restore(spark: SparkSession, path: str, version: int, at: str) -> int:
-    """Publish an older version again as the newest one."""
-    return publish_version(read_as_of(spark, path, version=version), path, at, operation="RESTORE")
-
-
-def backup(spark: SparkSession, path: str, backup_path: str, at: str) -> int:
-    """Copy the newest version of a table before it is rebuilt."""
-    return publish_version(read_as_of(spark, path), backup_path, at, operation="BACKUP")
+def backup(spark: SparkSession, path: str, backup_path: str) -> None:
+    """Copy a table before it is rebuilt."""
+    publish(spark.read.parquet(path), backup_path)
 
 
 def read_last_good(spark: SparkSession, path: str, backup_path: str, gate_passed: bool) -> DataFrame:
     """The table when its gate passed, otherwise the backup; ``_is_cached`` tells which."""
-    source = path if gate_passed else backup_path
-    return read_as_of(spark, source).withColumn("_is_cached", F.lit(not gate_passed))
-
+    return spark.read.parquet(path if gate_passed else backup_path).withColumn("_is_cached", F.lit(not gate_passed))
 
-# --- tables merged by key --------------------------------------------------------------------
-#
-# path/_bucket=B/_version=N/ holds the rows of one key bucket since version N, path/_log/ says
-# which buckets each version replaced.  A merge rewrites only the buckets it touches.
 
-LOG = "_bucket int, _version int, txn string"
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, None where there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
-def key_bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def read_buckets(spark: SparkSession, path: str) -> DataFrame:
-    """Current rows: of every bucket its newest version.
-
-    The list of live versions has one row per bucket, so it can be broadcast, and
-    it prunes the folders that are read.
-    """
-    live = spark.read.schema(LOG).parquet(f"{path}/_log").groupBy("_bucket").agg(F.max("_version").alias("_version"))
-    return spark.read.parquet(path).join(F.broadcast(live), ["_bucket", "_version"]).drop("_bucket", "_version")
-
-
-def merge_buckets(
-    batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (), txn: str | None = None, buckets: int = 32
+def merge_partitions(
+    batch: DataFrame, path: str, keys: Sequence[str], part: Mapping[str, str], order: Sequence[str] = ()
 ) -> None:
-    """Merge rows into a table: of all rows of a key the last by ``order`` stays, a new one wins a tie.
+    """Merge rows into a partitioned table: of all rows of a key the last by ``order`` stays, a new one wins a tie.
 
-    ``buckets`` is fixed by the first merge; choose it so that a bucket suits one task.
-    ``txn`` makes a repeated merge of the same batch a no-op.  The log is written
-    last: what a stopped merge left behind is not in it, and a repeated one replaces it.
+    ``part`` names the one partition column and derives it from the keys (SQL); a table laid out by another one is refused.
+    The merged partitions are staged beside the table and then replace the old ones, which are the only ones touched.
+    A repeated merge of the same batch changes nothing, whoever repeats it, as it is decided by key and order alone.
     """
     spark = batch.sparkSession
-    log = ensure_table(spark, f"{path}/_log", LOG)
-    if txn is not None and not log.filter(F.col("txn") == txn).isEmpty():
-        return
-    last = log.agg(F.max("_version")).first()[0]
-    version = 0 if last is None else last + 1
+    (column, derived), = part.items()
     newest = [F.col(c).desc_nulls_last() for c in order]
-    rows = first_rows(batch, keys, newest or [F.lit(1)]).withColumns(
-        {"_new": F.lit(1), "_bucket": key_bucket(keys, buckets)}
-    )
-    touched = batch.select(key_bucket(keys, buckets).alias("_bucket")).distinct()
-    if last is not None:
-        live = log.groupBy("_bucket").agg(F.max("_version").alias("_version")).join(F.broadcast(touched), "_bucket")
-        current = spark.read.parquet(path).join(F.broadcast(live), ["_bucket", "_version"])
-        rows = current.drop("_version").withColumn("_new", F.lit(0)).unionByName(rows)
-    # One shuffle by bucket serves both the choice per key and the writing of one file per bucket.
-    merged = first_rows(rows.repartition("_bucket"), ["_bucket", *keys], [*newest, F.col("_new").desc()])
-    (
-        merged.drop("_new").withColumn("_version", F.lit(version))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_bucket", "_version")
-        .parquet(path)
-    )
-    entries = touched.select("_bucket", F.lit(version).alias("_version"), F.lit(txn).cast("string").alias("txn"))
-    entries.coalesce(1).write.mode("append").parquet(f"{path}/_log")
+    rows = batch.withColumn(column, F.expr(derived)).withColumn("_new", F.lit(1))
+    table = read_or_none(spark, path)
+    if table is not None:
+        if column not in table.columns:
+            raise ValueError(f"{path} is not partitioned by {column}")
+        touched = rows.select(column).distinct()
+        current = table.join(touched, column, "left_semi").withColumn("_new", F.lit(0))
+        rows = rows.unionByName(current.select(*rows.columns))
+    merged = first_rows(rows, keys, [*newest, F.col("_new").desc()]).drop("_new")
+    staged = f"{path}_staged-{uuid.uuid4().hex}"
+    publish(merged, staged)
+    overwrite_partitions(spark.read.schema(merged.schema).parquet(staged), path, [column])
 
 
 def append_checked(df: DataFrame, path: str, predicate: str) -> None:
     """Append a batch only if every row satisfies the constraint; otherwise nothing is written.
 
-    The check is a separate pass because a failing write could leave earlier files behind.
+    The batch is staged, so that the rows checked are the rows appended, whatever the source does in between.
     """
-    if not df.filter(~F.coalesce(F.expr(predicate), F.lit(False))).isEmpty():
+    spark, staged = df.sparkSession, f"{path}_staged-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    if not rows.filter(~F.coalesce(F.expr(predicate), F.lit(False))).isEmpty():
         raise ValueError(f"CHECK constraint violated: {predicate}")
-    df.write.mode("append").parquet(path)
+    rows.write.mode("append").parquet(path)

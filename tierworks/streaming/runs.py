@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tierworks.sources.sinks import merge_buckets, publish_version, read_as_of, read_buckets
+from tierworks.sources.sinks import merge_partitions
 from tierworks.streaming.streams import file_stream
 
-BATCH_TIME = "1970-01-01 00:00:00"
-
 
 @contextmanager
 def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
@@ -71,39 +69,36 @@ def ingest_files_stream(
     return spark.read.parquet(dst)
 
 
-def run_complete(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Complete mode: each batch publishes the whole result as a new version, once per batch."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        publish_version(batch, path, BATCH_TIME, operation="STREAM", txn=f"batch-{batch_id}")
-
-    _run_batches(stream, "complete", write, checkpoint)
-    return read_as_of(stream.sparkSession, path)
-
-
-def run_update(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> DataFrame:
-    """Update mode: changed rows of each batch replace the table's rows of the same keys."""
-    return _merge_stream(stream, "update", path, checkpoint, keys, ())
+def run_update(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], part: Mapping[str, str]
+) -> DataFrame:
+    """Update mode: changed rows of each batch replace the table's rows of the same keys (see ``merge_partitions``)."""
+    return _merge_stream(stream, "update", path, checkpoint, keys, part, ())
 
 
-def stream_upsert(stream: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], checkpoint: str) -> DataFrame:
-    """Merge a stream of rows into a table exactly once per batch; the newest row of a key stays."""
-    return _merge_stream(stream, "append", path, checkpoint, keys, order)
+def stream_upsert(
+    stream: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], checkpoint: str, part: Mapping[str, str]
+) -> DataFrame:
+    """Merge a stream of rows into a table; the newest row of a key by ``order`` stays, so a repeated batch adds nothing."""
+    return _merge_stream(stream, "append", path, checkpoint, keys, part, order)
 
 
 def _merge_stream(
-    stream: DataFrame, mode: str, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
+    stream: DataFrame, mode: str, path: str, checkpoint: str, keys: Sequence[str], part: Mapping[str, str],
+    order: Sequence[str],
 ) -> DataFrame:
+    columns = stream.columns
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read several times below, and its state must be touched once
         try:
             if not batch.isEmpty():
-                merge_buckets(batch, path, keys, order, txn=f"batch-{batch_id}")
+                merge_partitions(batch, path, keys, part, order)
         finally:
             batch.unpersist()
 
     _run_batches(stream, mode, write, checkpoint)
-    return read_buckets(stream.sparkSession, path)
+    return stream.sparkSession.read.parquet(path).select(*columns)
 
 
 def _run_batches(stream: DataFrame, mode: str, write, checkpoint: str) -> None:
@@ -116,9 +111,3 @@ def _run_batches(stream: DataFrame, mode: str, write, checkpoint: str) -> None:
             .start()
         )
     query.awaitTermination()
-
-
-def stream_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Files of a versioned table as a stream, with the version each row belongs to."""
-    wide = T.StructType([*schema.fields, T.StructField("_version", T.IntegerType())])
-    return spark.readStream.schema(wide).parquet(path)
