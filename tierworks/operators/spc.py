@@ -236,13 +236,11 @@ def correlated_degradation(alerts: DataFrame) -> DataFrame:
     degrading = alerts.filter(F.col("volatility_trend") == "DEGRADING").select(
         "sensor_id", "equipment_name", "kpi_date", "alert_severity"
     )
-    together = degrading.groupBy("equipment_name", "kpi_date").agg(
-        F.countDistinct("sensor_id").alias("degrading_sensors")
-    )
+    sensors = F.size(F.collect_set("sensor_id").over(W.partitionBy("equipment_name", "kpi_date")))
     return (
-        degrading.join(together.filter(F.col("degrading_sensors") > 1), ["equipment_name", "kpi_date"])
-        .withColumn("other_sensors", F.col("degrading_sensors") - 1)
-        .drop("degrading_sensors")
+        degrading.filter(F.col("equipment_name").isNotNull())
+        .withColumn("other_sensors", (sensors - 1).cast("bigint"))
+        .filter(F.col("other_sensors") > 0)
     )
 
 
