@@ -123,6 +123,30 @@ def _shortest(rows: DataFrame, min_words: int) -> DataFrame:
     return ahead.select(*ALL, F.col("start").alias("low"), "high").union(back.select(*ALL, "low", F.col("stop").alias("high")))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _remaining(text: Column, gone: Column) -> Column:
+    """The text without the lines numbered in ``gone`` (among those with a word) and the wordless ones behind each."""
+
+    def left(parts):
+        all_lines = F.sequence(F.lit(0), F.size(parts) - 1)
+        numbers = F.filter(all_lines, lambda i: F.rlike(F.get(parts, i), F.lit(WORD)))
+
+        def joined(places):
+            # from each deleted line to the next line with a word
+            dropped = F.flatten(
+                F.transform(gone, lambda g: F.sequence(F.get(places, g), F.coalesce(F.get(places, g + 1), F.size(parts)) - 1))
+            )
+            return F.array_join(F.transform(F.array_except(all_lines, dropped), lambda i: F.get(parts, i)), "\n")
+
+        return _let(numbers, joined)
+
+    return _let(F.split(text, "\n"), left)
+
+
 def deduplicated(
     docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", drop_empty: bool = False,
     count_col: str | None = None,
@@ -134,24 +158,15 @@ def deduplicated(
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63)))
     joined = docs.select(row, key.alias("doc"), F.xxhash64(text_col).alias("tie")).join(cuts, list(ALL), "left")
 
-    # one pass along the lines: the state is the number of lines with a word so far and what is kept
     text = F.col("_row")[text_col]
-    gone = F.array_distinct(F.flatten(F.transform("_cuts", lambda c: F.sequence(c["low"], c["high"]))))
-    parts = F.split(text, "\n")
-    marks = F.transform(parts, lambda x: F.when(F.rlike(x, F.lit(WORD)), 1).otherwise(0))
-    marked = joined.select("_row", "_cuts", parts.alias("_parts"), F.sort_array(gone).alias("_gone"), marks.alias("_marks"))
-    numbers = F.filter(F.sequence(F.lit(0), F.size("_marks") - 1), lambda i: F.get("_marks", i) == 1)
-    placed = marked.select("_row", "_cuts", "_parts", "_gone", numbers.alias("_numbers"))
-    # from each deleted line to the next line with a word
-    dropped = F.flatten(
-        F.transform("_gone", lambda g: F.sequence(F.get("_numbers", g), F.coalesce(F.get("_numbers", g + 1), F.size("_parts")) - 1))
-    )
-    listed = placed.select("_row", "_cuts", "_parts", F.size("_gone").alias("_n"), dropped.alias("_dropped"))
-    all_lines = F.sequence(F.lit(0), F.size("_parts") - 1)
-    left = F.array_join(F.transform(F.array_except(all_lines, "_dropped"), lambda i: F.get("_parts", i)), "\n")
-    out = listed.select("_row", F.when(F.col("_cuts").isNull(), F.col("_row")[text_col]).otherwise(left).alias("_text"),
-                        F.when(F.col("_cuts").isNull(), 0).otherwise(F.col("_n")).cast("bigint").alias("_n"))
+    gone = F.sort_array(F.array_distinct(F.flatten(F.transform("_cuts", lambda c: F.sequence(c["low"], c["high"])))))
+    marked = joined.select("_row", "_cuts", gone.alias("_gone"))
     if drop_empty:
-        out = out.where(f"_n = 0 or _text rlike '{WORD}'")
+        with_word = F.size(F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(WORD))))
+        marked = marked.where(F.col("_cuts").isNull() | (F.size("_gone") < with_word))
+    out = marked.select(
+        "_row", F.when(F.col("_cuts").isNull(), text).otherwise(_remaining(text, F.col("_gone"))).alias("_text"),
+        F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_gone")).cast("bigint").alias("_n"),
+    )
     columns = [F.col("_text").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns]
     return out.select(*columns, *([F.col("_n").alias(count_col)] if count_col else []))

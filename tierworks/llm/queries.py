@@ -91,6 +91,32 @@ def op5_hyper_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+ORACLE_SQL["op5_hyper_min_hash"] = r"""
+with recursive d as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+    from documents
+),
+s as (
+    select doc_id, list_distinct(case when len(words) < 2 then words
+        else list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) end) as held
+    from d
+),
+e as (select doc_id, unnest(held) as shingle from s),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as shared from e a join e b using (shingle) where a.doc_id < b.doc_id group by 1, 2),
+l as (
+    select x, y from p join s a on x = a.doc_id join s b on y = b.doc_id
+    where 100 * shared >= 80 * (len(a.held) + len(b.held) - shared)
+),
+m as (select x, y from l union all select y, x from l),
+r as (select x, y from m union select r.x, m.y from r join m on r.y = m.x),
+c as (select x as doc_id, min(y) as least from r group by x)
+select doc_id, len(held)::bigint as n_shingles, least(doc_id, coalesce(c.least, doc_id)) as component_id,
+    doc_id <= coalesce(c.least, doc_id) as kept
+from s left join c using (doc_id)
+"""
+
+
 @query
 def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "warc")
