@@ -214,15 +214,24 @@ def quality_metrics(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_sensor_metrics(spark, d), ["value"])
 
 
-@query("dq_17_idempotent", "SELECT CAST(0 AS BIGINT) AS differing_rows")
+_MERGED = """(SELECT count(*) FROM keyed WHERE reading_timestamp < TIMESTAMP '2024-01-20 00:00:00')
+ + (SELECT count(*) FROM (SELECT DISTINCT k, reading_timestamp FROM keyed WHERE reading_timestamp >= TIMESTAMP '2024-01-20 00:00:00'))"""
+
+
+@query("dq_17_idempotent", sql(f"""SELECT {_MERGED} AS once_rows, {_MERGED} AS twice_rows, CAST(0 AS BIGINT) AS differing_rows
+ FROM (SELECT 1)""".replace("keyed", """(SELECT CASE WHEN CAST(sensor_id AS INTEGER) % 10 <> 0 THEN sensor_id END AS k,
+ reading_timestamp FROM readings)"""), "readings"))
 def idempotent(spark: SparkSession, d: str) -> DataFrame:
-    """Merging the same batch once and twice gives the same table."""
+    """Merging the same batch, with NULL and repeated keys, once and twice gives the same table."""
     keys = ["sensor_id", "reading_timestamp"]
-    readings = base.staged_readings(spark, d)
+    known = F.when(F.col("sensor_id").cast("int") % 10 != 0, F.col("sensor_id"))
+    readings = base.staged_readings(spark, d).withColumn("sensor_id", known)
     start = readings.filter(F.col("reading_timestamp") < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
     once = merge.merge_insert_new(start, readings, keys)
     twice = merge.merge_insert_new(once, readings, keys)
-    return quality.same_content(once, twice).agg(F.count(F.lit(1)).alias("differing_rows"))
+    n = F.count(F.lit(1))
+    differing = quality.same_content(once, twice).agg(n).scalar()
+    return once.agg(n.alias("once_rows")).select("once_rows", twice.agg(n).scalar().alias("twice_rows"), differing.alias("differing_rows"))
 
 
 @query("dq_18_late_rows", sql("""SELECT sensor_id, reading_timestamp FROM readings
