@@ -240,7 +240,9 @@ def _cell_links(members: DataFrame, percent: int) -> DataFrame:
     sized = members.withColumn("n", F.size("shingles").cast("bigint"))
     totals = sized.groupBy("cell").agg(F.sum("n").alias("_all"))
     spread = F.expr(f"pmod(xxhash64(same), cast(ceil(_all / {BLOCK_SHINGLES}) as int))")
-    blocks = sized.join(totals, "cell").groupBy("cell", spread.alias("block")).agg(
+    # dealt out by block: a cell's own blocks need not meet in one task
+    dealt = sized.join(totals, "cell").withColumn("block", spread).repartition("cell", "block")
+    blocks = dealt.groupBy("cell", "block").agg(
         F.collect_list(F.struct("same", "component", "shingles")).alias("held"),
         F.min("component").alias("low"), F.max("component").alias("high"),
     )
