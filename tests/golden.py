@@ -22,7 +22,7 @@ ALERTS = {
     ("south-1", 15): (4, 53.0, 2.582, 53.0, 55.7, "STABLE", "CLEAN", "NO_HISTORY", "NO_HISTORY", "OK"),
     ("south-1", 16): (3, 62.0, 2.0, 62.0, 63.8, "STABLE", "CLEAN", "IMPROVING", "SPIKE", "OK"),
     ("south-2", 15): (4, 0.0, 5.774, 0.0, 5.0, "NORMAL", "INVALID", "NO_HISTORY", "NO_HISTORY", "OK"),
-    ("south-2", 16): (3, -1.667, 5.774, -5.0, 4.0, "NORMAL", "VERY_NOISY", "STEADY", "NORMAL", "OK"),
+    ("south-2", 16): (3, -5.0 / 3, 5.774, -5.0, 4.0, "NORMAL", "VERY_NOISY", "STEADY", "NORMAL", "OK"),
 }
 # days with a value beyond one deviation from the mean (exactly on it is inside)
 OUTSIDE = {("north-1", 15), ("north-1", 16), ("south-1", 15), ("south-2", 16)}
