@@ -82,8 +82,11 @@ def _furniture(tag: str, attrs: str) -> bool:
     return bool(names & FURNITURE) and not names & CONTENT
 
 
-def parse(html: str) -> _Node:
-    """The tree of block elements; items that are tuples are blocks: text, characters in links."""
+def parse(html: str, furniture: bool = False) -> _Node:
+    """The tree of block elements; items that are tuples are blocks: text, characters in links.
+
+    ``furniture`` keeps menus, footers and the like as well.
+    """
     root = node = _Node("#root", None, False)
     texts: list[str] = []
     linked, in_link, breaks, hidden = 0, 0, 0, 0
@@ -131,7 +134,7 @@ def parse(html: str) -> _Node:
                 if tag == "a":
                     in_link = 1
                 if tag not in VOID and not m["attrs"].endswith("/"):
-                    if skip and tag == skip[-1] or (not skip and m["attrs"] and _furniture(tag, m["attrs"])):
+                    if skip and tag == skip[-1] or (not skip and not furniture and m["attrs"] and _furniture(tag, m["attrs"])):
                         skip.append(tag)
                         hidden = len(skip)
             continue
@@ -160,7 +163,7 @@ def parse(html: str) -> _Node:
                 up = up.parent
             if up.tag == "p":
                 node = up.parent
-        child = _Node(tag, node, node.dropped or _furniture(tag, m["attrs"]))
+        child = _Node(tag, node, node.dropped or not furniture and _furniture(tag, m["attrs"]))
         if not child.dropped:
             node.items.append(child)
         node = child
@@ -256,7 +259,7 @@ def all_blocks(html: str | None) -> list[str]:
     """All visible text blocks of a page, whatever they are."""
     if not html:
         return []
-    found, stack = [], [parse(html)]
+    found, stack = [], [parse(html, furniture=True)]
     while stack:
         item = stack.pop()
         if isinstance(item, tuple):

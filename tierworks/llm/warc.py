@@ -38,6 +38,7 @@ RECORD = "headers map<string,string>, block binary"
 SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tierworks:warc")
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HOST = re.compile(r"https?://[^/?#\s]+", re.I)
 _LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 
 
@@ -47,7 +48,7 @@ def responses(
     """Response records (``headers``, ``block``) of stored pages; the row's id goes into ``X-Source-Row``."""
     url = F.regexp_replace(F.regexp_replace(F.col(url_col), "\r", "%0D"), "\n", "%0A")
     html = F.coalesce(F.col(html_col), F.lit(""))
-    key = F.md5(F.concat_ws("\n", F.lit("response"), F.col(id_col).cast("string"), url, F.sha2(html, 256)))
+    key = F.md5(F.concat_ws("\n", F.lit("response"), F.col(id_col).cast("string"), url, F.sha1(html)))
     name = F.concat_ws("-", *(F.substring(key, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
     head = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -71,7 +72,8 @@ def write_warc(records: DataFrame, path: str, compression: str = "gzip", records
     """Writes records whose blocks are UTF-8 text."""
     lines = F.array_join(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\r\n")
     value = F.concat(F.lit("WARC/1.1\r\n"), lines, F.lit(END), F.col("block").cast("string"))
-    records.select(value.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).option(
+    fast = {"zlib.compress.level": "BEST_SPEED"}  # of Hadoop's gzip
+    records.select(value.alias("value")).write.options(**fast).option("lineSep", END).option("maxRecordsPerFile", records_per_file).option(
         "compression", compression
     ).text(path)
 
@@ -164,8 +166,12 @@ def _derived(headers: dict[str, str], block: bytes) -> Iterator[tuple[dict[str,
         fields.append(("title", " ".join(unescape(title[1]).split())))
     if lang:
         fields.append(("language", lang[1]))
+    host = _HOST.match(url)
     for found in _LINK.findall(html):
         link = " ".join(unescape(next((x for x in found if x), "")).split())
+        if host and link[:1] == "/" and link[1:2] != "/" and "/." not in link:
+            fields.append(("outlink", host[0] + link))
+            continue
         try:
             fields.append(("outlink", urljoin(url, link)))
         except ValueError:
