@@ -169,6 +169,21 @@ def test_main_text_of_a_page():
     ]
 
 
+LONG = "A paragraph of the article, long enough to be scored, with commas, and more words than a menu has."
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "elementor-widget-container", "sidebar", "widget", "comments-open", "footer-wrap"])
+@pytest.mark.parametrize("inner", ["<article>%s</article>", "<div>%s</div>"])
+def test_wrappers_named_like_furniture_keep_the_article(name, inner):
+    body = inner % f"<p>{LONG}</p><p>{LONG}</p>"
+    page = f'<body><nav>Menu</nav><div class="{name}">{body}<div class="sidebar-left"><p>Side.</p></div></div><div id="widget-2">W.</div></body>'
+    assert html_text.main_blocks(page) == [LONG, LONG]
+    assert html_text.main_blocks(f'<body><div class="site-footer">{LONG}</div><article><p>{LONG * 2}</p></article></body>') == [LONG * 2]
+    three = "".join(f'<section class="widget"><p>{LONG}</p></section>' for _ in range(3))
+    assert LONG in html_text.main_blocks(f"<body>{three}</body>")
+    assert html_text.main_blocks(f'<body><p><span class="widget">{LONG}</span> x</p></body>') == [LONG + " x"]
+
+
 @pytest.mark.parametrize("cut", range(0, len(PAGE), 37))
 def test_cut_off_pages_do_not_fail(cut):
     html_text.main_blocks(PAGE[:cut])

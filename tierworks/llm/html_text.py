@@ -1,7 +1,8 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a light tree of its block elements. Elements that are never main text (scripts, menus, forms, footers,
-side bars, adverts, notices, comments; by tag, role or class) are cut out. Every text block then passes points for its
+side bars, adverts, notices, comments; by tag, role, or a whole class or id) are cut out, unless they wrap an article or
+most of the text. Every text block then passes points for its
 length and its commas to its container, half of them to the next and shares to those above. A container's points are
 discounted by the share of its text that lies in links. The best container is kept whole, with those of its siblings
 that score well or are themselves running text.
@@ -45,6 +46,23 @@ FURNITURE = frozenset(
     "signup login toolbar widget widgets pagination pager skip toc sitemap disclaimer outbrain taboola".split()
 )
 CONTENT = frozenset("article content main post entry story body text page hentry blog prose".split())
+#: Parts before a furniture word that say where it stands ("site-footer").
+PLACES = frozenset(
+    "site page post entry article main global top bottom left right primary secondary blog content story body single "
+    "inner user reader mobile desktop social c l js wp".split()
+)
+#: Parts that tell of the page around an element ("has-sidebar", "comments-open"), not of the element.
+STATES = frozenset(
+    "has no not with without is hide show layout open opened closed enabled disabled active none free fixed sticky".split()
+)
+#: Words of boxes that may hold articles of their own: teasers, comments.
+BOXES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense comment comments commentlist respond replies disqus "
+    "consent cookie cookies gdpr footer footnav menu nav navbar navigation breadcrumb breadcrumbs related recommended "
+    "recommendations share sharing sidebar aside sponsor sponsored subscribe pagination pager outbrain taboola".split()
+)
+WEAK_TAGS = frozenset("form fieldset header".split())
+WEAK, BOX, HIDDEN = 1, 2, 3  # why an element is cut out: a weak tag, role or name; one of a box; as it is not shown
 
 _RAW = "script|style|noscript|template|svg|textarea|iframe|title|select|object|canvas|math|head(?=[\\s>][^<]*$)"
 _TOKEN = re.compile(
@@ -55,31 +73,87 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"""([a-zA-Z:_][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[^a-z0-9]+")
+RUNNING = 80  # characters of running text
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "items", "points", "length", "linked", "dropped")
+    __slots__ = ("tag", "parent", "items", "points", "length", "linked", "cut")
 
-    def __init__(self, tag: str, parent: _Node | None, dropped: bool) -> None:
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: _Node | None, cut: int) -> None:
+        self.tag, self.parent, self.cut = tag, parent, cut
         self.items: list = []  # nodes and blocks in page order
         self.points, self.length, self.linked = 0.0, 0, 0
 
 
-def _furniture(tag: str, attrs: str) -> bool:
-    if tag in DROPPED:
+def _named(token: str, words: frozenset[str]) -> bool:
+    """Whether a class or id is one of the words, starts with one, or is one behind words for its place."""
+    if token in words:
         return True
-    if not attrs or tag in ("html", "body"):
+    parts = [x for x in _WORD.split(token) if x]
+    if not parts or not STATES.isdisjoint(parts):
         return False
+    return parts[0] in words or parts[-1] in words and PLACES.issuperset(parts[:-1])
+
+
+def _furniture(tag: str, attrs: str) -> int:
+    """0, ``WEAK``, ``BOX`` or ``HIDDEN``."""
+    own = 0 if tag not in DROPPED else WEAK if tag in WEAK_TAGS else BOX
+    if not attrs or tag in ("html", "body"):
+        return own
     found = {k.lower(): unescape(v.strip("\"'")).lower() for k, v in _ATTR.findall(attrs)}
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
-        return True
-    if found.get("role") in ROLES:
-        return True
+        return HIDDEN
+    if own or found.get("role") in ROLES:
+        return own or BOX
     if tag in ("article", "main"):
-        return False
-    names = set(_WORD.split(f"{found.get('class', '')} {found.get('id', '')}"))
-    return bool(names & FURNITURE) and not names & CONTENT
+        return 0
+    names = f"{found.get('class', '')} {found.get('id', '')}"
+    tokens = names.split()
+    if not any(_named(x, FURNITURE) for x in tokens) or not CONTENT.isdisjoint(_WORD.split(names)):
+        return 0
+    return BOX if any(_named(x, BOXES) for x in tokens) else WEAK
+
+
+def _prune(root: _Node, kind: int) -> None:
+    """Cuts furniture of a kind out of a whole tree.
+
+    An element that holds an article or main, or most of the page's unlinked text, is a wrapper whatever its name, and
+    stays; what is in it is looked at by itself. Only a box goes all the same if the page has a longer article or main
+    outside of it (teasers, comments), or, for one without any, running text of an article. Weak names go nowhere if most
+    of the text would go with them.
+    """
+    order = _in_order(root)
+    at = {n: k for k, n in enumerate(order)}
+    end, plain = {}, {}  # the place behind the nodes below, and their unlinked text
+    for node in reversed(order):
+        below = [x for x in node.items if isinstance(x, _Node)]
+        end[node] = max((end[x] for x in below), default=at[node] + 1)
+        plain[node] = sum(plain[x] for x in below) + sum(max(len(x[0]) - x[1], 0) for x in node.items if isinstance(x, tuple))
+    articles = [n for n in order if n.tag in ("article", "main") and plain[n] and not n.cut]
+
+    def wrapper(node: _Node) -> bool:
+        inside, outside = 0, 0
+        for n in articles:
+            if at[node] < at[n] < end[node]:
+                inside = max(inside, plain[n])
+            else:
+                outside = max(outside, plain[n] - (plain[node] if at[n] < at[node] < end[n] else 0))
+        if inside:
+            return kind == WEAK or inside >= outside
+        return 2 * plain[node] > plain[root] and (kind == WEAK or outside < RUNNING)
+
+    gone, stack = set(), [root]
+    while stack:
+        for x in stack.pop().items:
+            if isinstance(x, _Node):
+                if x.cut == kind and not (plain[x] and wrapper(x)):
+                    gone.add(x)
+                else:
+                    stack.append(x)
+    if kind == WEAK and 2 * sum(plain[x] for x in gone) > plain[root]:
+        return
+    for node in {x.parent for x in gone}:
+        node.items = [x for x in node.items if x not in gone]
 
 
 def parse(html: str, furniture: bool = False) -> _Node:
@@ -87,16 +161,39 @@ def parse(html: str, furniture: bool = False) -> _Node:
 
     ``furniture`` keeps menus, footers and the like as well.
     """
-    root = node = _Node("#root", None, False)
+    root, most, start = _parsed(html, furniture)
+    if not furniture:
+        if most > sum(max(len(x[0]) - x[1], 0) for n in _in_order(root) for x in n.items if isinstance(x, tuple)):
+            root = _parsed(html, furniture, start)[0]
+        _prune(root, BOX)
+        _prune(root, WEAK)
+    return root
+
+
+def _in_order(root: _Node) -> list[_Node]:
+    """All nodes, each before those below it."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(x for x in node.items if isinstance(x, _Node))
+    return order
+
+
+def _parsed(html: str, furniture: bool, wrapper: int = -1) -> tuple[_Node, int, int]:
+    """The tree with marks of what is furniture; unlinked characters and start of the longest inline element that was left
+    out by its name. The one that starts at ``wrapper`` is kept."""
+    root = node = _Node("#root", None, 0)
     texts: list[str] = []
     linked, in_link, breaks, hidden = 0, 0, 0, 0
     skip: list[str] = []  # open inline elements that are furniture
+    why, began, passed, most, longest = 0, 0, 0, 0, 0  # the outermost of them, and the longest so far
 
     def flush():
         nonlocal linked, breaks
         if texts:
             text = " ".join("".join(texts).split())
-            if text and not node.dropped:
+            if text:
                 node.items.append((text, linked))
             texts.clear()
         linked = breaks = 0
@@ -112,6 +209,10 @@ def parse(html: str, furniture: bool = False) -> _Node:
                 breaks = 0
             if in_link:
                 linked += len(piece.strip())
+        elif hidden and why != HIDDEN and not in_link:
+            passed += len(html[at : m.start()].strip())
+            if passed > most:
+                most, longest = passed, began
         at = m.end()
         tag = m["tag"]
         if tag is None:
@@ -134,7 +235,10 @@ def parse(html: str, furniture: bool = False) -> _Node:
                 if tag == "a":
                     in_link = 1
                 if tag not in VOID and not m["attrs"].endswith("/"):
-                    if skip and tag == skip[-1] or (not skip and not furniture and m["attrs"] and _furniture(tag, m["attrs"])):
+                    if not skip:
+                        why = _furniture(tag, m["attrs"]) if m["attrs"] and not furniture else 0
+                        began, passed = m.start(), 0
+                    if skip and tag == skip[-1] or (not skip and why and began != wrapper):
                         skip.append(tag)
                         hidden = len(skip)
             continue
@@ -163,14 +267,14 @@ def parse(html: str, furniture: bool = False) -> _Node:
                 up = up.parent
             if up.tag == "p":
                 node = up.parent
-        child = _Node(tag, node, node.dropped or not furniture and _furniture(tag, m["attrs"]))
-        if not child.dropped:
+        child = _Node(tag, node, 0 if furniture else _furniture(tag, m["attrs"]))
+        if child.cut != HIDDEN:
             node.items.append(child)
         node = child
     if at < len(html) and not hidden:
         texts.append(unescape(html[at:]))
     flush()
-    return root
+    return root, most, longest
 
 
 _CONTAINED = frozenset("p pre h1 h2 h3 h4 h5 h6 li dd dt td th tr figcaption summary address tbody thead tfoot caption".split())
@@ -178,11 +282,7 @@ _CONTAINED = frozenset("p pre h1 h2 h3 h4 h5 h6 li dd dt td th tr figcaption sum
 
 def _score(root: _Node) -> list[_Node]:
     """All nodes with their points, lengths and characters in links filled in."""
-    order, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        order.append(node)
-        stack.extend(x for x in node.items if isinstance(x, _Node))
+    order = _in_order(root)
     for node in reversed(order):
         for item in node.items:
             if isinstance(item, _Node):
