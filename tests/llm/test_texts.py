@@ -184,6 +184,19 @@ def test_wrappers_named_like_furniture_keep_the_article(name, inner):
     assert html_text.main_blocks(f'<body><p><span class="widget">{LONG}</span> x</p></body>') == [LONG + " x"]
 
 
+def test_siblings_of_the_best_container_stay_by_their_links():
+    half = lambda n: "a, " * n + "x" * (300 - 3 * n)
+    links = '<ul><li><a href="/a">Another page</a></li><li><a href="/b">One more page</a></li></ul>'
+    page = (
+        f"<body><div><h3>Top</h3><section><p>{half(4)}</p></section>{links}<h4>Middle</h4><section><p>Short.</p></section>"
+        f"<ul><li>One</li><li>Two</li></ul><table><tr><td>3</td></tr></table><figure><figcaption>Fig.</figcaption></figure>"
+        f'<section><p>{half(2)}</p></section><div><p>In <a href="/c">short</a> that was all of it.</p></div>{links}</div></body>'
+    )
+    assert html_text.main_blocks(page) == [
+        "Top", half(4), "Middle", "Short.", "One", "Two", "3", "Fig.", half(2), "In short that was all of it.",
+    ]
+
+
 @pytest.mark.parametrize("cut", range(0, len(PAGE), 37))
 def test_cut_off_pages_do_not_fail(cut):
     html_text.main_blocks(PAGE[:cut])

@@ -4,8 +4,8 @@ A page becomes a light tree of its block elements. Elements that are never main
 side bars, adverts, notices, comments; by tag, role, or a whole class or id) are cut out, unless they wrap an article or
 most of the text. Every text block then passes points for its
 length and its commas to its container, half of them to the next and shares to those above. A container's points are
-discounted by the share of its text that lies in links. The best container is kept whole, with those of its siblings
-that score well or are themselves running text.
+discounted by the share of its text that lies in links. The best container is kept whole, with all of its siblings but
+those that are mostly links.
 
 Behaviour: null or empty html, or a page without text, gives an empty text; broken markup (unclosed or stray tags,
 pages cut off anywhere) is read as browsers do, roughly; repeated rows and null ids pass through row by row; an empty
@@ -277,6 +277,7 @@ def _parsed(html: str, furniture: bool, wrapper: int = -1) -> tuple[_Node, int,
     return root, most, longest
 
 
+PROSE = frozenset("article section p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table figure hgroup details".split())
 _CONTAINED = frozenset("p pre h1 h2 h3 h4 h5 h6 li dd dt td th tr figcaption summary address tbody thead tfoot caption".split())
 
 
@@ -311,6 +312,11 @@ def _density(node: _Node) -> float:
     return node.linked / node.length if node.length else 0.0
 
 
+def _links(node: _Node) -> bool:
+    """Whether a node is a list of links."""
+    return node.tag in ("ul", "ol", "div", "section", "table") and node.length > 0 and _density(node) > 0.8
+
+
 def _blocks(node: _Node) -> list[str]:
     """Texts below a node in page order, without lists of links."""
     found, stack = [], [node]
@@ -318,7 +324,7 @@ def _blocks(node: _Node) -> list[str]:
         item = stack.pop()
         if isinstance(item, tuple):
             found.append(item[0])
-        elif item is node or not (item.tag in ("ul", "ol", "div", "section", "table") and item.length and _density(item) > 0.8):
+        elif item is node or not _links(item):
             stack.extend(reversed(item.items))
     return found
 
@@ -337,24 +343,27 @@ def main_blocks(html: str | None) -> list[str]:
         best = best.parent
     if best.parent is None or best.tag in ("article", "main", "body"):
         return _blocks(best)
-    limit, found = max(10.0, 0.2 * value(best)), []
-    for item in best.parent.items:
-        if item is best:
-            found += _blocks(best)
-        elif isinstance(item, tuple):
-            text, linked = item
-            if len(text) >= 80 and linked < 0.25 * len(text):
-                found.append(text)
-        elif item.tag in ("h1", "h2") and _density(item) < 0.5:
-            found += _blocks(item)
-        elif item.tag in ("p", "pre", "blockquote"):
-            if _density(item) < 0.25 and (item.length >= 80 or item.length and item.linked == 0):
-                found += _blocks(item)
-        elif value(item) >= limit:
+    items = best.parent.items
+    akin = [item is best or _akin(item, best) for item in items]
+    first, last = akin.index(True), len(akin) - 1 - akin[::-1].index(True)
+    found = []
+    for k in range(first, last + 1):
+        item = items[k]
+        if isinstance(item, tuple):
+            found.append(item[0])
+        elif akin[k] or not _links(item):
             found += _blocks(item)
     return found
 
 
+def _akin(item: _Node | tuple, best: _Node) -> bool:
+    """Whether a sibling of the best container is text as well: by its links, of which its like and prose may have more."""
+    if isinstance(item, tuple):
+        return item[1] < 0.25 * len(item[0])
+    like = item.tag == best.tag or item.tag in PROSE
+    return item.length > 0 and _density(item) < (0.5 if like else 0.25)
+
+
 def all_blocks(html: str | None) -> list[str]:
     """All visible text blocks of a page, whatever they are."""
     if not html:
