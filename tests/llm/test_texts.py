@@ -184,6 +184,19 @@ def test_wrappers_named_like_furniture_keep_the_article(name, inner):
     assert html_text.main_blocks(f'<body><p><span class="widget">{LONG}</span> x</p></body>') == [LONG + " x"]
 
 
+BOXES = ['class="post-comments"', 'id="comments" class="post"', 'class="comment-body"', 'class="comment-text"', 'class="page-footer"',
+         'class="entry-footer"', 'class="article-sidebar"', 'class="post-share-bar"', 'class="main-navigation"']
+
+
+@pytest.mark.parametrize("names", BOXES)
+def test_content_words_do_not_keep_comments_footers_and_side_bars(names):
+    page = f'<body><article><div class="post-header">Head</div><p>{LONG}</p><div class="text-widget">Tail</div><div {names}><p>{{}}</p></div></article></body>'
+    for other in ("Said, by a reader.", LONG):
+        assert html_text.main_blocks(page.format(other)) == ["Head", LONG, "Tail"]
+    teasers = f"<div {names}><article class='comment-body'><p>{LONG}</p></article></div>"
+    assert html_text.main_blocks(f"<body><article><p>{LONG}, x</p></article>{teasers}</body>") == [LONG + ", x"]
+
+
 def test_siblings_of_the_best_container_stay_by_their_links():
     half = lambda n: "a, " * n + "x" * (300 - 3 * n)
     links = '<ul><li><a href="/a">Another page</a></li><li><a href="/b">One more page</a></li></ul>'

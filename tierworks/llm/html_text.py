@@ -49,17 +49,18 @@ CONTENT = frozenset("article content main post entry story body text page hentry
 #: Parts before a furniture word that say where it stands ("site-footer").
 PLACES = frozenset(
     "site page post entry article main global top bottom left right primary secondary blog content story body single "
-    "inner user reader mobile desktop social c l js wp".split()
+    "inner user reader mobile desktop social block box section area news c l js wp".split()
 )
 #: Parts that tell of the page around an element ("has-sidebar", "comments-open"), not of the element.
 STATES = frozenset(
     "has no not with without is hide show layout open opened closed enabled disabled active none free fixed sticky".split()
 )
-#: Words of boxes that may hold articles of their own: teasers, comments.
-BOXES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense comment comments commentlist respond replies disqus "
-    "consent cookie cookies gdpr footer footnav menu nav navbar navigation breadcrumb breadcrumbs related recommended "
-    "recommendations share sharing sidebar aside sponsor sponsored subscribe pagination pager outbrain taboola".split()
+COMMENTS = frozenset("comment comments commentlist respond replies disqus".split())
+#: Words of boxes, which content words beside them do not change ("post-comments"); boxes may hold articles of their own.
+BOXES = COMMENTS | frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense consent cookie cookies gdpr footer footnav menu nav "
+    "navbar navigation breadcrumb breadcrumbs related recommended recommendations share sharing sidebar aside pagination "
+    "pager skip outbrain taboola".split()
 )
 WEAK_TAGS = frozenset("form fieldset header".split())
 WEAK, BOX, HIDDEN = 1, 2, 3  # why an element is cut out: a weak tag, role or name; one of a box; as it is not shown
@@ -86,13 +87,13 @@ class _Node:
 
 
 def _named(token: str, words: frozenset[str]) -> bool:
-    """Whether a class or id is one of the words, starts with one, or is one behind words for its place."""
+    """Whether a class or id is one of the words, or starts with one, perhaps behind words for its place."""
     if token in words:
         return True
     parts = [x for x in _WORD.split(token) if x]
     if not parts or not STATES.isdisjoint(parts):
         return False
-    return parts[0] in words or parts[-1] in words and PLACES.issuperset(parts[:-1])
+    return parts[0] in words or next((x for x in parts if x not in PLACES), "") in words
 
 
 def _furniture(tag: str, attrs: str) -> int:
@@ -105,13 +106,15 @@ def _furniture(tag: str, attrs: str) -> int:
         return HIDDEN
     if own or found.get("role") in ROLES:
         return own or BOX
-    if tag in ("article", "main"):
+    if tag == "main":
         return 0
     names = f"{found.get('class', '')} {found.get('id', '')}"
     tokens = names.split()
-    if not any(_named(x, FURNITURE) for x in tokens) or not CONTENT.isdisjoint(_WORD.split(names)):
+    if any(_named(x, COMMENTS if tag == "article" else BOXES) for x in tokens):
+        return BOX
+    if tag == "article" or not CONTENT.isdisjoint(_WORD.split(names)):
         return 0
-    return BOX if any(_named(x, BOXES) for x in tokens) else WEAK
+    return WEAK if any(_named(x, FURNITURE) for x in tokens) else 0
 
 
 def _prune(root: _Node, kind: int) -> None:
