@@ -197,6 +197,25 @@ def test_content_words_do_not_keep_comments_footers_and_side_bars(names):
     assert html_text.main_blocks(f"<body><article><p>{LONG}, x</p></article>{teasers}</body>") == [LONG + ", x"]
 
 
+OPEN = ['<svg viewBox="0 0 1 1"/>', "<svg/>", '<svg><path d="M0"/><text>T</text>', "<math/>", "<math>", "<select><option>A<option>B", '<object data="x">',
+        "<canvas>", "<noscript>", "<template>", "<title-bar></title-bar>", "<head>"]
+
+
+@pytest.mark.parametrize("tag", OPEN)
+def test_open_and_self_closing_elements_take_no_text_behind_them(tag):
+    page = f"<body><article>{tag}<p>{LONG}</p><p>{LONG}</p></article><footer>All</footer></body>"
+    assert html_text.main_blocks(page) == [LONG, LONG]
+    choices = ["A", "B"] if "select" in tag else []
+    assert html_text.all_blocks(page) == [*choices, LONG, LONG, "All"]
+
+
+def test_drawings_and_formulas_inside_text():
+    inside = '<svg><title>t</title><g><text>T</text></g></svg><math><mi>x</mi><annotation>tex</annotation></math><noscript><p>No</p></noscript>'
+    page = f'<article><p>{LONG} {inside} = 1 <svg/><a class="share"><svg><path/></svg> Share</a></p><script>"</p>"</script></article>'
+    assert html_text.main_blocks(page) == [LONG + " x = 1"]
+    assert html_text.all_blocks(page) == [LONG + " x = 1 Share"]
+
+
 def test_siblings_of_the_best_container_stay_by_their_links():
     half = lambda n: "a, " * n + "x" * (300 - 3 * n)
     links = '<ul><li><a href="/a">Another page</a></li><li><a href="/b">One more page</a></li></ul>'

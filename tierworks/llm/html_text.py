@@ -25,17 +25,22 @@ from pyspark.sql import DataFrame
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr img picture source track".split()
+    "strike strong sub sup time tt u var wbr img picture source track object canvas svg "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder "
+    "mover munderover mmultiscripts mprescripts none mtable mtr mtd mlabeledtr semantics annotation annotation-xml".split()
 )
 DROPPED = frozenset(
-    "nav header footer aside form button dialog menu fieldset datalist audio video map math applet embed frameset".split()
+    "nav header footer aside form button dialog menu fieldset datalist audio video map select applet embed frameset".split()
 )
+UNSEEN = frozenset("svg annotation annotation-xml".split())  # drawings, and sources of formulas
+IN_SELECT = frozenset("option optgroup hr".split())
 PARAGRAPH_ENDS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul dd dt tr td th tbody thead tfoot".split()
 )
+BREAKS = PARAGRAPH_ENDS | DROPPED | {"html", "body"}  # end a drawing that was left open
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
-             "th": {"td", "th"}, "option": {"option"}}
+             "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}}
 SCOPES = frozenset("ul ol dl table tr tbody thead tfoot div article section body html td th main blockquote".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 FURNITURE = frozenset(
@@ -65,9 +70,11 @@ BOXES = COMMENTS | frozenset(
 WEAK_TAGS = frozenset("form fieldset header".split())
 WEAK, BOX, HIDDEN = 1, 2, 3  # why an element is cut out: a weak tag, role or name; one of a box; as it is not shown
 
-_RAW = "script|style|noscript|template|svg|textarea|iframe|title|select|object|canvas|math|head(?=[\\s>][^<]*$)"
+_RAW = "script|style|textarea|iframe|title"  # text up to the end tag, or the end of the page
+_INERT = "noscript|template"  # not shown if closed before the next one starts
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<inert>{_INERT})(?=[\s/>])[^>]*>(?:[^<]|<(?!/?(?P=inert)[\s/>]))*+</(?P=inert)\s*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
@@ -229,8 +236,9 @@ def _parsed(html: str, furniture: bool, wrapper: int = -1) -> tuple[_Node, int,
             continue
         if tag in INLINE:
             if closing:
-                if skip and tag == skip[-1]:
-                    skip.pop()
+                if skip and tag in (skip if skip[-1] in UNSEEN else skip[-1:]):
+                    while skip.pop() != tag:
+                        pass
                     hidden = len(skip)
                 if tag == "a":
                     in_link = 0
@@ -239,12 +247,14 @@ def _parsed(html: str, furniture: bool, wrapper: int = -1) -> tuple[_Node, int,
                     in_link = 1
                 if tag not in VOID and not m["attrs"].endswith("/"):
                     if not skip:
-                        why = _furniture(tag, m["attrs"]) if m["attrs"] and not furniture else 0
+                        why = HIDDEN if tag in UNSEEN else _furniture(tag, m["attrs"]) if m["attrs"] and not furniture else 0
                         began, passed = m.start(), 0
-                    if skip and tag == skip[-1] or (not skip and why and began != wrapper):
+                    if tag in UNSEEN or skip and tag == skip[-1] or (not skip and why and began != wrapper):
                         skip.append(tag)
                         hidden = len(skip)
             continue
+        if skip and skip[-1] in UNSEEN and tag not in BREAKS:
+            continue
         flush()
         skip.clear()
         in_link, hidden = 0, 0
@@ -264,6 +274,12 @@ def _parsed(html: str, furniture: bool, wrapper: int = -1) -> tuple[_Node, int,
                 up = up.parent
             if up.tag in ends:
                 node = up.parent
+        if node.tag in ("select", "option", "optgroup") and tag not in IN_SELECT:  # left open
+            up = node
+            while up.parent is not None and up.tag != "select" and up.tag not in SCOPES:
+                up = up.parent
+            if up.tag == "select":
+                node = up.parent
         if tag in PARAGRAPH_ENDS:
             up = node
             while up.parent is not None and up.tag != "p" and up.tag not in SCOPES:
