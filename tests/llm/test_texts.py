@@ -98,6 +98,38 @@ def test_license_scan_equals_every_line_against_every_template(spark):
     assert [r.blocks for r in rows if r.doc_id == 4] == [[0]]
 
 
+def plain_windows(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
+    labels = set()
+    for label, wording in license_scan.TEMPLATES:
+        parts, n = set(license_scan.template_words(wording)), len(re.findall(r"\w+", wording))
+        step = license_scan.slack(n)
+        for at in range(0, len(words), step):
+            if 100 * len(set(words[at : at + n + step]) & parts) >= license_scan.PERCENT * len(parts):
+                labels.add(label)
+    return labels
+
+
+def test_license_windows_find_wrapped_notices_and_no_scattered_words(spark):
+    draw = random.Random(4)
+    pool = sorted({w for _, x in license_scan.TEMPLATES for w in license_scan.template_words(x)})
+    wrapped = []
+    for k, (_, wording) in enumerate(license_scan.TEMPLATES):  # each at another place, a line of two words each
+        words = ["zero"] * k + wording.split() + ["end"]
+        wrapped.append("\n * ".join(" ".join(words[i : i + 2]) for i in range(0, len(words), 2)))
+    scattered = " ".join(w + " x" * 30 for w in ("all", "rights", "reserved"))
+    made = ["\n".join(" ".join(draw.choice(pool) for _ in range(9)) for _ in range(draw.randint(0, 9))) for _ in range(40)]
+    texts = [*wrapped, scattered, None, "", "\n", *made]
+    rows = license_scan.matches(table(spark, texts), windows=True).select("doc", "label").distinct().collect()
+    got = {(r.doc, r.label) for r in rows}
+    assert got == {(i, x) for i, t in enumerate(texts) for x in plain_windows(t)}
+    assert {(i, label) for i, (label, _) in enumerate(license_scan.TEMPLATES)} <= got
+    assert not [x for x in got if x[0] == len(wrapped)]
+    out = license_scan.scan(table(spark, texts[:2] + texts[:1]), windows=True).collect()
+    assert [r.labels for r in out if r.doc_id == 1] == ["agpl,gpl,gpl-notice,lgpl"] and len(out) == 3
+    assert license_scan.scan(table(spark, []), windows=True).count() == 0
+
+
 def test_license_scan_with_null_and_repeated_ids(spark):
     rows = license_scan.scan(table(spark, ["mit license", "apache license", "x", "Released under the MIT License"], [None, 1, 1, None])).collect()
     assert sorted((r.doc_id or 0, r.labels) for r in rows) == [(0, "mit"), (0, "mit,mit-notice"), (1, ""), (1, "apache")]

@@ -1,6 +1,8 @@
 """License scan by an exact set-similarity join of text blocks and templates.
 
-A block is a line, a template the set of words of a usual notice. A block matches a template if it holds at least
+A block is a line, or with ``windows`` a stretch of words wherever lines end; a template is the set of words of a usual
+notice. Windows are a fourth longer than the template they are held against and start so often that any stretch as long as
+the template lies in one: notices broken over several lines are found, words scattered over a long line are not. A block matches a template if it holds at least
 ``percent`` per cent of the template's words. The tokens of all templates are put in one global order, rarest in all
 blocks first. A matching block must hold one of a template's first ``size - need + 1`` tokens (prefix filter), needs at
 least ``need`` template tokens at all (length filter), and behind the places of the first shared token both sides must
@@ -121,10 +123,40 @@ def _lines_with(docs: DataFrame, vocabulary: list[str], having: list[str] | None
     return lines.select("doc", "tie", "block", F.array_intersect(words_of(F.col("line")), F.array(*map(F.lit, vocabulary))).alias("tokens"))
 
 
+def slack(length: int) -> int:
+    """Words by which a window is longer than a template of ``length`` words, and between the starts of windows."""
+    return max(1, length // 4)
+
+
+def _windows_with(docs: DataFrame, shapes: dict[int, tuple[list[str], int]], having: list[str]) -> DataFrame:
+    """``doc``, ``tie``, ``length``, ``block`` (first word) and ``tokens`` of windows for templates of each ``length``.
+
+    ``shapes``: the words of the templates of a length, and how many of them a window must hold at least.
+    """
+    rows = docs.where(F.rlike("text", F.lit(_any_of(having)))).select("doc", "tie", words_of(F.col("text")).alias("words"))
+    rows = rows.where(F.size("words") > 0)
+
+    def cut(length, vocabulary, need):
+        step = slack(length)
+        held = F.transform(
+            F.sequence(F.lit(0), F.size("words") - 1, F.lit(step)),
+            lambda i: F.struct(
+                F.lit(length).alias("length"), i.alias("block"),
+                F.array_intersect(F.slice("words", i + 1, length + step), F.array(*map(F.lit, vocabulary))).alias("tokens"),
+            ),
+        )
+        return F.filter(held, lambda x: F.size(x["tokens"]) >= need)
+
+    each = F.flatten(F.array(*(cut(n, ws, need) for n, (ws, need) in sorted(shapes.items()))))
+    return rows.select("doc", "tie", F.inline(each))
+
+
 def matches(
-    docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
+    windows: bool = False,
 ) -> DataFrame:
-    """All blocks and templates that match: ``doc``, ``tie``, ``block``, ``label``, ``containment``."""
+    """All blocks and templates that match: ``doc``, ``tie``, ``block`` (number of the line, or with ``windows`` of the
+    window's first word), ``label``, ``containment``."""
     spark: SparkSession = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"))
@@ -134,24 +166,30 @@ def matches(
     counts = {r["token"]: r["count"] for r in counted.collect()}  # a row per word of the templates
     order = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
 
-    prefixes, first_tokens = [], set()
+    prefixes, first_tokens, shapes = [], set(), {}
     for number, (label, ws) in enumerate(sets):
         ranks = sorted(order[w] for w in ws)
         need = -(-percent * len(ranks) // 100)
+        length = len(re.findall(f"[^{APART}]+", templates[number][1].lower())) if windows else 0
         for place, rank in enumerate(ranks[: len(ranks) - need + 1]):
-            prefixes.append((rank, place, number, label, need, ranks))
+            prefixes.append((rank, place, number, label, need, ranks, length))
+        held, least = shapes.get(length, ([], need))
+        shapes[length] = (sorted({*held, *ws}), min(least, need))
         first_tokens |= {w for w in ws if order[w] in ranks[: len(ranks) - need + 1]}
-    index = spark.createDataFrame(prefixes, "rank int, place int, template int, label string, need int, ranks array<int>")
+    index = spark.createDataFrame(prefixes, "rank int, place int, template int, label string, need int, ranks array<int>, length int")
 
     rank_of = F.create_map(*(x for w, k in order.items() for x in (F.lit(w), F.lit(k))))
-    blocks = _lines_with(keyed, vocabulary, sorted(first_tokens)).withColumn(
-        "ranks_b", F.sort_array(F.transform("tokens", lambda w: F.element_at(rank_of, w)))
-    )
-    heads = blocks.select("doc", "tie", "block", "ranks_b", F.posexplode("ranks_b").alias("place_b", "rank"))
+    if windows:
+        blocks, keys = _windows_with(keyed, shapes, sorted(first_tokens)), ["length", "rank"]
+    else:
+        blocks, keys = _lines_with(keyed, vocabulary, sorted(first_tokens)), ["rank"]
+        index = index.drop("length")
+    blocks = blocks.withColumn("ranks_b", F.sort_array(F.transform("tokens", lambda w: F.element_at(rank_of, w))))
+    heads = blocks.select("doc", "tie", *keys[:-1], "block", "ranks_b", F.posexplode("ranks_b").alias("place_b", "rank"))
     both = F.array_intersect("ranks_b", "ranks")
     shared = F.size(both)
     fit = (
-        heads.join(index, "rank")
+        heads.join(index, keys)
         .where(F.size("ranks_b") >= F.col("need"))  # length
         .where(F.least(F.size("ranks") - F.col("place"), F.size("ranks_b") - F.col("place_b")) >= F.col("need"))  # position
         .where((F.array_min(both) == F.col("rank")) & (shared >= F.col("need")))  # at the first shared token only
@@ -161,12 +199,13 @@ def matches(
 
 def scan(
     docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES, percent: int = PERCENT,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", windows: bool = False,
 ) -> DataFrame:
     """Per row: id, ``n_words``, the places of names (``n_base``, ``first_word``, ``last_word``, ``base_labels``),
-    ``labels``, ``score`` (1 with a name, else the best containment, else 0) and ``blocks`` (matching lines)."""
+    ``labels``, ``score`` (1 with a name, else the best containment, else 0) and ``blocks`` (matching lines, or first words of
+    matching ``windows``)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    hits = matches(docs, templates, percent, id_col, text_col).groupBy("doc", "tie").agg(
+    hits = matches(docs, templates, percent, id_col, text_col, windows).groupBy("doc", "tie").agg(
         F.collect_set("label").alias("_labels"), F.max("containment").alias("_best"), F.collect_set("block").alias("_blocks")
     )
     rows = docs.select(
