@@ -1,10 +1,9 @@
-"""Line deduplication by a suffix array over line ids.
+"""Line deduplication by names of runs of lines, in the stead of a suffix array over line ids.
 
 The corpus is read as one sequence of lines with a word, in order of document and line, with documents parted. Prefix
 doubling names runs of 1, 2, 4, ... lines: two places have the same name at a level exactly if the runs starting there
 are equal, because a name stands for the pair of names of the two halves. The name is the first place where the run
-occurs, so it needs no global sort, and the places that share a name are one longest-common-prefix interval of the
-suffix array. A place whose run occurs nowhere else leaves the doubling, which empties quickly.
+occurs, so it needs no global sort. There is no order of suffixes, and maximal runs are not found. A place whose run occurs nowhere else leaves the doubling, which empties quickly.
 
 A run of any length is the overlap of two named runs. For every line that starts or ends a candidate, the shortest run
 with ``min_words`` words from it, forwards and backwards, is looked up in this way: the union of those that occur at an
