@@ -4,7 +4,8 @@ Text that the tokenizer's pre-tokenizer leaves unsplit is one run of symbols for
 halved down to leaves, all leaves are encoded independently, and neighbours are joined level by level: a window of
 tokens around the join is encoded anew, and grows until its outermost tokens are those that both sides had there. In
 BPE a token sequence is the encoding of its text exactly if each two neighbours in it are the encoding of theirs, so
-agreement at both edges of the window proves the whole. The work is n log n at most for any run.
+agreement at both edges of the window proves the whole. The work is n log n at most for any run. Leaves and joins of a run
+are computed one after the other in the task that holds its row, not in parallel.
 
 Words come again and again, so tasks remember the ids of white-space-free stretches in a cache of bounded size.
 
