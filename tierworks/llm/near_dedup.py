@@ -7,8 +7,8 @@ values, so that no register of a short document stays empty. Four registers are
 
 1. Documents with the same set (a digest of the whole sorted set) are one class, represented by its smallest id. From
    here on copies cost nothing.
-2. Classes that agree in a band meet in a bucket. Not all pairs of a bucket are made: a few members chosen by a hash
-   serve as hubs and are compared with the others.
+2. Classes that agree in a band meet in a bucket. Not all pairs of a bucket are made: one member chosen by one of
+   ``HUBS`` hashes serves as the hub and is compared with the others.
 3. Of each pair, the share of equal registers, less the share that collides by chance at these set sizes, estimates the
    similarity. Pairs far below the threshold (six standard deviations) go; all others are confirmed on their full sets.
 4. Components are formed of the confirmed links. Where a bucket still holds several components, hubs were not enough.
