@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierworks.llm import ann, bpe, html_text, license_scan, line_dedup, near_dedup, packing, quality_cascade, token_codes, warc
+from tierworks.llm import (
+    ann, bpe, html_text, license_scan, line_dedup, near_dedup, packing, periodic_runs, piece_bpe, quality_cascade,
+    token_codes, warc,
+)
 from tierworks.llm.common import table
 from tierworks.session import work_dir
 
@@ -248,3 +253,42 @@ from w left join b using (row) left join t using (row)
 
 
 ORACLE_SQL["op3_license_scan"] = _license_sql()
+
+
+@query
+def op13_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = piece_bpe.encode_documents(table(spark, sf_dir, "documents"))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of one in ten documents with a run planted in them, as fixed by the task; null ids are left alone."""
+    n = len(words)
+    if not n or doc_id is None:
+        return words
+    g, last = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if last:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [*words[:a], *(words[a + (i - a) % p] for i in range(a, n))]
+
+
+@query
+def op12_basic_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted_run)
+    best = F.expr(
+        "array_sort(runs, (x, y) -> case when x.length * y.period > y.length * x.period then -1"
+        " when x.length * y.period < y.length * x.period then 1 when x.start < y.start then -1 when x.start > y.start then 1"
+        " when x.period < y.period then -1 when x.period > y.period then 1 else 0 end)[0]"
+    )
+    listed = F.expr("array_join(transform(runs, x -> concat(x.start, ',', x.length, ',', x.period, '\\n')), '')")
+    return found.withColumns({"best": F.when(F.size("runs") > 0, best), "listed": listed}).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
