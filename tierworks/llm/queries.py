@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierworks.llm import (
-    ann, bpe, html_text, license_scan, line_dedup, near_dedup, packing, periodic_runs, piece_bpe, quality_cascade,
+    ann, bpe, collocations, html_text, license_scan, line_dedup, near_dedup, packing, periodic_runs, piece_bpe, quality_cascade,
     token_codes, warc,
 )
 from tierworks.llm.common import table
@@ -292,3 +292,44 @@ def op12_basic_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op11_phrase_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op11_phrase_growth"] = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+),
+split as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+total as (select lang, sum(len(words))::bigint as n from split group by lang),
+word as (select lang, words, unnest(range(1, len(words) + 1)) as i from split),
+part as (
+    select lang, size, array_to_string(words[i:i + size - 1], ' ') as phrase, count(*) as a
+    from word, range(1, 6) as s(size) where i + size - 1 <= len(words) group by all having count(*) >= 100
+),
+cut as (
+    select p.*, string_split(phrase, ' ') as held, unnest(range(1, size)) as k from part p where size > 1
+),
+scored as (
+    select c.lang, c.phrase, c.size, c.a, c.k, x.a as l, y.a as r, n,
+        (1000::hugeint * c.a * n // (x.a::hugeint * y.a))::bigint as score
+    from cut c join total using (lang)
+    join part x on x.lang = c.lang and x.phrase = array_to_string(held[:k], ' ')
+    join part y on y.lang = c.lang and y.phrase = array_to_string(held[k + 1:], ' ')
+),
+lowest as (select *, row_number() over (partition by lang, phrase order by score, k) as turn from scored),
+gone as (
+    select distinct p.lang, array_to_string(string_split(p.phrase, ' ')[i:i + w - 1], ' ') as phrase, p.a
+    from part p, range(1, 5) as f(i), range(2, 5) as v(w) where w < p.size and i + w - 1 <= p.size
+),
+ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+    from lowest anti join gone using (lang, phrase, a) where turn = 1
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
