@@ -166,3 +166,58 @@ def test_changes_are_told_by_columns(spark):
     assert scd.scd2_build(first.withColumn("ts", at).union(later), "k", ["x", "y"], "ts").count() == 2
     with pytest.raises(Exception, match="duplicate merge key"):
         scd.scd2_merge(history, second.union(second), "k", ["x", "y"], "2024-02-01 00:00:00").collect()
+
+
+def test_as_of_with_a_busy_key(spark, monkeypatch):
+    import random
+    from datetime import timedelta
+
+    from tierworks.operators import joins, sequences
+
+    monkeypatch.setattr(sequences, "CHUNK_ROWS", 20)
+    draw, start = random.Random(6), datetime(2024, 1, 1)
+    versions = []
+    for key, n in (("hot", 60), ("cold", 2), ("late", 1)):
+        times = sorted(draw.sample(range(1000), n))
+        for k, minute in enumerate(times):
+            end = times[k + 1] if k + 1 < n else 2000
+            end -= draw.choice([0, 0, 3])  # some gaps
+            versions.append((key, f"{key}-{k}", start + timedelta(minutes=minute), start + timedelta(minutes=max(end, minute + 1))))
+    versions.append((None, "nobody", start, start + timedelta(days=9)))
+    facts = [(draw.choice(["hot", "hot", "hot", "cold", "late", "none", None]), None if k % 50 == 0 else start + timedelta(minutes=draw.randrange(-5, 1100)), k) for k in range(400)]
+    facts += [(v[0], v[2], 1000 + k) for k, v in enumerate(versions)] + [(v[0], v[3], 2000 + k) for k, v in enumerate(versions)]
+    history = spark.createDataFrame(versions, "k string, label string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    fact = spark.createDataFrame(facts, "k string, at timestamp_ntz, n int")
+    got = {r.n: r.label for r in joins.as_of_join(fact, history, "k", "at").collect()}
+    want = {n: next((v[1] for v in versions if key and at and v[0] == key and v[2] <= at < v[3]), None) for key, at, n in facts}
+    assert got == want
+
+
+def test_stored_history_touches_only_changed_partitions(spark):
+    from tierworks.session import work_dir
+    from tierworks.sources import files, sinks
+
+    path = work_dir(spark, "history")
+    first = spark.range(300).selectExpr("concat('k', id) AS k", "'old' AS v", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS at")
+    history = scd.scd2_build(first, "k", ["v"], "at")
+    sinks.publish_history(history, path, "k", parts=16)
+    before = {r.path for r in files.list_files(spark, path).collect()}
+    load = spark.range(300).selectExpr("concat('k', id) AS k", "CASE WHEN id IN (3, 4) THEN 'new' ELSE 'old' END AS v").union(
+        spark.createDataFrame([("added", "new")], "k string, v string"))
+    want = sorted(map(tuple, scd.scd2_merge(history, load, "k", ["v"], "2024-02-01 00:00:00").collect()))
+    for _ in range(2):  # the second time nothing is new
+        sinks.merge_history(load, path, "k", ["v"], "2024-02-01 00:00:00", parts=16)
+        got = sorted(map(tuple, spark.read.parquet(path).select(*history.columns).collect()))
+        assert got == want
+        kept = {r.path for r in files.list_files(spark, path).collect()} & before
+        assert len(before) - 3 <= len(kept) < len(before)
+
+
+def test_a_busy_key_has_the_same_history(spark, monkeypatch):
+    from tierworks.operators import sequences
+
+    monkeypatch.setattr(sequences, "CHUNK_ROWS", 9)
+    df = spark.range(200).selectExpr(
+        "IF(id % 4 = 0, 'rare', 'hot') AS k", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, id) AS at", "(id DIV 7) % 3 AS v")
+    plain, spread = (sorted(map(tuple, scd.scd2_build(df, "k", ["v"], "at", spread=s).collect())) for s in (False, True))
+    assert plain == spread and len(plain) > 40

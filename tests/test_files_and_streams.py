@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierworks.operators import quality
+from tierworks.operators import quality, spc
 from tierworks.session import work_dir
 from tierworks.sources import files, ingest, sinks
 from tierworks.streaming import runs, streams
@@ -78,6 +78,17 @@ def test_copy_loads_each_file_once(spark):
     assert sorted(r.reading_value for r in ingest.read_loaded(spark, dst).collect()) == [1.0, 2.0, 3.0]
 
 
+def test_names_are_read_in_groups(spark):
+    src, dst = work_dir(spark, "src"), work_dir(spark, "dst")
+    for minute in range(9):
+        land(readings(spark, [minute]), src)
+    assert ingest.copy_into(spark, src, dst, SCHEMA, group_files=2) == 9
+    land(readings(spark, [50]), src)
+    assert [ingest.copy_into(spark, src, dst, SCHEMA, group_files=2) for _ in range(2)] == [1, 0]
+    assert sorted(r.reading_value for r in ingest.read_loaded(spark, dst).collect()) == [*map(float, range(9)), 50.0]
+    assert spark.read.parquet(f"{dst}/_ledger").groupBy("load_no").count().orderBy("load_no").collect() == [(0, 9), (1, 1)]
+
+
 def test_rescue_keeps_what_does_not_fit(spark):
     df = spark.createDataFrame([("1", "x", "extra"), ("n/a", None, None)], "qty string, name string, other string")
     rows = ingest.rescue_columns(df, T.StructType.fromDDL("qty int, name string, added date")).collect()
@@ -97,6 +108,20 @@ def test_clustered_files_cover_narrow_ranges(spark):
     assert sum(r.a for r in spans) / len(spans) < 2400 and sum(r.b for r in spans) / len(spans) < 30
 
 
+def test_one_extreme_value_does_not_spoil_the_layout(spark):
+    out = work_dir(spark, "outlier")
+    a = F.when(F.col("id") == 0, 10**12).otherwise(F.col("id") * 7919 % 4000).alias("a")
+    df = spark.range(4000).select(a, (F.col("id") % 40).alias("b"), F.when(F.col("id") % 50 != 0, F.col("id")).alias("n"))
+    sinks.publish_clustered(df, out, ["a", "b"], files=16)
+    back = spark.read.parquet(out)
+    assert quality.same_content(df, back).isEmpty()
+    usual = back.where("a < 4000").groupBy(F.col("_metadata.file_name"))
+    spans = usual.agg((F.max("a") - F.min("a")).alias("a"), (F.max("b") - F.min("b")).alias("b")).collect()
+    assert sum(r.a for r in spans) / len(spans) < 2000 and sum(r.b for r in spans) / len(spans) < 20
+    sinks.publish_clustered(df, out, ["n", "b"], files=4)
+    assert quality.same_content(df, spark.read.parquet(out)).isEmpty()
+
+
 def test_clustering_splits_one_frequent_value(spark):
     out = work_dir(spark, "hot")
     df = spark.range(3000).select(F.when(F.col("id") < 2000, 5).otherwise(F.col("id")).alias("k"), "id")
@@ -173,6 +198,57 @@ def test_update_mode_matches_batch(spark):
     assert sorted((r.window_start.hour, r.n_readings) for r in df.collect()) == [(0, 3), (1, 2), (2, 1)]
 
 
+def test_complete_mode_keeps_rows_however_late(spark):
+    out = work_dir(spark, "complete")
+    for minutes in ([600, 610], [20, 70], [21, 605]):
+        land(readings(spark, minutes), f"{out}/landing")
+        stream = streams.file_stream(spark, f"{out}/landing", SCHEMA)
+        df = runs.run_complete(streams.hourly_stream(stream, "reading_timestamp"), f"{out}/table", f"{out}/checkpoint")
+    assert sorted((r.window_start.hour, r.n_readings) for r in df.collect()) == [(0, 2), (1, 1), (10, 3)]
+
+
+def test_alarms_know_the_window_before(spark):
+    import random
+
+    draw, out = random.Random(4), work_dir(spark, "alarms")
+    rows = []
+    for sensor in ("quiet", "wild"):
+        for minute in range(0, 12 * 60, 7):
+            spread = 1 if sensor == "quiet" else 3 ** (minute // 120)
+            rows.append((sensor, START + timedelta(minutes=minute), 100 + spread * draw.random()))
+    rows.sort(key=lambda r: (r[1] - START).total_seconds() / 60 + draw.randrange(50))  # out of order, within the watermark
+    for k in range(6):
+        land(spark.createDataFrame(rows[k * len(rows) // 6 : (k + 1) * len(rows) // 6], SCHEMA), f"{out}/landing")
+        stream = streams.file_stream(spark, f"{out}/landing", SCHEMA)
+        alarms = streams.alarm_stream(stream, "reading_timestamp", width="1 hour", watermark="1 hour")
+        runs.run_append(alarms, f"{out}/table", f"{out}/checkpoint", keyed_state=True)
+    hours = spark.createDataFrame(rows, SCHEMA).groupBy("sensor_id", F.date_trunc("hour", "reading_timestamp").cast("timestamp_ntz").alias("kpi_date"))
+    stats = hours.agg(
+        F.avg("reading_value").alias("avg_reading"), F.stddev("reading_value").alias("stddev_reading"), F.min("reading_value").alias("min_reading"),
+        F.max("reading_value").alias("max_reading"), F.count(F.lit(1)).alias("total_readings"),
+    ).withColumns({c: F.lit("") for c in ("sensor_name", "equipment_name", "process_area")})
+    names = ["stability_level", "signal_quality", "has_outlier", "range_violated", "volatility_trend", "spike_status", "alert_severity"]
+    batch = {(r.sensor_id, r.kpi_date): [r[c] for c in names] for r in spc.sensor_alerts(stats).collect()}
+    stream = {(r.sensor_id, r.window_start): [r[c] for c in names] for r in spark.read.parquet(f"{out}/table").collect()}
+    assert len(stream) >= 18 and all(batch[k] == v for k, v in stream.items())
+    assert {v[4] for v in stream.values()} >= {"NO_HISTORY", "DEGRADING"}
+
+
+def test_counts_of_each_batch_are_rows_and_a_failed_batch_writes_nothing(spark):
+    out = work_dir(spark, "checked")
+    land(readings(spark, [1, 2, 3]), f"{out}/landing")
+    stream = streams.file_stream(spark, f"{out}/landing", SCHEMA)
+    rules = {"small": ("warn", "reading_value < 2"), "odd": ("drop", "reading_value % 2 = 1"), "known": ("fail", "reading_value IS NOT NULL")}
+    df = runs.run_checked(stream, f"{out}/table", f"{out}/metrics", f"{out}/checkpoint", rules)
+    assert sorted(r.reading_value for r in df.collect()) == [1.0, 3.0]
+    counts = {r.expectation: (r.violations, r.rows_kept, r.batch_id) for r in spark.read.parquet(f"{out}/metrics").collect()}
+    assert counts == {"small": (2, 3, 0), "odd": (1, 2, 0), "known": (0, 3, 0)}
+    land(readings(spark, [5]).withColumn("reading_value", F.lit(None).cast("double")), f"{out}/landing")
+    with pytest.raises(Exception, match="expectation failed"):
+        runs.run_checked(stream, f"{out}/table", f"{out}/metrics", f"{out}/checkpoint", rules)
+    assert spark.read.parquet(f"{out}/table").count() == 2
+
+
 def _upsert(spark, out, source="landing", checkpoint="checkpoint"):
     stream = streams.file_stream(spark, f"{out}/{source}", SCHEMA)
     part = {"sensor_part": "pmod(xxhash64(sensor_id), 4)"}

@@ -22,7 +22,9 @@ rows = st.lists(
     max_size=40,
     unique_by=lambda r: (r[0], r[1]),
 )
-checked = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+#: Rows of a chunk: one chunk per key, or many.
+depths = pytest.mark.parametrize("depth", [None, 3])
+checked = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def frame(spark, data):
@@ -36,62 +38,68 @@ def same(a, b):
     assert left == sorted((tuple(r) for r in b.select(columns).collect()), key=repr)
 
 
+@depths
 @checked
 @given(rows)
-def test_neighbours(spark, data):
+def test_neighbours(spark, depth, data):
     df = frame(spark, data)
     w = W.partitionBy("k").orderBy("ts")
     want = df.withColumns({"p": F.lag("v").over(w), "q": F.lead("n").over(w)})
-    same(seq.with_neighbours(df, ["k"], ["ts"], seq.by_time("ts"), {"p": "v"}, {"q": "n"}), want)
+    same(seq.with_neighbours(df, ["k"], ["ts"], seq.by_time("ts", depth), {"p": "v"}, {"q": "n"}), want)
 
 
+@depths
 @checked
 @given(rows)
-def test_row_number(spark, data):
+def test_row_number(spark, depth, data):
     df = frame(spark, data)
     want = df.withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy("ts")).cast("bigint"))
-    same(seq.with_row_number(df, ["k"], ["ts"], seq.by_time("ts"), "rn"), want)
+    same(seq.with_row_number(df, ["k"], ["ts"], seq.by_time("ts", depth), "rn"), want)
 
 
 @pytest.mark.parametrize("descending", [True, False])
+@depths
 @checked
 @given(rows)
-def test_ranks(spark, descending, data):
+def test_ranks(spark, descending, depth, data):
     df = frame(spark, data)
     w = W.partitionBy("k").orderBy(F.col("v").desc() if descending else F.col("v").asc())
     want = df.withColumns({"r": F.rank().over(w).cast("bigint"), "d": F.dense_rank().over(w).cast("bigint")})
-    same(seq.with_ranks(df, ["k"], "v", seq.by_value("v", 2.0, descending), "r", "d"), want)
+    same(seq.with_ranks(df, ["k"], "v", seq.by_value("v", descending, depth), "r", "d"), want)
 
 
+@depths
 @checked
 @given(rows)
-def test_running_rows(spark, data):
+def test_running_rows(spark, depth, data):
     df = frame(spark, data)
     w = W.partitionBy("k").orderBy("ts").rowsBetween(W.unboundedPreceding, W.currentRow)
     want = df.withColumns({"s": F.sum("v").over(w), "c": F.count("v").over(w), "a": F.avg("v").over(w)})
-    got = seq.with_running(df, ["k"], ["ts"], seq.by_time("ts"), "v", avg="a", total="s", count="c")
+    got = seq.with_running(df, ["k"], ["ts"], seq.by_time("ts", depth), "v", avg="a", total="s", count="c")
     same(got, want)
 
 
+@depths
 @checked
 @given(rows)
-def test_running_with_ties(spark, data):
+def test_running_with_ties(spark, depth, data):
     df = frame(spark, data).withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     df = df.withColumn("ts", F.when(F.col("n") % 7 != 0, F.col("ts")))
     w = W.partitionBy("k").orderBy("ts")
     want = df.withColumns({"s": F.sum("v").over(w), "c": F.count("v").over(w)})
     got = seq.with_running(
-        df, ["k"], ["ts"], seq.by_time("ts", "day"), "v", total="s", count="c", share_ties=True
+        df, ["k"], ["ts"], seq.by_time("ts", depth), "v", total="s", count="c", share_ties=True
     )
     same(got, want)
 
 
-def test_order_may_be_null_once(spark):
+@depths
+def test_order_may_be_null_once(spark, depth):
     df = spark.createDataFrame([("a", None, 1.0), ("a", START, None), ("a", START + timedelta(days=2), 3.0)],
                                "k string, ts timestamp_ntz, v double")
     w = W.partitionBy("k").orderBy("ts")
     want = df.withColumns({"p": F.lag("v").over(w), "q": F.lead("v").over(w)})
-    same(seq.with_neighbours(df, ["k"], ["ts"], seq.by_time("ts"), {"p": "v"}, {"q": "v"}), want)
+    same(seq.with_neighbours(df, ["k"], ["ts"], seq.by_time("ts", depth), {"p": "v"}, {"q": "v"}), want)
 
 
 def test_first_rows_limits_before_the_shuffle(spark, capsys):

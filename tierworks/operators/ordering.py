@@ -13,12 +13,12 @@ from tierworks.operators import sequences as seq
 
 
 def rank_readings(
-    df: DataFrame, key: str, ts: str, value: str, value_step: float = 0.01, tie_break: Sequence[str] = ()
+    df: DataFrame, key: str, ts: str, value: str, tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """Position by time (then ``tie_break``) and rank by falling value of each reading of a sensor."""
     numbered = seq.with_row_number(df, [key], [ts, *tie_break], seq.by_time(ts), "row_num")
-    steps = seq.by_value(value, value_step, descending=True)
-    return seq.with_ranks(numbered, [key], value, steps, "value_rank", "value_dense_rank")
+    falling = seq.by_value(value, descending=True)
+    return seq.with_ranks(numbered, [key], value, falling, "value_rank", "value_dense_rank")
 
 
 def neighbour_readings(df: DataFrame, key: str, ts: str, value: str, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -92,9 +92,9 @@ def sessions(
     ``max_rate`` marks sessions above that many events per minute as bots.
     """
     gap = F.col(ts) >= F.col("_prev") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
-    steps = seq.with_neighbours(df.select(key, ts), [key], [ts], seq.by_time(ts), {"_prev": ts})
-    marked = steps.withColumn("_start", F.when(F.col("_prev").isNull() | gap, 1).otherwise(0))
-    numbered = seq.with_running(marked, [key], [ts], seq.by_time(ts), "_start", total="session_no")
+    steps = seq.Ordered.of(df.select(key, ts), [key], [ts], seq.by_time(ts)).neighbours({"_prev": ts}, {})
+    marked = steps.with_columns({"_start": F.when(F.col("_prev").isNull() | gap, 1).otherwise(0)})
+    numbered = marked.running("_start", total="session_no").frame()
     out = numbered.groupBy(key, F.col("session_no").cast("bigint").alias("session_no")).agg(
         F.min(ts).alias("session_start"), F.max(ts).alias("session_last"), F.count(F.lit(1)).alias("n_events")
     )

@@ -1,9 +1,10 @@
-"""Exact continuous quantiles per group, safe for very large groups.
+"""Exact continuous quantiles per group in two scans, safe for very large groups.
 
-``percentile`` keeps every distinct value of a group in one task.  Here a mergeable
-sketch brackets each wanted rank, exact counts below the bracket are taken in a
-second pass, and only the values inside the bracket are ranked, which gives the
-exact quantile by the same plan at every size.
+``percentile`` keeps every distinct value of a group in one task.  Here the first scan takes the other aggregates of a
+group together with a mergeable sketch, which brackets each wanted rank.  The second scan turns each value, per
+quantile, into "below the bracket" or into itself, and counts these before its shuffle: what is below becomes one row
+per task, and only the values inside the bracket are ranked.  The sketch's error is bounded, so the bracket holds the
+rank; should it ever not, the query fails instead of returning a wrong value.
 """
 
 from __future__ import annotations
@@ -19,77 +20,72 @@ from tierworks.operators.skew import same_keys
 SKETCH_ACCURACY = 100_000
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """Exact quantiles by bracketing; every step is combined before its shuffle."""
-    names = list(probs)
-    margin = 2.0 / accuracy
-    values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    edges = [min(max(p + d, 0.0), 1.0) for p in probs.values() for d in (-margin, margin)]
-    sketch = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", edges, accuracy).alias("_edges"),
+def _summaries(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], others: Sequence[Column], accuracy: int
+) -> DataFrame:
+    """``others``, the number of values and the brackets of each group."""
+    margin = 4.0 / accuracy
+    v = F.col(value).cast("double")
+    inner = [(max(p - margin, 0.0), min(p + margin, 1.0)) for p in probs.values()]
+    summary = df.groupBy(*keys).agg(
+        *others, F.count(v).alias("_n"), F.min(v).alias("_min"), F.max(v).alias("_max"),
+        F.percentile_approx(v, [edge for pair in inner for edge in pair], accuracy).alias("_edges"),
     )
+    # Of a group no larger than the sketch's accuracy all values are inside; the very ends are taken as they are.
+    small, brackets = F.col("_n") <= accuracy, []
+    for i, (low, high) in enumerate(inner):
+        lo = F.when(small | F.lit(low <= 0), F.col("_min")).otherwise(F.col("_edges")[2 * i])
+        hi = F.when(small | F.lit(high >= 1), F.col("_max")).otherwise(F.col("_edges")[2 * i + 1])
+        brackets.append(F.struct(lo.alias("lo"), hi.alias("hi")))
+    # Reading every column keeps the two uses of the summary alike, so that Spark scans and shuffles for it once.
+    whole = F.xxhash64(*[c for c in summary.columns if c not in keys]).isNotNull()
+    return summary.withColumn("_brackets", F.when(whole, F.array(*brackets))).drop("_min", "_max", "_edges")
 
-    # Count exactly what lies below and up to each bracket.
-    joined = values.alias("v").join(sketch.alias("s"), same_keys("v", "s", keys))
-    counts = []
-    for i, _ in enumerate(names):
-        low, high = F.col("s._edges")[2 * i], F.col("s._edges")[2 * i + 1]
-        counts.append(F.count_if(F.col("v._v") < low).alias(f"_below{i}"))
-        counts.append(F.count_if(F.col("v._v") <= high).alias(f"_upto{i}"))
-    counted = joined.groupBy(*[F.col(f"v.{k}").alias(k) for k in keys]).agg(
-        F.first("s._n").alias("_n"), F.first("s._min").alias("_min"), F.first("s._max").alias("_max"),
-        F.first("s._edges").alias("_edges"), *counts,
-    )
 
-    # A bracket which misses its ranks widens to the whole group, so the result stays exact.
-    brackets = []
-    for i, name in enumerate(names):
-        position = F.lit(probs[name]) * (F.col("_n") - 1)
-        first, last = F.floor(position), F.ceil(position)
-        holds = (F.col(f"_below{i}") <= first) & (last < F.col(f"_upto{i}"))
-        brackets.append(
-            F.struct(
-                F.lit(name).alias("q"),
-                position.alias("position"),
-                F.when(holds, F.col("_edges")[2 * i]).otherwise(F.col("_min")).alias("lo"),
-                F.when(holds, F.col("_edges")[2 * i + 1]).otherwise(F.col("_max")).alias("hi"),
-                F.when(holds, F.col(f"_below{i}")).otherwise(F.lit(0)).alias("below"),
-            )
-        )
-    targets = counted.select(*keys, F.explode(F.array(*brackets)).alias("t")).select(*keys, "t.*")
-
-    inside = (
-        values.alias("v")
-        .join(
-            targets.alias("t"),
-            same_keys("v", "t", keys) & F.col("v._v").between(F.col("t.lo"), F.col("t.hi")),
-        )
-        .groupBy(*[F.col(f"v.{k}").alias(k) for k in keys], "t.q", "t.position", "t.below", "v._v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    upto = F.col("below") + F.sum("_c").over(
-        W.partitionBy(*keys, "q").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    ranked = inside.withColumn("_upto", upto)
-    lower, upper = F.floor("position"), F.ceil("position")
-    holds_lower = (F.col("_upto") - F.col("_c") <= lower) & (lower < F.col("_upto"))
-    holds_upper = (F.col("_upto") - F.col("_c") <= upper) & (upper < F.col("_upto"))
+def _quantiles(
+    df: DataFrame, summary: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
+) -> DataFrame:
+    values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    bracketed = summary.select(*keys, "_n", "_brackets")
+    joined = values.alias("v").join(bracketed.alias("s"), same_keys("v", "s", keys))
+    own = [F.col(f"v.{k}").alias(k) for k in keys]
+    sides = []
+    for i, name in enumerate(probs):
+        lo, hi = F.col("_brackets")[i]["lo"], F.col("_brackets")[i]["hi"]
+        inside = F.when(F.col("_v") >= lo, F.col("_v"))
+        sides.append(F.when(F.col("_v") <= hi, F.struct(F.lit(name).alias("q"), inside.alias("v"))))
+    seen = joined.select(*own, "_n", F.explode(F.filter(F.array(*sides), lambda x: x.isNotNull())).alias("e"))
+    counts = seen.groupBy(*keys, "_n", "e.q", "e.v").agg(F.count(F.lit(1)).alias("_c"))
+
+    # What is below the bracket has no value and stands first.
+    along = W.partitionBy(*keys, "q").orderBy(F.col("v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.withColumn("_upto", F.sum("_c").over(along))
+    position = F.element_at(F.create_map(*[x for n, p in probs.items() for x in (F.lit(n), F.lit(float(p)))]), F.col("q")) * (F.col("_n") - 1)
+    ranked = ranked.withColumn("_p", position)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto")), F.col("v")))
+
     found = ranked.groupBy(*keys, "q").agg(
-        F.max(F.when(holds_lower, F.col("_v"))).alias("_lo"),
-        F.max(F.when(holds_upper, F.col("_v"))).alias("_hi"),
-        F.max("position").alias("_p"),
+        at(F.floor("_p")).alias("_lo"), at(F.ceil("_p")).alias("_hi"), F.max("_p").alias("_p")
     )
+    missed = F.raise_error(F.lit("a quantile is outside of its bracket")).cast("double")
     quantile = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_p") - F.floor("_p"))
-    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == n, quantile)).alias(n) for n in names])
+    found = found.withColumn("_q", F.when(F.col("_lo").isNull() | F.col("_hi").isNull(), missed).otherwise(quantile))
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == n, F.col("_q"))).alias(n) for n in probs])
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Exact quantiles of groups with a value; every step is combined before its shuffle."""
+    return _quantiles(df, _summaries(df, keys, value, probs, [], accuracy), keys, value, probs)
 
 
 def aggregate_with_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], others: Sequence[Column]
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], others: Sequence[Column],
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """``others`` plus exact quantiles of ``value`` per group."""
-    base, exact = df.groupBy(*keys).agg(*others), exact_quantiles(df, keys, value, probs)
+    summary = _summaries(df, keys, value, probs, others, accuracy)
+    base, exact = summary.drop("_n", "_brackets"), _quantiles(df, summary, keys, value, probs)
     joined = base.alias("b").join(exact.alias("e"), same_keys("b", "e", keys), "left")
     return joined.select("b.*", *[F.col(f"e.{n}").alias(n) for n in probs])

@@ -34,24 +34,23 @@ def detect_changes(source: DataFrame, history: DataFrame, key: str, tracked: Seq
     return hashed.join(current, F.col(f"s.{key}") == F.col(f"c.{key}"), "left").select("s.*", label.alias("change"))
 
 
-def scd2_build(
-    versions: DataFrame, key: str, tracked: Sequence[str], ts: str, unit: str = "day"
-) -> DataFrame:
+def scd2_build(versions: DataFrame, key: str, tracked: Sequence[str], ts: str, spread: bool = False) -> DataFrame:
     """History from a batch of versions.
 
     Consecutive versions with equal tracked values collapse into one; each version
-    ends where the next one starts, the last one is open.  Versions are spread over
-    chunks of one ``unit``, compared by their columns and, at the same time, ordered by them.
+    ends where the next one starts, the last one is open.  Versions are compared by
+    their columns and, at the same time, ordered by them; both steps share one shuffle.
+    Loads bring a key once each, so its versions are few; ``spread`` is for feeds of single
+    changes, where one key may have much of the rows, and cuts such keys into chunks.
     """
     hashed = versions.withColumn("row_hash", row_hash(tracked)).dropDuplicates([key, ts, *tracked])
-    chunks, order = seq.by_time(ts, unit), [ts, "row_hash", *tracked]
     before = {"_prev_at": ts, **{f"_prev_{c}": c for c in tracked}}
-    steps = seq.with_neighbours(hashed, [key], order, chunks, lag=before)
     unchanged = F.col("_prev_at").isNotNull()
     for c in tracked:
         unchanged = unchanged & F.col(c).eqNullSafe(F.col(f"_prev_{c}"))
-    starts = steps.filter(~unchanged).drop(*before).withColumn("valid_from", F.col(ts))
-    closed = seq.with_neighbours(starts, [key], order, chunks, lead={"_next_from": "valid_from"})
+    chunks = seq.by_time(ts) if spread else None
+    steps = seq.Ordered.of(hashed, [key], [ts, "row_hash", *tracked], chunks).neighbours(before, {})
+    closed = steps.where(~unchanged).neighbours({}, {"_next_from": ts}).frame().withColumn("valid_from", F.col(ts))
     return closed.select(
         surrogate_key(key, "row_hash", "valid_from").alias("version_sk"),
         key,
@@ -71,16 +70,16 @@ def scd2_merge(history: DataFrame, source: DataFrame, key: str, tracked: Sequenc
     occurs twice fails the query, so the full join pairs one row with one row.
     """
     at = F.lit(effective).cast("timestamp_ntz")
-    past = history.filter(~F.col("is_current"))
-    current = history.filter("is_current").alias("c")
     incoming = require_unique(source.select(key, *tracked), [key]).withColumn("row_hash", row_hash(tracked)).alias("s")
-    pairs = current.join(incoming, F.col(f"c.{key}") == F.col(f"s.{key}"), "full")
-    has_old, has_new = F.col(f"c.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
+    # Closed versions meet nothing and pass through the same join.
+    meets = (F.col(f"c.{key}") == F.col(f"s.{key}")) & F.col("c._current")
+    pairs = history.withColumn("_current", F.col("is_current")).alias("c").join(incoming, meets, "full")
+    has_old, has_new = F.col("c._current").isNotNull(), F.col(f"s.{key}").isNotNull()
     changed = has_old & has_new & ~_same("c", "s", tracked)
 
     old = F.struct(
         *[F.col(f"c.{c}").alias(c) for c in history.columns if c not in ("is_current", "valid_to")],
-        (~changed).alias("is_current"),
+        (F.col("c._current") & ~changed).alias("is_current"),
         F.when(changed, at).otherwise(F.col("c.valid_to")).alias("valid_to"),
     )
     new = F.struct(
@@ -99,8 +98,7 @@ def scd2_merge(history: DataFrame, source: DataFrame, key: str, tracked: Sequenc
     rows = F.filter(
         F.array(F.when(has_old, old), F.when(changed | ~has_old, new)), lambda r: r.isNotNull()
     )
-    merged = pairs.select(F.explode(rows).alias("r")).select("r.*")
-    return past.unionByName(merged).select(*history.columns)
+    return pairs.select(F.explode(rows).alias("r")).select("r.*").select(*history.columns)
 
 
 def dim_vendor(history: DataFrame, current_only: bool = True) -> DataFrame:

@@ -16,7 +16,8 @@ from tierworks.plans.base import VENDOR_TRACKED
 from tierworks.plans.oracle import key, row_hash, rounds, sql, stable
 from tierworks.plans.registry import query, rounded
 from tierworks.schemas import MATERIALS, ORDERS
-from tierworks.sources import ingest, staging
+from tierworks.session import work_dir
+from tierworks.sources import ingest, sinks, staging
 
 _T = "TIMESTAMP"
 
@@ -272,6 +273,16 @@ def scd2_merge(spark: SparkSession, d: str) -> DataFrame:
     return base.vendor_history2(spark, d)
 
 
+@query("chg_06_merge_partitions", sql("SELECT * FROM history2", "history2"))
+def merge_stored_history(spark: SparkSession, d: str) -> DataFrame:
+    """The second load merged into the stored history, of which only partitions with changes are touched."""
+    path, history = work_dir(spark, "history"), base.vendor_history(spark, d)
+    sinks.publish_history(history, path, "vendor_number")
+    source = base.staged_vendors(spark, d, 2).select("vendor_number", *VENDOR_TRACKED)
+    sinks.merge_history(source, path, "vendor_number", VENDOR_TRACKED, b.V2_TIME)
+    return spark.read.parquet(path).select(*history.columns)
+
+
 @query("chg_07_scd2_build", sql(f"""SELECT {key('vendor_number', 'row_hash', 'valid_from')} AS version_sk, vendor_number,
  vendor_name, country, payment_terms, row_hash, next_from IS NULL AS is_current, valid_from,
  coalesce(next_from, {_T} '9999-12-31 00:00:00') AS valid_to FROM (

@@ -224,13 +224,26 @@ _HOURLY = """SELECT sensor_id, date_trunc('hour', reading_timestamp) AS window_s
  count(*) AS n_readings FROM readings GROUP BY 1, 2, 3"""
 
 
+def _halves(spark: SparkSession, d: str):
+    events = b.table(spark, d, "events")
+    early = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    return events.filter(early), events.filter(~early)
+
+
+def _landed(spark: SparkSession, parts, out: str) -> DataFrame:
+    """The parts as files of a landing folder, streamed one file a batch in the order given."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{out}/landing")
+    return streams.file_stream(spark, f"{out}/landing", TABLES["events"], files_per_batch=1)
+
+
 @query("str_03_hourly_complete", sql(_HOURLY, "readings"))
 def hourly_complete(spark: SparkSession, d: str) -> DataFrame:
-    """The whole result after every batch; windows the watermark has closed leave the state."""
+    """The whole result after every batch; the older half of the readings comes last and is not lost."""
     out = work_dir(spark, "hourly")
-    windows = streams.hourly_stream(_stream(spark, d), "reading_timestamp", "2 hours")
-    keys = ["sensor_id", "window_start", "window_end"]
-    return rounded(runs.run_update(windows, f"{out}/table", f"{out}/checkpoint", keys, WINDOW_DAY), ["avg_reading"])
+    early, late = _halves(spark, d)
+    windows = streams.hourly_stream(b.readings_of(_landed(spark, [late, early], out)), "reading_timestamp")
+    return rounded(runs.run_complete(windows, f"{out}/table", f"{out}/checkpoint"), ["avg_reading"])
 
 
 @query("str_04_hourly_append", sql(f"""SELECT * FROM ({_HOURLY}) WHERE window_end <=
@@ -251,12 +264,6 @@ def hourly_update(spark: SparkSession, d: str) -> DataFrame:
     return rounded(runs.run_update(windows, f"{out}/table", f"{out}/checkpoint", keys, WINDOW_DAY), ["avg_reading"])
 
 
-def _halves(spark: SparkSession, d: str):
-    events = b.table(spark, d, "events")
-    early = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    return events.filter(early), events.filter(~early)
-
-
 @query("str_06_restart", "SELECT event_id, value FROM events")
 def restart(spark: SparkSession, d: str) -> DataFrame:
     """A second run from the same checkpoint loads only the file which came in between."""
@@ -348,6 +355,41 @@ def stream_alerts(spark: SparkSession, d: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{out}/table"), _WINDOW_STATS)
 
 
+_TREND_STATS = ["avg_reading", "stddev_reading", "min_reading", "max_reading", "prev_stddev", "prev_max"]
+
+
+@query("str_13_alarm_trends", sql(f"""SELECT sensor_id, CAST(kpi_date AS TIMESTAMP) AS window_start, total_readings AS n_readings,
+ stability_level, signal_quality, has_outlier, range_violated, volatility_trend, spike_status, alert_severity, {rounds(_TREND_STATS)}
+ FROM alerts WHERE CAST(kpi_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(reading_timestamp)) - INTERVAL 1 DAY
+ FROM silver WHERE quality_flag IN ('PASS', 'WARN') AND is_valid)""", "alerts"))
+def alarm_trends(spark: SparkSession, d: str) -> DataFrame:
+    """Alert classes with trend and spike on the stream: five files, in which readings come up to twelve hours out of order."""
+    out = work_dir(spark, "trends")
+    hours = F.timestamp_diff("HOUR", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")) + F.pmod("event_id", F.lit(12))
+    events = b.table(spark, d, "events").withColumn("_part", F.floor(hours / 168))
+    parts = [events.where(F.col("_part") <= 0), *(events.where(F.col("_part") == k) for k in (1, 2, 3)), events.where(F.col("_part") > 3)]
+    stream = b.readings_of(_landed(spark, [p.drop("_part") for p in parts], out))
+    good = streams.flag_stream(stream, b.TEST_BAND).where(F.col("quality_flag").isin("PASS", "WARN") & F.col("is_valid"))
+    alerts = streams.alarm_stream(good, "reading_timestamp", watermark="1 day")
+    runs.run_append(alerts, f"{out}/table", f"{out}/checkpoint", keyed_state=True)
+    found = spark.read.parquet(f"{out}/table").drop("window_end", "prev_avg")
+    return rounded(found, _TREND_STATS)
+
+
+@query("str_11_batch_metrics", sql("""SELECT CAST(half AS BIGINT) AS batch_id, expectation, action, violations, n - CASE WHEN action = 'drop' THEN violations ELSE 0 END AS rows_kept
+ FROM (SELECT half, e.expectation, e.action, count(*) AS n, count(*) FILTER (WHERE CASE e.expectation WHEN 'in_band'
+  THEN reading_value IS NULL OR reading_value NOT BETWEEN 1 AND 150 ELSE reading_value IS NULL END) AS violations
+  FROM (SELECT *, CASE WHEN reading_timestamp < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END AS half FROM readings),
+  (VALUES ('in_band', 'warn'), ('has_value', 'drop')) AS e(expectation, action) GROUP BY ALL)""", "readings"))
+def batch_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The counts of each batch, kept as rows."""
+    out = work_dir(spark, "metrics")
+    readings = b.readings_of(_landed(spark, _halves(spark, d), out)).select("sensor_id", "reading_timestamp", "reading_value")
+    rules = {"in_band": ("warn", "reading_value BETWEEN 1 AND 150"), "has_value": ("drop", "reading_value IS NOT NULL")}
+    runs.run_checked(readings, f"{out}/table", f"{out}/metrics", f"{out}/checkpoint", rules)
+    return spark.read.parquet(f"{out}/metrics").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
 @query("join_09_stream_static", sql("""SELECT sensor_id, reading_timestamp, equipment_name, equipment_type, location FROM readings
  LEFT JOIN equipment USING (equipment_name)""", "readings", "equipment"))
 def stream_static(spark: SparkSession, d: str) -> DataFrame:

@@ -75,28 +75,43 @@ def date_spine(df: DataFrame, ts: str) -> DataFrame:
 
 
 LEDGER = "path string, load_no int"
+GROUP_FILES = 1000
 
 
-def copy_into(spark: SparkSession, src: str, dst: str, schema: T.StructType, glob: str = "*.parquet") -> int:
+def copy_into(spark: SparkSession, src: str, dst: str, schema: T.StructType, glob: str = "*.parquet", group_files: int = GROUP_FILES) -> int:
     """Load files not loaded before and return how many there were.
 
     A ledger in ``dst/_ledger`` holds the names of loaded files.  Each load is
     its own ``_load=N`` folder, numbered from the ledger: a load that stopped half
     way is not in the ledger, and the next attempt overwrites its folder.
+
+    Names stay in tables: tasks write those of the new files to a manifest, dealt out into groups of about
+    ``group_files``; one group after the other is read, and the ledger is filled from the manifest.
     """
     ledger = ensure_table(spark, f"{dst}/_ledger", LEDGER)
     last = ledger.agg(F.max("load_no")).first()[0]
     load_no = 0 if last is None else last + 1
-    files = list_files(spark, src, glob).select("path").join(ledger.select("path"), "path", "left_anti")
-    # Only file names, as in any directory listing.
-    paths = [row.path for row in files.toLocalIterator()]
-    if not paths:
+    manifest = f"{dst}/_manifest/load-{load_no}"
+    new = list_files(spark, src, glob).select("path").join(ledger.select("path"), "path", "left_anti")
+    new.write.mode("overwrite").parquet(f"{manifest}/new")
+    listed = spark.read.schema("path string").parquet(f"{manifest}/new")
+    n = listed.count()
+    if not n:
         return 0
-    rows = spark.read.schema(schema).parquet(*paths).withColumn("_source_file", F.col("_metadata.file_path"))
-    rows.write.mode("overwrite").parquet(f"{dst}/_load={load_no}")
-    entries = spark.createDataFrame([(p, load_no) for p in paths], LEDGER)
+    groups = -(-n // group_files)
+    dealt = listed.withColumn("group", F.pmod(F.xxhash64("path"), F.lit(groups)))
+    dealt.write.mode("overwrite").partitionBy("group").parquet(f"{manifest}/groups")
+    out, mode = f"{dst}/_load={load_no}", "overwrite"
+    stored = spark.read.schema("path string, group bigint").parquet(f"{manifest}/groups")
+    for group in range(groups):
+        paths = [row.path for row in stored.where(F.col("group") == group).select("path").collect()]
+        if paths:
+            rows = spark.read.schema(schema).parquet(*paths).withColumn("_source_file", F.col("_metadata.file_path"))
+            rows.write.mode(mode).parquet(out)
+            mode = "append"
+    entries = stored.select("path", F.lit(load_no).alias("load_no"))
     entries.coalesce(1).write.mode("append").parquet(f"{dst}/_ledger")
-    return len(paths)
+    return n
 
 
 def read_loaded(spark: SparkSession, dst: str) -> DataFrame:

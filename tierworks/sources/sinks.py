@@ -8,8 +8,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tierworks.operators.sequences import first_rows
+from tierworks.operators.scd import detect_changes, scd2_merge
+from tierworks.operators.sequences import every_fine, first_rows, place_among, quantile_edges
 from tierworks.sources.files import list_files
 
 
@@ -38,13 +40,18 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def interleaved_key(df: DataFrame, columns: Sequence[str], bits: int = 10) -> Column:
-    """Morton key of numeric columns: their scaled bits interleaved, so rows close in all columns get close keys."""
-    ends = df.agg(F.struct(*(F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c) for c in columns)))
-    bounds, parts = ends.scalar(), []  # one pass for all columns
+    """Morton key of numeric or time columns: the bits of their ranks interleaved, so rows close in all columns get close keys.
+
+    A rank is the place among the column's own quantiles, so cells hold equally many rows whatever the
+    distribution; one extreme value changes nothing.  NULLs come first.
+    """
+    found = df.agg(*[quantile_edges(c, 1 << bits).cast("array<string>").alias(c) for c in columns]).first()
+    cells = []  # one pass for all columns; 2^bits numbers of each reach the driver
     for c in columns:
-        lo, hi = bounds[c]["lo"], bounds[c]["hi"]
-        share = (F.col(c).cast("double") - lo) / F.nullif(hi - lo, F.lit(0.0))
-        parts.append(F.floor(F.coalesce(share, F.lit(0.0)) * ((1 << bits) - 1)).cast("bigint"))
+        kind = T.ArrayType(df.schema[c].dataType)
+        edges = F.split(F.lit("|".join(found[c] or [])), "[|]").cast(kind) if found[c] else F.array().cast(kind)
+        cells.append(place_among(F.col(c), edges, every_fine(edges)))
+    parts = [F.coalesce(cell, F.lit(0)).cast("bigint") for cell in cells]
     key = F.lit(0).cast("bigint")
     for bit in range(bits):
         for j, cell in enumerate(parts):
@@ -136,6 +143,38 @@ def merge_partitions(
     overwrite_partitions(spark.read.schema(merged.schema).parquet(staged), path, [column])
 
 
+HISTORY_PART = "key_part"
+
+
+def publish_history(history: DataFrame, path: str, key: str, parts: int = 64) -> None:
+    """Write a history laid out by a hash of its key, as ``merge_history`` needs it."""
+    publish(history.withColumn(HISTORY_PART, F.pmod(F.xxhash64(key), F.lit(parts))), path, partition_by=[HISTORY_PART], spread=1)
+
+
+def merge_history(
+    source: DataFrame, path: str, key: str, tracked: Sequence[str], effective: str, parts: int = 64
+) -> None:
+    """``scd2_merge`` into a stored history, of which only partitions with new or changed keys are read and replaced.
+
+    Rows that change nothing touch no file.  The merged partitions are staged beside the table and then replace the old
+    ones; a repeated merge finds nothing new.
+    """
+    spark = source.sparkSession
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    table = spark.read.parquet(path)
+    if HISTORY_PART not in table.columns:
+        raise ValueError(f"{path} is not partitioned by {HISTORY_PART}")
+    labelled = detect_changes(source, table, key, tracked).where(F.col("change") != "Unchanged")
+    staged = f"{path}_staged-{uuid.uuid4().hex}"
+    publish(labelled.drop("change", "row_hash"), f"{staged}/changes")
+    changes = spark.read.schema(source.schema).parquet(f"{staged}/changes")
+    touched = changes.select(part.alias(HISTORY_PART)).distinct()
+    old = table.join(F.broadcast(touched), HISTORY_PART, "left_semi").drop(HISTORY_PART)  # at most ``parts`` rows
+    merged = scd2_merge(old, changes, key, tracked, effective).withColumn(HISTORY_PART, part)
+    publish(merged, f"{staged}/merged")
+    overwrite_partitions(spark.read.schema(merged.schema).parquet(f"{staged}/merged"), path, [HISTORY_PART])
+
+
 def append_checked(df: DataFrame, path: str, predicate: str) -> None:
     """Append a batch only if every row satisfies the constraint; otherwise nothing is written.
 

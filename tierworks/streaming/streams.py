@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from tierworks.functions import flags
-from tierworks.operators.spc import limit_columns, signal_quality, stability_level, variation
+from tierworks.operators.spc import (
+    alert_severity, has_outlier, limit_columns, range_violated, signal_quality, spike_status, stability_level, variation,
+    volatility_trend,
+)
 from tierworks.schemas import AlertLimits, Band
 
 EVENT_TIME = "event_time"
@@ -92,6 +96,58 @@ def stream_alerts(stream: DataFrame, ts: str, limits: AlertLimits = AlertLimits(
     )
 
 
+class PreviousWindow(StatefulProcessor):
+    """Per sensor: each closed window with the figures of the one closed before it, which are all that is kept."""
+
+    FIGURES = ("avg_reading", "stddev_reading", "max_reading")
+
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last", "avg_reading double, stddev_reading double, max_reading double")
+
+    def handleInputRows(self, key, rows, timer_values):
+        before = self.last.get() or (None, None, None)
+        for row in sorted(rows, key=lambda r: r.window_start):
+            yield Row(**row.asDict(), prev_avg=before[0], prev_stddev=before[1], prev_max=before[2])
+            before = tuple(row[c] for c in self.FIGURES)
+        self.last.update(before)
+
+    def close(self) -> None:
+        pass
+
+
+_CLOSED = (
+    "sensor_id string, window_start timestamp_ntz, window_end timestamp_ntz, avg_reading double, stddev_reading double, "
+    "min_reading double, max_reading double, n_readings bigint"
+)
+
+
+def alarm_stream(
+    stream: DataFrame, ts: str, limits: AlertLimits = AlertLimits(), width: str = "1 day", watermark: str = "2 hours"
+) -> DataFrame:
+    """The alert classes of ``spc.sensor_alerts`` for every window the watermark has closed, trend and spike included.
+
+    Windows are aggregated by Spark; the state behind them sees one row per sensor and closed window and keeps the last
+    one. Windows of a sensor close in order of time, also when their readings came out of order. Start it with
+    ``runs.run_append(..., keyed_state=True)``.
+    """
+    timed = with_event_time(stream, ts, watermark)
+    stats = timed.groupBy("sensor_id", F.window(EVENT_TIME, width)).agg(
+        F.avg("reading_value").alias("avg_reading"), F.stddev("reading_value").alias("stddev_reading"),
+        F.min("reading_value").alias("min_reading"), F.max("reading_value").alias("max_reading"),
+        F.count(F.lit(1)).alias("n_readings"),
+    )
+    closed = _window_bounds(stats).select(*T.StructType.fromDDL(_CLOSED).names)
+    with_previous = closed.groupBy("sensor_id").transformWithState(
+        PreviousWindow(), f"{_CLOSED}, prev_avg double, prev_stddev double, prev_max double", "Append", "None"
+    )
+    lim = limit_columns(limits)
+    return with_previous.withColumns({
+        "stability_level": stability_level(lim), "signal_quality": signal_quality(lim), "has_outlier": has_outlier(lim),
+        "range_violated": range_violated(lim), "volatility_trend": volatility_trend(lim),
+        "spike_status": spike_status(lim), "alert_severity": alert_severity(lim),
+    })
+
+
 def enrich_stream(stream: DataFrame, static: DataFrame, on: str) -> DataFrame:
     """Stream joined to a static table on one key; unknown keys are kept."""
     return stream.join(static, on, "left")
