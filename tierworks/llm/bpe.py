@@ -26,12 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
 
 from tierworks.llm.common import WORD_BPE, tokenizer_json
 
 LEAF = 16
 CACHE_ENTRIES = 1_000_000
+#: Byte-level symbols: bytes that print stand for themselves, the others for the characters from 256 on, in order.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_SYMBOLS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"([{_LETTERS}]+)([!-/:-@\[-`{{-~]*)").fullmatch
 
@@ -88,7 +90,6 @@ class Encoder:
         self.separate = bool(self.suffix)
         self.leaf = leaf if tree else 1 << 62
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.bytes_only = ByteLevel(add_prefix_space=False, use_regex=False)
         self.normalizer, self.splitter = self.library.normalizer, self.library.pre_tokenizer
         lead = "" if self.separate else self._symbols(" ")
         self.marks: dict[str, bytes] = _Marks(self)
@@ -117,7 +118,9 @@ class Encoder:
 
     def _symbols(self, text: str) -> str:
         """The byte symbols of a text that needs no splitting."""
-        return text if text.isascii() and text.isalpha() else "".join(p for p, _ in self.bytes_only.pre_tokenize_str(text))
+        if text.isascii() and text.isalpha():
+            return text
+        return text.encode().decode("latin-1").translate(_BYTE_SYMBOLS)
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:

@@ -168,7 +168,9 @@ def read_codes(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFr
                 codes, starts, sizes, names = Codes(payload.as_py()), starts.as_py(), sizes.as_py(), names.values
                 for at in range(0, len(sizes), 256):
                     some = list(zip(starts[at : at + 256], sizes[at : at + 256]))
-                    ids = [codes.get(np.arange(s, s + n)).tobytes() for s, n in some]
+                    low, high = some[0][0], sum(some[-1])
+                    data = codes.get(np.arange(low, high)).tobytes()
+                    ids = [data[4 * (s - low) : 4 * (s - low + n)] for s, n in some]
                     yield pa.RecordBatch.from_arrays(
                         [names.slice(at, len(some)), pa.array([base.as_py() + s for s, _ in some], pa.int64()),
                          pa.array([n for _, n in some], pa.int64()), pa.array(ids, pa.binary()),
