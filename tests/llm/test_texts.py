@@ -261,6 +261,82 @@ def test_siblings_of_the_best_container_stay_by_their_links():
     ]
 
 
+def test_nested_sections_and_sources_stay():
+    assert html_text.main_blocks(
+        "<main><h2>H</h2><div><div><p>A</p></div></div><div><div><p>B</p></div></div></main>") == ["H", "A", "B"]
+    parts = f"<h1>T</h1><div><div><p>{LONG}</p></div></div><div><div><h3>S</h3><p>{LONG}</p></div></div>"
+    assert html_text.main_blocks(f"<body><nav>M</nav>{parts}<footer>F</footer></body>") == ["T", LONG, "S", LONG]
+    sources = '<h3>Sources</h3><ul><li><a href="/x">One source</a></li><li><a href="/y">Two</a></li></ul>'
+    assert html_text.main_blocks(f"<body><article><p>{LONG}</p>{sources}</article></body>") == [LONG, "Sources", "One source", "Two"]
+
+
+@pytest.mark.parametrize("box", ['<ol class="commentlist"><li>%s</li></ol>', '<div class="sidebar"><p>%s</p></div>',
+                                 '<div class="cookie-consent"><p>%s</p></div>', "<nav>%s</nav>", "<aside><p>%s</p></aside>"])
+@pytest.mark.parametrize("home", ["<p>%s</p>", '<div class="text"><p>%s</p></div>', '<div class="post"><div><p>%s</p></div></div>'])
+def test_boxes_longer_than_the_text_go(box, home):
+    text = LONG * 2
+    assert html_text.main_blocks(f"<body>{home % text}{box % (text * 4)}</body>") == [text]
+    assert html_text.main_blocks(f"<body>{box % (text * 4)}{home % text}{box % text}</body>") == [text]
+
+
+def random_page(draw):
+    """A page whose main blocks are known, as it is put together from them and from furniture."""
+    number = iter(range(1000))
+    kept = []
+
+    def prose(mark):
+        text = f"{mark}{next(number)} " + " ".join(draw.choice(["some", "words,", "of", "text."]) for _ in range(draw.randint(12, 60)))
+        return text
+
+    def block():
+        text = prose("k")
+        kept.append(text)
+        tag = draw.choice(["p", "p", "p", "h2", "blockquote", "li"])
+        return f"<ul><li>{text}</li></ul>" if tag == "li" else f"<{tag}>{text}</{tag}>"
+
+    def furniture():
+        text = prose("f") if draw.random() < 0.5 else "f short"
+        return draw.choice([
+            "<nav>%s</nav>", "<aside>%s</aside>", '<div class="sidebar">%s</div>', '<div class="ad">%s</div>', "<form>%s</form>",
+            '<ul class="commentlist"><li>%s</li></ul>', "<script>%s</script>", '<div role="banner">%s</div>', "<!-- %s -->",
+            '<div id="comments"><p>%s</p></div>', '<div class="cookie-notice">%s</div>', '<p hidden>%s</p>',
+        ]) % text
+
+    def section(depth):
+        parts = []
+        for _ in range(draw.randint(1, 3)):
+            parts.append(section(depth - 1) if depth and draw.random() < 0.5 else block())
+            if draw.random() < 0.3:
+                parts.append(furniture())
+        tag = draw.choice(["div", "section", 'div class="inner"'])
+        return f"<{tag}>{''.join(parts)}</{tag.split()[0]}>"
+
+    home = draw.choice(["article", "main", 'article class="post"', "div"])
+    body = "".join(section(3) for _ in range(draw.randint(1, 4)))
+    around = ["".join(furniture() for _ in range(draw.randint(0, 3))) for _ in range(2)]
+    page = f"<html><head><title>t</title></head><body>{around[0]}<{home}>{body}</{home.split()[0]}>{around[1]}</body></html>"
+    return page, kept
+
+
+@pytest.mark.parametrize("seed", range(200))
+def test_main_text_equals_what_the_page_was_made_of(seed):
+    page, kept = random_page(random.Random(seed))
+    assert html_text.main_blocks(page) == kept
+
+
+def test_many_articles_and_boxes_take_linear_time():
+    import time
+
+    def took(n):
+        page = "<body>" + "<article><p>t</p></article><div class=sidebar>x</div>" * n + "</body>"
+        began = time.process_time()
+        html_text.main_blocks(page)
+        return time.process_time() - began
+
+    took(100)
+    assert took(8000) < 12 * max(took(1000), 0.05)
+
+
 @pytest.mark.parametrize("cut", range(0, len(PAGE), 37))
 def test_cut_off_pages_do_not_fail(cut):
     html_text.main_blocks(PAGE[:cut])

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -137,14 +138,50 @@ def test_plan_is_complete_and_tight(lengths):
     assert ranks == lengths
     assert all(sum(n for _, n in held) <= 60 for held in bins.values())
     assert all(sum(1 for _, n in held if 3 * n > 60) <= 2 for held in bins.values())
-    large = sum(n for k, n in lengths.items() if 3 * k > 60)
-    least = max(-(-sum(k * n for k, n in lengths.items()) // 60), -(-large // 2), sum(n for k, n in lengths.items() if 2 * k > 60))
-    assert len(bins) <= least * 11 / 9 + 1
+
+
+def fewest(pieces, capacity):
+    """The least number of sequences, by trying every place for every piece."""
+    best = len(pieces)
+
+    def put(k, gaps):
+        nonlocal best
+        if len(gaps) >= best:
+            return
+        if k == len(pieces):
+            best = len(gaps)
+            return
+        for g in sorted(set(gaps)):
+            if g >= pieces[k]:
+                at = gaps.index(g)
+                put(k + 1, [*gaps[:at], g - pieces[k], *gaps[at + 1 :]])
+        put(k + 1, [*gaps, capacity - pieces[k]])
+
+    pieces = sorted(pieces, reverse=True)
+    put(0, [])
+    return best
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 60), max_size=9))
+def test_plan_is_near_the_optimum(pieces):
+    bins, _ = bins_of(packing.plan(dict(Counter(pieces)), 60))
+    assert len(bins) <= fewest(pieces, 60) * 11 / 9 + 1
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(21, 60), max_size=9))
+def test_large_pieces_take_the_fewest_sequences(pieces):
+    bins, _ = bins_of(packing.plan(dict(Counter(pieces)), 60))
+    assert len(bins) == fewest(pieces, 60)
 
 
 def test_large_pieces_are_matched_in_fewest_sequences():
-    bins, _ = bins_of(packing.plan({40: 2, 35: 1, 25: 2, 20 + 1: 1, 22: 3}, 60))
-    assert len(bins) == 5  # nine large pieces, at most two each
+    lengths = {40: 2, 35: 1, 25: 2, 20 + 1: 1, 22: 3}
+    bins, _ = bins_of(packing.plan(lengths, 60))
+    assert len(bins) == fewest([n for n, c in lengths.items() for _ in range(c)], 60) == 6
+    bins, _ = bins_of(packing.plan({16: 19, 45: 9}, 60))
+    assert len(bins) == 16  # a 45 and a 16 do not fit together, and three 16 at most do
 
 
 def test_plan_refuses_impossible_lengths():

@@ -3,9 +3,10 @@
 A page becomes a light tree of its block elements. Elements that are never main text (scripts, menus, forms, footers,
 side bars, adverts, notices, comments; by tag, role, or a whole class or id) are cut out, unless they wrap an article or
 most of the text. Every text block then passes points for its
-length and its commas to its container, half of them to the next and shares to those above. A container's points are
-discounted by the share of its text that lies in links. The best container is kept whole, with all of its siblings but
-those that are mostly links.
+length and its commas to its container, half of them to the next and shares to the four above. A container's points are
+discounted by the share of its text that lies in links. From the best container the main text is taken in whole: the
+article or main around it, else the lowest node with four fifths of the page's unlinked text, with all of its siblings
+but those that are mostly links. Lists of links inside an article stay.
 
 Behaviour: null or empty html, or a page without text, gives an empty text; broken markup (unclosed or stray tags,
 pages cut off anywhere) is read as browsers do, roughly; repeated rows and null ids pass through row by row; an empty
@@ -14,9 +15,12 @@ table gives an empty one; of extra columns only those asked for are kept.
 
 from __future__ import annotations
 
+import bisect
+import math
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -125,47 +129,76 @@ def _furniture(tag: str, attrs: str) -> int:
 
 
 def _prune(root: _Node, kind: int) -> None:
-    """Cuts furniture of a kind out of a whole tree.
+    """Cuts furniture of a kind out of a whole tree, in time linear in its nodes.
 
-    An element that holds an article or main, or most of the page's unlinked text, is a wrapper whatever its name, and
-    stays; what is in it is looked at by itself. Only a box goes all the same if the page has a longer article or main
-    outside of it (teasers, comments), or, for one without any, running text of an article. Weak names go nowhere if most
-    of the text would go with them.
+    An element that holds an article or main is a wrapper whatever its name, and stays, unless it is a box (teasers,
+    comments) and a longer article or main lies outside of it. Of boxes without one all go while running text is left
+    outside of every box; where none is, the longest is taken for a wrapper. Weak names stay on elements with most of the
+    page's unlinked text, and go nowhere if most of the text would go with them; forms and headers if no running text would be
+    left. What is in a wrapper is looked at by itself.
     """
     order = _in_order(root)
     at = {n: k for k, n in enumerate(order)}
-    end, plain = {}, {}  # the place behind the nodes below, and their unlinked text
+    end, plain, inside = {}, {}, {}  # the place behind the nodes below, their unlinked text, the longest article among them
     for node in reversed(order):
         below = [x for x in node.items if isinstance(x, _Node)]
         end[node] = max((end[x] for x in below), default=at[node] + 1)
         plain[node] = sum(plain[x] for x in below) + sum(max(len(x[0]) - x[1], 0) for x in node.items if isinstance(x, tuple))
-    articles = [n for n in order if n.tag in ("article", "main") and plain[n] and not n.cut]
-
-    def wrapper(node: _Node) -> bool:
-        inside, outside = 0, 0
-        for n in articles:
-            if at[node] < at[n] < end[node]:
-                inside = max(inside, plain[n])
-            else:
-                outside = max(outside, plain[n] - (plain[node] if at[n] < at[node] < end[n] else 0))
-        if inside:
-            return kind == WEAK or inside >= outside
-        return 2 * plain[node] > plain[root] and (kind == WEAK or outside < RUNNING)
-
-    gone, stack = set(), [root]
+        inside[node] = max((max(inside[x], plain[x] if _is_article(x) else 0) for x in below), default=0)
+    articles = [n for n in order if _is_article(n) and plain[n]]
+    ends, starts = sorted((end[n], plain[n]) for n in articles), [(at[n], plain[n]) for n in articles]
+    before, behind = list(accumulate((p for _, p in ends), max)), list(accumulate((p for _, p in reversed(starts)), max))[::-1]
+    around: dict[_Node, int] = {root: 0}  # the longest article above
+    for node in order:
+        own = max(around[node], plain[node] if _is_article(node) else 0)
+        for x in node.items:
+            if isinstance(x, _Node):
+                around[x] = own
+
+    def outside(node: _Node) -> int:
+        """The longest article that is not below a node; of those above, what is not in the node."""
+        k = bisect.bisect_right(ends, (at[node], math.inf))
+        j = bisect.bisect_left(starts, (end[node], 0))
+        return max(before[k - 1] if k else 0, behind[j] if j < len(behind) else 0, around[node] - plain[node])
+
+    def wrapper(node: _Node, last: _Node | None) -> bool:
+        if inside[node]:
+            return kind == WEAK or inside[node] >= outside(node)
+        if kind == BOX:
+            return node is last
+        return 2 * plain[node] > plain[root] and (node.tag not in WEAK_TAGS or plain[root] - plain[node] < RUNNING)
+
+    gone, stack = set(), [(root, None)]
     while stack:
-        for x in stack.pop().items:
+        node, last = stack.pop()
+        if kind == BOX and (node is root or node.cut == kind):  # the boxes that are not in another one
+            boxes, free, some = [], plain[node], [node]
+            while some:
+                for x in some.pop().items:
+                    if isinstance(x, _Node):
+                        (boxes if x.cut == kind and plain[x] else some).append(x)
+            free -= sum(plain[x] for x in boxes)
+            last = max(boxes, key=plain.get) if boxes and free < RUNNING else None
+        for x in node.items:
             if isinstance(x, _Node):
-                if x.cut == kind and not (plain[x] and wrapper(x)):
+                if x.cut == kind and not (plain[x] and wrapper(x, last)):
                     gone.add(x)
                 else:
-                    stack.append(x)
-    if kind == WEAK and 2 * sum(plain[x] for x in gone) > plain[root]:
-        return
+                    stack.append((x, last))
+    if kind == WEAK:
+        named = {x for x in gone if x.tag not in WEAK_TAGS}
+        if 2 * sum(plain[x] for x in named) > plain[root]:
+            gone -= named
+        if plain[root] - sum(plain[x] for x in gone) < min(RUNNING, plain[root]):
+            return
     for node in {x.parent for x in gone}:
         node.items = [x for x in node.items if x not in gone]
 
 
+def _is_article(node: _Node) -> bool:
+    return node.tag in ("article", "main") and not node.cut
+
+
 def parse(html: str, furniture: bool = False) -> _Node:
     """The tree of block elements; items that are tuples are blocks: text, characters in links.
 
@@ -337,17 +370,46 @@ def _links(node: _Node) -> bool:
 
 
 def _blocks(node: _Node) -> list[str]:
-    """Texts below a node in page order, without lists of links."""
-    found, stack = [], [node]
+    """Texts below a node in page order; lists of links go, but for those that an article has of its own."""
+    found, stack = [], [(node, _within(node, "article"))]
     while stack:
-        item = stack.pop()
+        item, own = stack.pop()
         if isinstance(item, tuple):
             found.append(item[0])
-        elif item is node or not _links(item):
-            stack.extend(reversed(item.items))
+        elif item is node or own or not _links(item):
+            own = own or item.tag == "article"
+            stack.extend((x, own) for x in reversed(item.items))
     return found
 
 
+def _within(node: _Node | None, tag: str) -> bool:
+    while node is not None and node.tag != tag:
+        node = node.parent
+    return node is not None
+
+
+def _plain(node: _Node) -> int:
+    return node.length - node.linked
+
+
+def _container(best: _Node, root: _Node) -> _Node:
+    """From the best scored node up to all of the article around it.
+
+    That is the article or main it stands in (an outer one, if the inner has less than half of its unlinked text), or the
+    lowest node that holds four fifths of the page's unlinked text.
+    """
+    home, up = None, best
+    while up is not None:
+        if up.tag in ("article", "main") and (home is None or 2 * _plain(home) < _plain(up)):
+            home = up
+        up = up.parent
+    if home is not None:
+        return home
+    while best.parent is not None and 5 * _plain(best) < 4 * _plain(root):
+        best = best.parent
+    return best
+
+
 def main_blocks(html: str | None) -> list[str]:
     """The text blocks of the page's main text."""
     if not html:
@@ -356,10 +418,7 @@ def main_blocks(html: str | None) -> list[str]:
     able = [n for n in nodes if n.points > 0 and n.tag not in _CONTAINED]
     if not able:
         return []
-    value = lambda n: n.points * (1 - _density(n))
-    best = max(able, key=value)
-    while best.parent is not None and best.parent.tag == "article" and best.tag != "article":
-        best = best.parent
+    best = _container(max(able, key=lambda n: n.points * (1 - _density(n))), nodes[0])
     if best.parent is None or best.tag in ("article", "main", "body"):
         return _blocks(best)
     items = best.parent.items
