@@ -133,7 +133,7 @@ def _prune(root: _Node, kind: int) -> None:
 
     An element that holds an article or main is a wrapper whatever its name, and stays, unless it is a box (teasers,
     comments) and a longer article or main lies outside of it. Of boxes without one all go while running text is left
-    outside of every box; where none is, the longest is taken for a wrapper. Weak names stay on elements with most of the
+    outside of every box; where none is, nor an article, the longest that is a box by name only is taken for a wrapper. Weak names stay on elements with most of the
     page's unlinked text, and go nowhere if most of the text would go with them; forms and headers if no running text would be
     left. What is in a wrapper is looked at by itself.
     """
@@ -165,7 +165,7 @@ def _prune(root: _Node, kind: int) -> None:
         if inside[node]:
             return kind == WEAK or inside[node] >= outside(node)
         if kind == BOX:
-            return node is last
+            return node is last and not outside(node)
         return 2 * plain[node] > plain[root] and (node.tag not in WEAK_TAGS or plain[root] - plain[node] < RUNNING)
 
     gone, stack = set(), [(root, None)]
@@ -178,7 +178,8 @@ def _prune(root: _Node, kind: int) -> None:
                     if isinstance(x, _Node):
                         (boxes if x.cut == kind and plain[x] else some).append(x)
             free -= sum(plain[x] for x in boxes)
-            last = max(boxes, key=plain.get) if boxes and free < RUNNING else None
+            named = [x for x in boxes if x.tag not in DROPPED]
+            last = max(named, key=plain.get) if named and free < RUNNING else None
         for x in node.items:
             if isinstance(x, _Node):
                 if x.cut == kind and not (plain[x] and wrapper(x, last)):
