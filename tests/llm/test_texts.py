@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tierworks.llm import html_text, license_scan, line_dedup, quality_cascade, warc
+from tierworks.llm import html_text, license_scan, line_dedup, quality_cascade, queries, warc
 from tierworks.session import work_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -92,10 +92,30 @@ def test_license_scan_equals_every_line_against_every_template(spark):
     pool = sorted({w for _, x in license_scan.TEMPLATES for w in license_scan.template_words(x)})
     made = [" ".join(draw.choice(pool) for _ in range(draw.randint(1, 60))) for _ in range(60)]
     texts = LICENSED + made + [f"{a}\n{b}" for a, b in zip(made, reversed(made))]
-    rows = license_scan.scan(table(spark, texts)).collect()
+    rows = license_scan.scan(table(spark, texts), windows=False).collect()
     got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) for r in rows}
     assert got == {i: plain_scan(t) for i, t in enumerate(texts)}
     assert [r.blocks for r in rows if r.doc_id == 4] == [[0]]
+    spread = {r.doc_id: set(filter(None, r.labels.split(","))) for r in license_scan.scan(table(spark, texts)).collect()}
+    assert spread == {i: plain_windows(t) | set(filter(None, plain_scan(t)[4].split(","))) for i, t in enumerate(texts)}
+
+
+def test_registered_license_scan_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    draw = random.Random(8)
+    pool = sorted({w for _, x in license_scan.TEMPLATES for w in license_scan.template_words(x)})
+    wrapped = [re.sub(" (?=(?:\\S+ \\S+)*$)", "\n", w) for _, w in license_scan.TEMPLATES]
+    texts = LICENSED + wrapped + [" ".join(draw.choice([*pool, "x", "y\n"]) for _ in range(60)) + " " + draw.choice(wrapped) for _ in range(40)]
+    table(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op3_license_scan(spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    wanted = duck.execute(queries.ORACLE_SQL["op3_license_scan"])
+    names = [c[0] for c in wanted.description]
+    assert sorted(found.columns) == sorted(names)
+    rows = lambda all_rows: sorted(tuple(r) for r in all_rows)
+    assert [repr(r) for r in rows(found.select(names).collect())] == [repr(r) for r in rows(wanted.fetchall())]
 
 
 def plain_windows(text):

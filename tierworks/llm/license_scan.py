@@ -1,9 +1,9 @@
 """License scan by an exact set-similarity join of text blocks and templates.
 
-A block is a line, or with ``windows`` a stretch of words wherever lines end; a template is the set of words of a usual
-notice. Windows are a fourth longer than the template they are held against and start so often that any stretch as long as
-the template lies in one: notices broken over several lines are found, words scattered over a long line are not. A block matches a template if it holds at least
-``percent`` per cent of the template's words. The tokens of all templates are put in one global order, rarest in all
+A block is a stretch of words wherever lines end (or a line, without ``windows``); a template is the set of words of a
+usual notice. Windows are a fourth longer than the template they are held against and start so often that any stretch as long as
+the template lies in one: notices broken over several lines are found, words scattered over a long line are not. A block matches a
+template if it holds at least ``percent`` per cent of the template's words. The tokens of all templates are put in one global order, rarest in all
 blocks first. A matching block must hold one of a template's first ``size - need + 1`` tokens (prefix filter), needs at
 least ``need`` template tokens at all (length filter), and behind the places of the first shared token both sides must
 have enough tokens left (positional filter). Pairs that pass are counted exactly, so no match is lost.
@@ -66,6 +66,10 @@ def template_words(text: str) -> list[str]:
     return sorted(set(re.findall(f"[^{APART}]+", text.lower())))
 
 
+def template_length(text: str) -> int:
+    return len(re.findall(f"[^{APART}]+", text.lower()))
+
+
 def _any_of(phrases) -> str:
     """A pattern for one of the phrases, in any case, as whole words."""
     inside = "|".join(f"[{APART_RAW}]+".join(map(re.escape, p.split())) for p in phrases)
@@ -153,10 +157,10 @@ def _windows_with(docs: DataFrame, shapes: dict[int, tuple[list[str], int]], hav
 
 def matches(
     docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
-    windows: bool = False,
+    windows: bool = True,
 ) -> DataFrame:
-    """All blocks and templates that match: ``doc``, ``tie``, ``block`` (number of the line, or with ``windows`` of the
-    window's first word), ``label``, ``containment``."""
+    """All blocks and templates that match: ``doc``, ``tie``, ``block`` (number of the window's first word, or of
+    the line), ``label``, ``containment``."""
     spark: SparkSession = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"))
@@ -170,7 +174,7 @@ def matches(
     for number, (label, ws) in enumerate(sets):
         ranks = sorted(order[w] for w in ws)
         need = -(-percent * len(ranks) // 100)
-        length = len(re.findall(f"[^{APART}]+", templates[number][1].lower())) if windows else 0
+        length = template_length(templates[number][1]) if windows else 0
         for place, rank in enumerate(ranks[: len(ranks) - need + 1]):
             prefixes.append((rank, place, number, label, need, ranks, length))
         held, least = shapes.get(length, ([], need))
@@ -199,11 +203,11 @@ def matches(
 
 def scan(
     docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES, percent: int = PERCENT,
-    id_col: str = "doc_id", text_col: str = "text", windows: bool = False,
+    id_col: str = "doc_id", text_col: str = "text", windows: bool = True,
 ) -> DataFrame:
     """Per row: id, ``n_words``, the places of names (``n_base``, ``first_word``, ``last_word``, ``base_labels``),
-    ``labels``, ``score`` (1 with a name, else the best containment, else 0) and ``blocks`` (matching lines, or first words of
-    matching ``windows``)."""
+    ``labels``, ``score`` (1 with a name, else the best containment, else 0) and ``blocks`` (first words of matching
+    windows, or matching lines)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     hits = matches(docs, templates, percent, id_col, text_col, windows).groupBy("doc", "tie").agg(
         F.collect_set("label").alias("_labels"), F.max("containment").alias("_best"), F.collect_set("block").alias("_blocks")

@@ -212,22 +212,22 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """Every line against every template, and every word against every phrase."""
+    """Every window against every template, and every word against every phrase."""
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     phrases = ", ".join(
         f"({k}, '{label}', {quoted(p.split())})" for k, (p, label) in enumerate(license_scan.PHRASES.items())
     )
     templates = ", ".join(
-        f"({k}, '{label}', {quoted(license_scan.template_words(wording))})"
-        for k, (label, wording) in enumerate(license_scan.TEMPLATES)
+        f"({k}, '{label}', {quoted(license_scan.template_words(wording))}, {n + license_scan.slack(n)}, {license_scan.slack(n)})"
+        for k, (label, wording) in enumerate(license_scan.TEMPLATES) for n in [license_scan.template_length(wording)]
     )
     lower = f"translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}')"
     return f"""
 with d as (select row_number() over () as row, doc_id, {lower} as text from documents),
 w as (select row, doc_id, text, regexp_extract_all(text, '{word}') as words from d),
 phrase(no, label, parts) as (values {phrases}),
-template(no, label, parts) as (values {templates}),
+template(no, label, parts, width, step) as (values {templates}),
 e as (select row, words, unnest(range(1, len(words) + 1)) as i from w),
 p as (
     select e.row, i - 1 as place, label
@@ -238,10 +238,10 @@ b as (
         array_to_string(list_sort(list(distinct label)), ',') as base_labels, list(distinct label) as found
     from p group by row
 ),
-l as (select row, list_distinct(regexp_extract_all(unnest(string_split(text, chr(10))), '{word}')) as held from w),
 m as (
-    select row, label, len(list_intersect(held, parts)) / len(parts) as containment
-    from l join template on 100 * len(list_intersect(held, parts)) >= {license_scan.PERCENT} * len(parts)
+    select row, label, len(list_intersect(words[i:i + width - 1], parts)) / len(parts) as containment
+    from e join template on (i - 1) % step = 0
+    where 100 * len(list_intersect(words[i:i + width - 1], parts)) >= {license_scan.PERCENT} * len(parts)
 ),
 t as (select row, list(distinct label) as more, max(containment) as best from m group by row)
 select doc_id, len(words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word,
