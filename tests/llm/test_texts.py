@@ -411,3 +411,106 @@ def test_warc_cut_off_and_with_a_member_per_record():
     assert [len(b) for _, b in warc.parse_warc(data[:-9])] in ([5], [5, 7])
     assert [len(b) for _, b in warc.parse_warc((record(5) + record(7))[:-8])] == [5]
     assert list(warc.parse_warc(b"")) == []
+
+
+def response(body, *headers, name="WARC-Type"):
+    block = b"\r\n".join([b"HTTP/1.1 200 OK", *(h.encode() for h in headers)]) + b"\r\n\r\n" + body
+    return {name: "response", "warc-record-id": "<urn:uuid:1>", "WARC-Target-URI": "http://h.example/a/b", "warc-date": "2024"}, block
+
+
+def derived(*record):
+    return {own["WARC-Type"]: (own, body.decode()) for own, body in warc._derived(*record)}
+
+
+PAGE_BYTES = b'<html lang="en"><title>A &amp; b</title><!-- <a href="/no"> --><p>Text <a data-href="/no" href="/yes">l</a><a href=c>m</a></p></html>'
+
+
+@pytest.mark.parametrize("coding", ["gzip", "deflate", "zstd", "chunked", "gzip chunked", ""])
+def test_encoded_payloads_are_read(coding):
+    import gzip
+    import zlib
+
+    import zstandard
+
+    body, headers = PAGE_BYTES, ["Content-Type: text/html; charset=utf-8"]
+    if coding.startswith(("gzip", "deflate", "zstd")):
+        kind = coding.split()[0]
+        body = {"gzip": gzip.compress, "deflate": zlib.compress, "zstd": zstandard.compress}[kind](body)
+        headers.append(f"Content-Encoding: {kind}")
+    if "chunked" in coding:
+        body = b"".join(b"%x;x=y\r\n%s\r\n" % (len(body[i : i + 50]), body[i : i + 50]) for i in range(0, len(body), 50)) + b"0\r\n\r\n"
+        headers.append("Transfer-Encoding: chunked")
+    found = derived(*response(body, *headers))
+    assert found["conversion"][1] == "Text lm"
+    about = found["metadata"][1].split("\r\n")
+    assert [x for x in about if x.startswith(("title", "language", "outlink"))] == [
+        "title: A & b", "language: en", "outlink: http://h.example/yes", "outlink: http://h.example/a/c"]
+    assert found["conversion"][0]["WARC-Refers-To"] == "<urn:uuid:1>" and found["conversion"][0]["WARC-Refers-To-Date"] == "2024"
+
+
+def test_responses_without_text_have_metadata_only():
+    for headers in (["Content-Type: image/png"], ["Content-Type: text/html", "Content-Encoding: unheard"]):
+        found = derived(*response(b"\x89PNG\r\n", *headers))
+        assert set(found) == {"metadata"} and "WARC-Concurrent-To" not in found["metadata"][0]
+    assert derived(*response(b"a < b\n<p>", "Content-Type: text/plain"))["conversion"][1] == "a < b\n<p>"
+
+
+def test_header_names_count_in_any_case(spark):
+    rows = [response(b"<p>x</p>", name=n) for n in ("warc-type", "WARC-TYPE", "Warc-Type")] + [({"WARC-Type": "warcinfo"}, b"")]
+    records = spark.createDataFrame(rows, warc.RECORD)
+    assert warc.derive(records).count() == 6
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a href='", "<title>", "<title ", "<html ", "<a href=x ", "<!--", "<svg>", "&"])
+def test_odd_pages_take_linear_time(piece):
+    import time
+
+    def took(n):
+        record = response(("<p>x" + piece * n).encode(), "Content-Type: text/html")
+        began = time.process_time()
+        derived(*record)
+        return time.process_time() - began
+
+    took(100)
+    assert took(40_000) < 16 * max(took(5_000), 0.05)
+
+
+def test_metadata_equals_a_plain_recount(spark):
+    """Fields and links as another parser finds them."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.links, self.lang, self.title, self.inside = [], None, "", False
+
+        def handle_starttag(self, tag, attrs):
+            held = dict(reversed(attrs))
+            if tag == "a" and held.get("href"):
+                self.links.append(held["href"])
+            self.lang = held.get("lang") if tag == "html" else self.lang
+            self.inside = tag == "title" or self.inside
+
+        def handle_endtag(self, tag):
+            self.inside = self.inside and tag != "title"
+
+        def handle_data(self, data):
+            self.title += data if self.inside else ""
+
+    draw = random.Random(5)
+    for k in range(60):
+        links = [draw.choice(["/x?a=1&amp;b=2", "y.html", "http://o.example/z", "#f"]) for _ in range(draw.randint(0, 6))]
+        page = f'<html lang="{draw.choice(["en", "de"])}"><head><title>T {k} &lt;</title></head><body>' + "".join(
+            draw.choice(["<p>w <a class=k href='{0}'>l</a></p>", '<div><a href="{0}" title="q > r">l</a>', "<nav><a href={0}>l</a></nav>"]).format(x) for x in links)
+        seen = Plain()
+        seen.feed(page)
+        about = dict.fromkeys(["title", "language"], None)
+        outlinks = []
+        for line in derived(*response(page.encode(), "Content-Type: text/html"))["metadata"][1].split("\r\n"):
+            name, _, value = line.partition(": ")
+            outlinks += [value] if name == "outlink" else []
+            about[name] = value
+        from urllib.parse import urljoin
+
+        assert (about["title"], about["language"]) == (seen.title.strip(), seen.lang)
+        assert outlinks == [urljoin("http://h.example/a/b", x) for x in seen.links]

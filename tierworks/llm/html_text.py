@@ -224,9 +224,11 @@ def _in_order(root: _Node) -> list[_Node]:
     return order
 
 
-def _parsed(html: str, furniture: bool, wrapper: int = -1) -> tuple[_Node, int, int]:
+def _parsed(
+    html: str, furniture: bool, wrapper: int = -1, links: list[str] | None = None
+) -> tuple[_Node, int, int]:
     """The tree with marks of what is furniture; unlinked characters and start of the longest inline element that was left
-    out by its name. The one that starts at ``wrapper`` is kept."""
+    out by its name. The one that starts at ``wrapper`` is kept. ``links`` takes the attributes of all links."""
     root = node = _Node("#root", None, 0)
     texts: list[str] = []
     linked, in_link, breaks, hidden = 0, 0, 0, 0
@@ -279,6 +281,8 @@ def _parsed(html: str, furniture: bool, wrapper: int = -1) -> tuple[_Node, int,
             else:
                 if tag == "a":
                     in_link = 1
+                    if links is not None:
+                        links.append(m["attrs"])
                 if tag not in VOID and not m["attrs"].endswith("/"):
                     if not skip:
                         why = HIDDEN if tag in UNSEEN else _furniture(tag, m["attrs"]) if m["attrs"] and not furniture else 0
@@ -443,11 +447,19 @@ def _akin(item: _Node | tuple, best: _Node) -> bool:
     return item.length > 0 and _density(item) < (0.5 if like else 0.25)
 
 
-def all_blocks(html: str | None) -> list[str]:
-    """All visible text blocks of a page, whatever they are."""
+def attributes(attrs: str) -> dict[str, str]:
+    """Attributes of a start tag by their names in small letters; of equal names the first counts."""
+    return {k.lower(): unescape(v.strip("\"'")) for k, v in reversed(_ATTR.findall(attrs))}
+
+
+def all_blocks(html: str | None, links: list[str] | None = None) -> list[str]:
+    """All visible text blocks of a page, whatever they are; ``links`` takes the addresses that the page links to."""
     if not html:
         return []
-    found, stack = [], [parse(html, furniture=True)]
+    tags = None if links is None else []
+    found, stack = [], [_parsed(html, True, links=tags)[0]]
+    if links is not None:
+        links += [held["href"] for held in map(attributes, tags) if held.get("href")]
     while stack:
         item = stack.pop()
         if isinstance(item, tuple):

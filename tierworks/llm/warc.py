@@ -12,7 +12,8 @@ the two line ends that close a record are its line separator. :func:`read_warc`
 
 Behaviour: null html is an empty payload, a null address leaves its header out; repeated rows give records of their
 own with equal ids; an empty table gives an empty result; extra columns are not read. Line ends in addresses are
-percent-encoded. Records of other types than response have no derivatives; a file cut off in the middle of a record
+percent-encoded. Names of headers count in any case. Chunked and gzip, deflate or zstd bodies are decoded; responses that
+are not text, or in another coding, have a metadata record only. Records of other types than response have no derivatives; a file cut off in the middle of a record
 gives the records before it.
 """
 
@@ -28,18 +29,21 @@ from html import unescape
 from urllib.parse import urljoin
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierworks.llm.html_text import all_blocks
+from tierworks.llm.html_text import all_blocks, attributes
 
 END = "\r\n\r\n"
 RECORD = "headers map<string,string>, block binary"
 SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tierworks:warc")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE = re.compile(r"<title(?=[\s/>])[^<>]*>", re.I)
+_TITLE_END = re.compile(r"</title", re.I)
 _HOST = re.compile(r"https?://[^/?#\s]+", re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_HTML = re.compile(r"<html\s([^<>]*)>", re.I)
+# Media types whose payload is text.
+_TEXT_TYPES = re.compile(r"text/|application/(?:xhtml\+xml|xml|json|javascript)\b", re.I)
 
 
 def responses(
@@ -145,30 +149,92 @@ def _record_batch(rows, kind):
     )
 
 
+def _unchunked(data: bytes) -> bytes:
+    """The chunks of a chunked body, as far as they are whole."""
+    out, at = [], 0
+    while (stop := data.find(b"\r\n", at)) >= 0:
+        size = data[at:stop].partition(b";")[0].strip()
+        try:
+            n = int(size, 16)
+        except ValueError:
+            break
+        if n <= 0:
+            break
+        out.append(data[stop + 2 : stop + 2 + n])
+        at = stop + 4 + n
+    return b"".join(out)
+
+
+def _unpacked(data: bytes, coding: str) -> bytes | None:
+    """A body without its content coding; None for codings that are not known."""
+    if coding in ("", "identity"):
+        return data
+    if coding in ("gzip", "x-gzip"):
+        return _as_far(data)
+    if coding == "deflate":
+        for bits in (15, -15):  # with a header, or bare
+            try:
+                return zlib.decompressobj(bits).decompress(data)
+            except zlib.error:
+                pass
+        return b""
+    if coding == "zstd":
+        try:
+            return zstandard.ZstdDecompressor().stream_reader(data).read()
+        except zstandard.ZstdError:
+            return b""
+    return None
+
+
+def _text_of(http: dict[str, str], payload: bytes) -> str | None:
+    """The text that a response carries, without chunks and content codings; None if it carries none."""
+    kind = http.get("content-type", "")
+    if kind and not _TEXT_TYPES.match(kind):
+        return None
+    if "chunked" in http.get("transfer-encoding", "").lower():
+        payload = _unchunked(payload)
+    for coding in reversed(http.get("content-encoding", "").lower().split(",")):
+        payload = _unpacked(payload, coding.strip())
+        if payload is None:
+            return None
+    charset = re.search(r"charset=\"?([\w-]+)", kind, re.I)
+    try:
+        return payload.decode(charset[1] if charset else "utf-8", "replace")
+    except LookupError:
+        return payload.decode("utf-8", "replace")
+
+
+def _title(html: str) -> str | None:
+    start = _TITLE.search(html)
+    end = start and _TITLE_END.search(html, start.end())
+    return " ".join(unescape(html[start.end() : end.start()]).split()) if end else None
+
+
 def _derived(headers: dict[str, str], block: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """The metadata and the conversion record of one response."""
+    """The metadata and the conversion record of one response; a response without text has no conversion."""
+    held = {k.lower(): v for k, v in headers.items()}
     head, _, payload = block.partition(b"\r\n\r\n")
     status, *lines = head.decode("utf-8", "replace").split("\r\n")
     http = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-    charset = re.search(r"charset=\"?([\w-]+)", http.get("content-type", ""), re.I)
-    try:
-        html = payload.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
-        html = payload.decode("utf-8", "replace")
-    source = headers.get("WARC-Record-ID", "")
-    url = headers.get("WARC-Target-URI", "")
-    digest = headers.get("WARC-Payload-Digest") or "sha1:" + hashlib.sha1(payload).hexdigest()
+    html = _text_of(http, payload)
+    plain = html is not None and http.get("content-type", "").lower().startswith("text/plain")
+    source, url, date = (held.get(k, "") for k in ("warc-record-id", "warc-target-uri", "warc-date"))
+    digest = held.get("warc-payload-digest") or "sha1:" + hashlib.sha1(payload).hexdigest()
     name = {k: f"<urn:uuid:{uuid.uuid5(SPACE, f'{k} {source}')}>" for k in ("metadata", "conversion")}
-    title, lang = _TITLE.search(html), _LANG.search(html)
     fields = [("source-record", source), ("source-payload-digest", digest), ("http-status", status)]
     fields += [(f"http-{k}", v) for k, v in http.items()]
-    if title:
-        fields.append(("title", " ".join(unescape(title[1]).split())))
-    if lang:
-        fields.append(("language", lang[1]))
+    links: list[str] = []
+    blocks = [html or ""] if plain or html is None else all_blocks(html, links)
+    if html and not plain:
+        title, tag = _title(html), _HTML.search(html)
+        if title is not None:
+            fields.append(("title", title))
+        lang = attributes(tag[1]).get("lang") if tag else None
+        if lang:
+            fields.append(("language", lang))
     host = _HOST.match(url)
-    for found in _LINK.findall(html):
-        link = " ".join(unescape(next((x for x in found if x), "")).split())
+    for found in links:
+        link = " ".join(found.split())
         if host and link[:1] == "/" and link[1:2] != "/" and "/." not in link:
             fields.append(("outlink", host[0] + link))
             continue
@@ -176,24 +242,27 @@ def _derived(headers: dict[str, str], block: bytes) -> Iterator[tuple[dict[str,
             fields.append(("outlink", urljoin(url, link)))
         except ValueError:
             fields.append(("outlink", link))
-    text = "\n".join(all_blocks(html)).encode("utf-8", "replace")
+    text = "\n".join(blocks).encode("utf-8", "replace")
     about = "".join(f"{k}: {v}\r\n" for k, v in fields).encode("utf-8", "replace")
     for kind, content, body in (
         ("metadata", "application/warc-fields", about), ("conversion", "text/plain; charset=utf-8", text),
     ):
+        if kind == "conversion" and html is None:
+            continue
         own = {"WARC-Type": kind, "WARC-Record-ID": name[kind], "WARC-Refers-To": source}
-        for k, v in (("WARC-Target-URI", url), ("WARC-Date", headers.get("WARC-Date", ""))):
+        for k, v in (("WARC-Target-URI", url), ("WARC-Date", date)):
             if v:
                 own[k] = v
         if url:
             own["WARC-Refers-To-Target-URI"] = url
-        if "WARC-Date" in headers:
-            own["WARC-Refers-To-Date"] = headers["WARC-Date"]
-        own["WARC-Concurrent-To"] = name["conversion" if kind == "metadata" else "metadata"]
+        if date:
+            own["WARC-Refers-To-Date"] = date
+        if html is not None:
+            own["WARC-Concurrent-To"] = name["conversion" if kind == "metadata" else "metadata"]
         own["X-Source-Payload-Digest"] = digest
         own["X-Source-Content-Type"] = http.get("content-type", "")
-        if "X-Source-Row" in headers:
-            own["X-Source-Row"] = headers["X-Source-Row"]
+        if "x-source-row" in held:
+            own["X-Source-Row"] = held["x-source-row"]
         own["WARC-Block-Digest"] = "sha1:" + hashlib.sha1(body).hexdigest()
         own |= {"Content-Type": content, "Content-Length": str(len(body))}
         yield own, body
@@ -214,5 +283,6 @@ def derive(records: DataFrame) -> DataFrame:
                 ]
                 yield _record_batch(rows, kind)
 
-    wanted = records.where("headers is not null and block is not null and headers['WARC-Type'] = 'response'")
+    response = "exists(map_entries(headers), e -> lower(e.key) = 'warc-type' and lower(e.value) = 'response')"
+    wanted = records.where(f"headers is not null and block is not null and {response}")
     return wanted.select("headers", "block").mapInArrow(run, RECORD)
