@@ -60,6 +60,18 @@ def test_rules_are_ordered_by_rejections_per_cost(spark):
     assert set(order) == set(quality_cascade.RULES) and order[0].name != "repeated_lines"
 
 
+def test_of_equal_rejections_the_cheap_rule_comes_first(spark):
+    docs = table(spark, [" ".join(f"w{k % 40}" for k in range(200))] * 60).select("doc_id", "text")
+    dear = quality_cascade.Rule("dear", "n_repeat_words > 1", ("n_repeat_words",))
+    cheap = quality_cascade.Rule("cheap", "n_marks < 1", ("n_marks",))
+    features = quality_cascade.measured(docs)
+    for _ in range(10):
+        assert [r.name for r in quality_cascade.estimate_order(docs, (dear, cheap))] == ["cheap", "dear"]
+    # as a column, the dear feature costs nothing, so both orders may come out, but each rule is timed as it will run
+    names = quality_cascade.estimate_order(features, (dear, quality_cascade.BASE[0]), known=("n_words", "n_repeat_words"))
+    assert {r.name for r in names} == {"dear", "few_words"} and names[0].name == "dear"  # few_words rejects none
+
+
 LICENSED = [None, "", "MIT License", "mit  license and the Apache-License: mit license mit license", "Released under the MIT License.",
             "This work is licensed under the GNU General Public License, version 3.", "licensed\nunder CC BY", "Licensed under CC BY-NC 4.0.",
             "cc bye", "MIT Licenſe", "smit license", "é mit license", "Released under the MIT\nLicense", "mit license", "mit license",

@@ -6,7 +6,8 @@ of rejection per cost inside one CASE expression, which stops at the first rule
 rejected row is said to have failed first and how long it takes, never which rows are kept.
 
 The sample is the first ``sample_rows`` rows that Spark reads whose text has at most ``SAMPLE_CHARS`` characters; it
-serves to estimate costs only. Rules with equal estimates keep the order in which they are given.
+serves to estimate costs only. A rule over columns that exist already costs next to nothing, so costs are taken as they
+are in the cascade. Rules with equal estimates keep the order in which they are given.
 
 Behaviour: null text is one without words, which fails; empty tables give empty results; repeated rows, ties and null
 ids are judged row by row; all columns of the input are kept, whatever their names.
@@ -15,12 +16,14 @@ ids are judged row by row; all columns of the input are kept, whatever their nam
 from __future__ import annotations
 
 import time
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS, SAMPLE_CHARS = 256, 65536
+LEAST_SECONDS, MOST_COPIES = 0.03, 4096  # a rule is timed until it takes so long, or on so many copies of the sample
 SPACE = "[\\x20\\x09-\\x0D]"
 WINDOW = 5
 
@@ -93,6 +96,9 @@ FEATURES = {
     "n_marks": lambda t: F.regexp_count(t, F.lit("!")).cast("bigint"),
 }
 
+#: Features of one pass over the text, which may be computed before they are needed.
+CHEAP = frozenset(["n_words", "word_chars", "n_symbols", "n_capitals", "n_marks"])
+
 BASE = (
     Rule("few_words", "n_words < 10", ("n_words",)),
     Rule("repeated_words", "100 * n_repeat_words > 20 * n_words", ("n_repeat_words", "n_words")),
@@ -123,21 +129,44 @@ def _over(sql: str, columns: dict[str, Column]) -> Column:
     return eval(f"({python})", {"__builtins__": {}}, dict(columns))  # noqa: S307 - rules are part of the program
 
 
-def estimate_order(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """``rules`` by rejections per second on the sample, best first."""
+def estimate_order(
+    docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
+    known: tuple[str, ...] = (),
+) -> list[Rule]:
+    """``rules`` by rejections per second on the sample, best first.
+
+    A rule costs what it costs in the cascade: ``known`` features are columns already, and so they are in the sample.
+    The sample is repeated within a job until the rule shows against the job itself, which is timed with a constant rule.
+    """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(text.alias("text")).where(F.length("text") <= SAMPLE_CHARS).limit(sample_rows).collect()
+    small = docs.select(text.alias("text"), *known).where(F.length("text") <= SAMPLE_CHARS).limit(sample_rows)
+    rows = small.collect()
     if not rows:
         return list(rules)
-    sample = spark.createDataFrame(rows, "text string").coalesce(1)
-    rates = []
-    for rule in rules:
-        count = sample.agg(F.count_if(_condition(rule, F.col("text"), {})).alias("n"))
+    sample = spark.createDataFrame(rows, small.schema).coalesce(1)
+    have = {n: F.col(n) for n in known}
+
+    def seconds(condition: Column, copies: int) -> tuple[float, int]:
+        many = sample.select("*", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("_copy"))
+        count = many.agg(F.count_if(condition & (F.col("_copy") > 0)).alias("n"))
         rejected = count.first()["n"]  # compiles
         start = time.perf_counter()
         count.first()
-        rates.append(rejected / max(time.perf_counter() - start, 1e-6))
+        return time.perf_counter() - start, rejected
+
+    idle: dict[int, float] = {}
+    rates = []
+    for rule in rules:
+        condition, copies = _condition(rule, F.col("text"), have), 1
+        while True:
+            if copies not in idle:
+                idle[copies] = min(seconds(F.lit(False), copies)[0] for _ in range(2))
+            took, rejected = seconds(condition, copies)
+            if took >= idle[copies] + LEAST_SECONDS or copies >= MOST_COPIES:
+                break
+            copies *= 16
+        rates.append(rejected / max(took - idle[copies], 1e-6))  # both grow with the copies
     return [r for _, r in sorted(zip(rates, rules), key=lambda x: -x[0])]
 
 
@@ -145,14 +174,27 @@ def cascade(
     docs: DataFrame, rules: tuple[Rule, ...] = BASE + RULES, text_col: str = "text", known: tuple[str, ...] = (),
     output: str = "failed_rule", ordered: bool = True,
 ) -> DataFrame:
-    """``docs`` with the first rule that rejects each row (null: kept). ``known``: features that are columns already."""
+    """``docs`` with the first rule that rejects each row (null: kept). ``known``: features that are columns already.
+
+    Features that several rules need are computed once, before the first rule.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     have = {n: F.col(n) for n in known}
-    verdict = None
-    for rule in estimate_order(docs, rules, text_col) if ordered else rules:
-        holds = _condition(rule, text, have)
-        verdict = F.when(holds, rule.name) if verdict is None else verdict.when(holds, rule.name)
-    return docs.withColumn(output, verdict)
+    order = estimate_order(docs, rules, text_col, known=known) if ordered else rules
+    uses = Counter(n for rule in rules for n in rule.needs if n not in have)
+    shared = [n for n, k in uses.items() if k > 1 and n in CHEAP]
+
+    def verdict(given: dict[str, Column]) -> Column:
+        out = None
+        for rule in order:
+            holds = _condition(rule, text, given)
+            out = F.when(holds, rule.name) if out is None else out.when(holds, rule.name)
+        return F.lit(None).cast("string") if out is None else out
+
+    if not shared:
+        return docs.withColumn(output, verdict(have))
+    once = F.struct(*(FEATURES[n](text).alias(n) for n in shared))
+    return docs.withColumn(output, _let(once, lambda v: verdict(have | {n: v[n] for n in shared})))
 
 
 def kept(docs: DataFrame, rules: tuple[Rule, ...] = BASE + RULES, text_col: str = "text") -> DataFrame:

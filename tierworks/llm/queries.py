@@ -48,8 +48,9 @@ def op8_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    order = quality_cascade.estimate_order(docs, quality_cascade.RULES)
-    judged = quality_cascade.cascade(quality_cascade.measured(docs), tuple(order), known=base, ordered=False)
+    features = quality_cascade.measured(docs)
+    order = quality_cascade.estimate_order(features, quality_cascade.RULES, known=base)
+    judged = quality_cascade.cascade(features, tuple(order), known=base, ordered=False)
     failed = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
     return judged.select("doc_id", *base, failed.alias("base_failed"), (~failed & F.col("failed_rule").isNull()).alias("kept"))
 
