@@ -109,3 +109,16 @@ def test_first_rows_limits_before_the_shuffle(spark, capsys):
     plan = capsys.readouterr().out
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert sorted(r.v for r in out.collect()) == [94, 95, 96, 97, 98, 99]
+
+
+def test_chunks_have_one_depth_whatever_the_density(spark):
+    """Bursts and an extreme value: chunks of about the same size, and a hundredth of the rows as borders at most."""
+    far = F.when(F.col("id") == 7, 10**12).otherwise(F.when(F.col("id") % 3 == 0, F.col("id") * 86400).otherwise(F.col("id")))
+    df = spark.range(30_000).select(F.when(F.col("id") % 10 == 0, "few").otherwise("hot").alias("k"), far.alias("at"))
+    rows = seq.Ordered.of(df, ["k"], ["at"], seq.by_value("at", rows=1000)).rows
+    sizes = rows.where("_busy").groupBy("k", "_chunk").count().collect()
+    assert 25 <= len(sizes) <= 60 and max(r["count"] for r in sizes) <= 2000
+    assert len(sizes) * 100 <= 30_000
+    assert rows.where("not _busy").isEmpty()
+    plain = seq.Ordered.of(df, ["k"], ["at"], seq.by_value("at")).rows
+    assert plain.where("_busy").isEmpty()
