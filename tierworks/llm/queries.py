@@ -239,10 +239,15 @@ b as (
         array_to_string(list_sort(list(distinct label)), ',') as base_labels, list(distinct label) as found
     from p group by row
 ),
+-- only documents that hold enough of a template's words anywhere can hold them in one window
+c as (
+    select row, words, label, parts, width, step
+    from w join template on 100 * len(list_intersect(list_distinct(words), parts)) >= {license_scan.PERCENT} * len(parts)
+),
+x as (select *, unnest(range(1, len(words) + 1, step)) as i from c),
 m as (
     select row, label, len(list_intersect(words[i:i + width - 1], parts)) / len(parts) as containment
-    from e join template on (i - 1) % step = 0
-    where 100 * len(list_intersect(words[i:i + width - 1], parts)) >= {license_scan.PERCENT} * len(parts)
+    from x where 100 * len(list_intersect(words[i:i + width - 1], parts)) >= {license_scan.PERCENT} * len(parts)
 ),
 t as (select row, list(distinct label) as more, max(containment) as best from m group by row)
 select doc_id, len(words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word,
