@@ -21,7 +21,7 @@ def count_where(condition: Column) -> Column:
 KPI_KEYS = ["sensor_id", "sensor_name", "equipment_name", "process_area", "kpi_date"]
 
 
-def _kpi_rows(silver: DataFrame, require_valid: bool) -> DataFrame:
+def kpi_rows(silver: DataFrame, require_valid: bool) -> DataFrame:
     ready = promotable(silver, require_valid).withColumn("kpi_date", F.col("reading_timestamp").cast("date"))
     return ready.select(*KPI_KEYS, "reading_value", "quality_flag")
 
@@ -39,14 +39,14 @@ def _kpi_measures() -> list[Column]:
 
 def daily_sensor_stats(silver: DataFrame, require_valid: bool = True) -> DataFrame:
     """The daily KPIs without median and p95: all that alerts need, in one pass."""
-    stats = _kpi_rows(silver, require_valid).groupBy(*KPI_KEYS).agg(*_kpi_measures())
+    stats = kpi_rows(silver, require_valid).groupBy(*KPI_KEYS).agg(*_kpi_measures())
     return stats.select(surrogate_key("sensor_id", "kpi_date").alias("kpi_sk"), "*")
 
 
 def daily_sensor_kpi(silver: DataFrame, require_valid: bool = True) -> DataFrame:
     """Readings per sensor and day: count, mean, extremes, sample deviation, median, p95, warnings."""
     kpi = aggregate_with_quantiles(
-        _kpi_rows(silver, require_valid), KPI_KEYS, "reading_value",
+        kpi_rows(silver, require_valid), KPI_KEYS, "reading_value",
         {"median_reading": 0.5, "p95_reading": 0.95}, _kpi_measures(),
     )
     return kpi.select(

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 from tierworks import bindings as b
 from tierworks.functions import flags
 from tierworks.functions.business import stable_round
-from tierworks.operators import changes, gold, joins, merge, scd, silver
+from tierworks.operators import changes, gold, joins, merge, scd, silver, summaries
 from tierworks.operators.sequences import first_rows
+from tierworks.operators.skew import same_keys
 from tierworks.plans import base
 from tierworks.plans.base import VENDOR_TRACKED
 from tierworks.plans.oracle import key, row_hash, rounds, sql, stable
@@ -392,6 +393,24 @@ def merge_kpi(spark: SparkSession, d: str) -> DataFrame:
     return rounded(merge.merge_kpi(target, fresh), _KPI_NUMBERS)
 
 
+_SUMMED = ["avg_reading", "min_reading", "max_reading", "stddev_reading"]
+
+
+@query("chg_04_merge_summaries", sql(f"""SELECT kpi_sk, sensor_id, sensor_name, equipment_name, process_area, kpi_date,
+ total_readings, warn_count, total_readings AS sketched, {rounds(_SUMMED)} FROM kpi""", "kpi"))
+def merge_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """Readings before noon stored as summaries, those of the afternoons merged into them; the sketches saw all values."""
+    silver_rows, path = base.silver_readings(spark, d), work_dir(spark, "summaries")
+    morning = F.hour("reading_timestamp") < 12
+    for number, rows in enumerate([silver_rows.filter(morning), silver_rows.filter(~morning)]):
+        summaries.merge_stored_summaries(summaries.kpi_summaries(rows, number), path)
+    stored = spark.read.parquet(path)
+    seen = stored.select(*gold.KPI_KEYS, F.kll_sketch_get_n_double("sketch").alias("sketched"))
+    kpi = summaries.kpi_of_summaries(stored).drop("median_reading", "p95_reading")
+    both = kpi.alias("k").join(seen.alias("s"), same_keys("k", "s", gold.KPI_KEYS)).select("k.*", "s.sketched")
+    return rounded(both, _SUMMED)
+
+
 @query("chg_05_merge_delete", sql(f"""SELECT {_V} FROM vendors2 WHERE payment_terms <> 'NET15'
  UNION ALL SELECT {_V} FROM vendors1 WHERE vendor_number NOT IN (SELECT vendor_number FROM vendors2)""", "vendors1", "vendors2"))
 def merge_delete(spark: SparkSession, d: str) -> DataFrame:
