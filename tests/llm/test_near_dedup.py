@@ -86,6 +86,20 @@ def test_large_group_with_outsiders_that_share_bands(spark):
     assert order(got(result)) == order(brute(texts, 2))
 
 
+def test_cells_of_many_strips_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 100)
+    monkeypatch.setattr(near_dedup, "STRIP_BLOCKS", 2)
+    texts = corpus(8, n=40)
+    sets = near_dedup.shingle_sets(texts, 2)
+    rows = [(7, str(i).encode(), i, [int(x) for x in s.view("<i8")]) for i, s in enumerate(sets)]
+    members = spark.createDataFrame(rows, "cell bigint, same binary, component bigint, shingles array<bigint>")
+    links = near_dedup._cell_links(members, 80)
+    edges = links.selectExpr("cast(cast(a as string) as bigint) as a", "cast(cast(b as string) as bigint) as b")
+    assert edges.count() > 5
+    found = {r.node: r.component for r in near_dedup.components(edges).collect()}
+    assert {i: found.get(i, i) for i in range(len(texts))} == {i: c for i, _, c in brute(texts, 2)}
+
+
 def test_odd_rows(spark):
     long = " ".join(f"long{k % 5000}" for k in range(60000))
     texts = [None, "", "  \n", "one", "ONE", "one two", "one  TWO", "É É", "é é", long, long + " more", "three", None]

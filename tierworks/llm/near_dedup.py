@@ -13,8 +13,9 @@ values, so that no register of a short document stays empty. Four registers are
    similarity. Pairs far below the threshold (six standard deviations) go; all others are confirmed on their full sets.
 4. Components are formed of the confirmed links. Where a bucket still holds several components, hubs were not enough.
    The members of such buckets form cells, connected by the buckets they share; a cell's full sets are laid out in
-   blocks of bounded size, and blocks are compared with each other, exactly and across components only. A pair of
-   blocks gives no more links than it joins components, so no group is ever written out as all its pairs.
+   blocks of bounded size, and blocks are compared with each other, exactly and across components only. Blocks meet
+   in strips of ``STRIP_BLOCKS``, whose pairs are dealt out as keys of their own, so a large cell is many tasks. A pair
+   of blocks gives no more links than it joins components, so no group is ever written out as all its pairs.
 
 So no link between classes that share a band is lost unless it joins what is one component already. Two sets of
 similarity 0.8 share no band of 24 with a probability of 3e-6, and more similar ones with far less.
@@ -40,6 +41,8 @@ from tierworks.llm.common import stored
 REGISTERS, MANTISSA = 96, 10
 HUBS = 4
 BLOCK_SHINGLES, DENSE = 65536, 1 << 22
+#: Blocks of a cell that one task may hold against as many others.
+STRIP_BLOCKS = 32
 #: Share of register collisions of unrelated sets of equal size at no mantissa bits, as published for HyperMinHash.
 COLLISION = 0.169919487159739093975315012348630288992889
 CHUNK_BYTES = 1 << 20
@@ -245,9 +248,18 @@ def _cell_links(members: DataFrame, percent: int) -> DataFrame:
     blocks = dealt.groupBy("cell", "block").agg(
         F.collect_list(F.struct("same", "component", "shingles")).alias("held"),
         F.min("component").alias("low"), F.max("component").alias("high"),
-    )
-    side = lambda x: blocks.select("cell", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "held", "low", "high")))
-    meet = side("a").join(side("b"), "cell").where(
+        F.expr(f"(cast(ceil(max(_all) / {BLOCK_SHINGLES}) as int) - 1) div {STRIP_BLOCKS}").alias("last"),
+    ).withColumn("strip", F.expr(f"block div {STRIP_BLOCKS}"))
+
+    # the pairs of strips of a cell are keys of their own; each strip goes to as many of them as the cell has strips
+    def side(x: str, partners: str, one: str, two: str) -> DataFrame:
+        sent = blocks.withColumn("partner", F.explode(F.expr(partners)))
+        columns = (F.col(c).alias(f"{c}_{x}") for c in ("block", "held", "low", "high"))
+        return sent.select("cell", F.col(one).alias("left"), F.col(two).alias("right"), *columns)
+
+    first = side("a", "sequence(strip, last)", "strip", "partner")
+    second = side("b", "sequence(0, strip)", "partner", "strip")
+    meet = first.join(second, ["cell", "left", "right"]).where(
         "block_a <= block_b and not (low_a = high_a and low_b = high_b and low_a = low_b)"
     )
 
