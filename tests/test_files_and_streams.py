@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierworks.operators import quality, spc
+from tierworks.operators.sequences import quantile_edges
 from tierworks.session import work_dir
 from tierworks.sources import files, ingest, sinks
 from tierworks.streaming import runs, streams
@@ -122,6 +123,30 @@ def test_one_extreme_value_does_not_spoil_the_layout(spark):
     assert quality.same_content(df, spark.read.parquet(out)).isEmpty()
 
 
+def test_ranks_count_the_edges_below(spark):
+    at = F.timestamp_seconds(F.col("id") * 37 % 100).cast("timestamp_ntz")
+    v = F.when(F.col("id") % 9 == 0, float("nan")).when(F.col("id") % 7 != 0, F.col("id") % 50 - 20.5).alias("v")
+    df = spark.range(400).select(v, F.when(F.col("id") % 5 != 0, at).alias("t"), F.lit(None).cast("date").alias("d"))
+    for c in df.columns:
+        edges = df.agg(quantile_edges(c, 8).alias("e")).first().e or []
+        kind = df.schema[c].dataType
+        held = F.array(*[F.lit(e).cast(kind) for e in edges]) if edges else F.array().cast(f"array<{kind.simpleString()}>")
+        keyed = sinks.with_interleaved_key(df, [c], "_z", bits=3)
+        assert keyed.columns == [*df.columns, "_z"]
+        assert keyed.where(F.col("_z") != F.size(F.filter(held, lambda e: e <= F.col(c)))).isEmpty()
+
+
+def test_clustering_compares_each_row_a_few_times(spark):
+    import time
+
+    out = work_dir(spark, "ranks")
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).alias("a"), F.col("id").alias("b"))
+    began = time.time()
+    sinks.publish_clustered(df, out, ["a", "b"], files=4)
+    assert time.time() - began < 40
+    assert quality.same_content(df, spark.read.parquet(out)).isEmpty()
+
+
 def test_clustering_splits_one_frequent_value(spark):
     out = work_dir(spark, "hot")
     df = spark.range(3000).select(F.when(F.col("id") < 2000, 5).otherwise(F.col("id")).alias("k"), "id")

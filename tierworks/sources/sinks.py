@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierworks.operators.scd import detect_changes, scd2_merge
-from tierworks.operators.sequences import every_fine, first_rows, place_among, quantile_edges
+from tierworks.operators.sequences import first_rows, quantile_edges
 from tierworks.sources.files import list_files
 
 
@@ -39,25 +39,30 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
-def interleaved_key(df: DataFrame, columns: Sequence[str], bits: int = 10) -> Column:
-    """Morton key of numeric or time columns: the bits of their ranks interleaved, so rows close in all columns get close keys.
+def with_interleaved_key(df: DataFrame, columns: Sequence[str], out: str, bits: int = 10) -> DataFrame:
+    """Add a Morton key of numeric or time columns: the bits of their ranks interleaved, so rows close in all columns get close keys.
 
     A rank is the place among the column's own quantiles, so cells hold equally many rows whatever the
     distribution; one extreme value changes nothing.  NULLs come first.
     """
     found = df.agg(*[quantile_edges(c, 1 << bits).cast("array<string>").alias(c) for c in columns]).first()
-    cells = []  # one pass for all columns; 2^bits numbers of each reach the driver
+    edges = []  # one pass for all columns; 2^bits numbers of each reach the driver
     for c in columns:
         kind = T.ArrayType(df.schema[c].dataType)
-        edges = F.split(F.lit("|".join(found[c] or [])), "[|]").cast(kind) if found[c] else F.array().cast(kind)
-        cells.append(place_among(F.col(c), edges, every_fine(edges)))
-    parts = [F.coalesce(cell, F.lit(0)).cast("bigint") for cell in cells]
+        edges.append(F.split(F.lit("|".join(found[c])), "[|]").cast(kind) if found[c] else F.array().cast(kind))
+    ranks = [f"_rank{j}" for j in range(len(columns))]
+    rows = df.withColumns({r: F.lit(0) for r in ranks})
+    # The edges are halved bit by bit, each in a step of its own: a row compares each column ``bits`` times.
+    for bit in reversed(range(bits)):
+        step = 1 << bit
+        above = [F.get(e, F.col(r) + (step - 1)) <= F.col(c) for e, r, c in zip(edges, ranks, columns)]
+        rows = rows.withColumns({r: F.col(r) + F.when(up, step).otherwise(0) for r, up in zip(ranks, above)})
     key = F.lit(0).cast("bigint")
     for bit in range(bits):
-        for j, cell in enumerate(parts):
-            one = F.shiftright(cell, bit).bitwiseAND(F.lit(1).cast("bigint"))
-            key = key.bitwiseOR(F.shiftleft(one, bit * len(parts) + j))
-    return key
+        for j, rank in enumerate(ranks):
+            one = F.shiftright(F.col(rank).cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(ranks) + j))
+    return rows.withColumn(out, key).drop(*ranks)
 
 
 def publish_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int) -> None:
@@ -67,7 +72,7 @@ def publish_clustered(df: DataFrame, path: str, columns: Sequence[str], files: i
     value is cut into several files instead of one.
     """
     key = F.col(columns[0]) if len(columns) == 1 else F.col("_z")
-    keyed = df if len(columns) == 1 else df.withColumn("_z", interleaved_key(df, columns))
+    keyed = df if len(columns) == 1 else with_interleaved_key(df, columns, "_z")
     ranged = keyed.repartitionByRange(files, key, F.xxhash64(*df.columns))
     ranged.sortWithinPartitions(key, *columns).select(*df.columns).write.mode("overwrite").parquet(path)
 
