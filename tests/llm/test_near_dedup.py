@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tierworks.llm import near_dedup
 
@@ -100,6 +101,34 @@ def test_cells_of_many_strips_lose_no_link(spark, monkeypatch):
     assert {i: found.get(i, i) for i in range(len(texts))} == {i: c for i, _, c in brute(texts, 2)}
 
 
+def test_classes_that_share_only_a_passage_are_not_compared_on_full_sets(spark, monkeypatch):
+    passage = " ".join(f"shared{k}" for k in range(51))
+    texts = [passage + " " + " ".join(f"own{i}x{k}" for k in range(50)) for i in range(80)]
+    compared, links = [], near_dedup._cell_links
+    monkeypatch.setattr(near_dedup, "_cell_links", lambda members, percent: compared.append(members.count()) or links(members, percent))
+    result = near_dedup.near_duplicates(documents(spark, texts), width=2)
+    assert order(got(result)) == order(brute(texts, 2))
+    assert compared == [0]
+
+
+@pytest.mark.parametrize("block", [8192, 7])
+def test_buckets_without_hubs_lose_no_link(spark, monkeypatch, block):
+    draw = random.Random(6)
+    texts = []
+    for group in range(3):
+        base = [f"g{group}w{k}" for k in range(60 + 30 * group)]
+        for k in range(40):
+            held = list(base)
+            for j in range(draw.choice((0, 1, 2, 4, 6, 12))):
+                held[draw.randrange(len(held))] = f"own{group}x{k}x{j}"
+            texts.append(" ".join(held))
+    hubs = near_dedup._hub_pairs
+    monkeypatch.setattr(near_dedup, "_hub_pairs", lambda members: hubs(members).limit(0))
+    monkeypatch.setattr(near_dedup, "BLOCK_CLASSES", block)
+    result = near_dedup.near_duplicates(documents(spark, texts), width=2)
+    assert order(got(result)) == order(brute(texts, 2))
+
+
 def test_odd_rows(spark):
     long = " ".join(f"long{k % 5000}" for k in range(60000))
     texts = [None, "", "  \n", "one", "ONE", "one two", "one  TWO", "É É", "é é", long, long + " more", "three", None]

@@ -12,13 +12,16 @@ values, so that no register of a short document stays empty. Four registers are
 3. Of each pair, the share of equal registers, less the share that collides by chance at these set sizes, estimates the
    similarity. Pairs far below the threshold (six standard deviations) go; all others are confirmed on their full sets.
 4. Components are formed of the confirmed links. Where a bucket still holds several components, hubs were not enough.
-   The members of such buckets form cells, connected by the buckets they share; a cell's full sets are laid out in
-   blocks of bounded size, and blocks are compared with each other, exactly and across components only. Blocks meet
-   in strips of ``STRIP_BLOCKS``, whose pairs are dealt out as keys of their own, so a large cell is many tasks. A pair
-   of blocks gives no more links than it joins components, so no group is ever written out as all its pairs.
+   There the registers of all members are compared across components, by the rule of step 3, in blocks of
+   ``BLOCK_CLASSES``; a pair of blocks is a key of its own. Components with members that pass form cells; members that
+   share a bucket by a common passage or by chance do not. A cell's full sets are laid out in blocks of bounded size,
+   and blocks are compared with each other, exactly and across components only. Blocks meet in strips of
+   ``STRIP_BLOCKS``, whose pairs are dealt out as keys of their own, so a large cell is many tasks. A pair of blocks
+   gives no more links than it joins components, so no group is ever written out as all its pairs.
 
-So no link between classes that share a band is lost unless it joins what is one component already. Two sets of
-similarity 0.8 share no band of 24 with a probability of 3e-6, and more similar ones with far less.
+So no link between classes that share a band is lost unless it joins what is one component already, or is six standard
+deviations off in its registers. Two sets of similarity 0.8 share no band of 24 with a probability of 3e-6, and have
+too few equal registers with one of 4e-8; more similar ones with far less.
 
 Behaviour: null text, or one without words, has an empty set, is linked with nothing and kept. Rows with a null id are
 linked with nothing, get no component and are kept. Rows that repeat an id are one node of the graph. With fewer words
@@ -41,6 +44,8 @@ from tierworks.llm.common import stored
 REGISTERS, MANTISSA = 96, 10
 HUBS = 4
 BLOCK_SHINGLES, DENSE = 65536, 1 << 22
+#: Classes of a bucket that one task holds against as many others, and pairs of them whose registers it compares at once.
+BLOCK_CLASSES, TILE = 8192, 1 << 18
 #: Blocks of a cell that one task may hold against as many others.
 STRIP_BLOCKS = 32
 #: Share of register collisions of unrelated sets of equal size at no mantissa bits, as published for HyperMinHash.
@@ -235,6 +240,88 @@ def _hub_pairs(members: DataFrame) -> DataFrame:
     )
 
 
+def _compatible(members: DataFrame, threshold: float) -> DataFrame:
+    """Links (``a``, ``b``: components) between classes of a bucket whose sizes and registers allow the threshold.
+
+    A pair of blocks gives a forest of them. ``members``: ``bucket``, ``members`` (their number), ``same``,
+    ``component``, ``n``, ``bands``.
+    """
+    sized = members.withColumn("_blocks", F.expr(f"cast(ceil(members / {BLOCK_CLASSES}) as int)"))
+    dealt = sized.withColumn("block", F.expr("cast(pmod(xxhash64(same), _blocks) as int)"))
+    sent = dealt.withColumn("partner", F.explode(F.expr("sequence(0, _blocks - 1)"))).select(
+        "bucket", F.least("block", "partner").alias("left"), F.greatest("block", "partner").alias("right"),
+        F.struct(F.expr("block <= partner").alias("first"), "component", "n", "bands").alias("_one"),
+    )
+    meet = sent.repartition("bucket", "left", "right").groupBy("bucket", "left", "right").agg(F.collect_list("_one").alias("held"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links = [x for held in batch.column(0) for x in _bucket_links(held.values, threshold)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)] or [pa.array([], pa.int64())] * 2, names=["a", "b"])
+
+    return meet.select("held").mapInArrow(run, "a bigint, b bigint")
+
+
+class _Forest:
+    """Components that are joined one by one; ``root`` has the root of each."""
+
+    def __init__(self, size: int):
+        self.root = np.arange(size)
+
+    def joins(self, a: np.ndarray, b: np.ndarray) -> list[int]:
+        """The places of the pairs that join what was apart."""
+        parent, places = self.root.tolist(), []
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for place, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            x, y = find(x), find(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                places.append(place)
+        self.root = np.array([find(x) for x in parent])
+        return places
+
+
+def _bucket_links(held, threshold: float) -> list[tuple[int, int]]:
+    """A forest of the compatible pairs of components of two blocks of a bucket, or of one: registers of all pairs are compared."""
+    names, code = np.unique(held.field("component").to_numpy(zero_copy_only=False), return_inverse=True)
+    if len(names) == 1:
+        return []
+    n, sketches = held.field("n").to_numpy(zero_copy_only=False), _sketch_matrix(held.field("bands"))
+    first, order = held.field("first").to_numpy(zero_copy_only=False).astype(bool), np.argsort(n, kind="stable")
+    left, right = order[first[order]], order[~first[order]]
+    alone = not len(right)
+    right = left if alone else right
+    one, two = (np.ascontiguousarray(sketches[x].T) for x in (left, right))
+    low, forest, links = _floor(threshold), _Forest(len(names)), []
+    rows = max(1, TILE // len(right))
+    for i in range(0, len(left), rows):
+        some = left[i : i + rows]
+        # both sides are in order of size, so sizes that fit are a stretch
+        start, stop = np.searchsorted(n[right], [threshold * n[some[0]] - 1, n[some[-1]] / threshold + 1])
+        start = max(start, i) if alone else start
+        if start >= stop:
+            continue
+        mine, others = one[:, i : i + rows], two[:, start:stop]
+        equal = np.zeros((mine.shape[1], others.shape[1]), np.uint8)
+        if equal.size < 512:
+            equal += (mine[:, :, None] == others[:, None, :]).sum(axis=0, dtype=np.uint8)
+        else:
+            for k in range(REGISTERS):
+                equal += mine[k, :, None] == others[k]
+        apart = forest.root[code[some]][:, None] != forest.root[code[right[start:stop]]]
+        a, b = np.nonzero((equal >= REGISTERS * low) & apart)
+        x, y = some[a], right[start + b]
+        fit = (estimate(equal[a, b].astype(np.int64), n[x], n[y]) >= low) & (n[x] >= threshold * n[y]) & (n[y] >= threshold * n[x])
+        x, y = code[x[fit]], code[y[fit]]
+        links += [(int(names[x[p]]), int(names[y[p]])) for p in forest.joins(x, y)] if len(x) else []
+    return links
+
+
 def _cell_links(members: DataFrame, percent: int) -> DataFrame:
     """Links (``a``, ``b``: digests) that join components within a cell, from full sets in blocks.
 
@@ -274,44 +361,43 @@ def _cell_links(members: DataFrame, percent: int) -> DataFrame:
 
 def _block_links(one, two, percent: int) -> list[tuple[bytes, bytes]]:
     """A forest of the links between components of two blocks: shared shingles are counted for all pairs at once."""
-    sets, sizes, names, groups = [], [], [], []
-    for block in (one, two):
-        lists = block.field("shingles")
-        values = lists.flatten().to_numpy(zero_copy_only=False)
-        sizes.append(np.array([len(x) for x in lists]))
-        sets.append(values)
-        names.append(block.field("same"))
-        groups.append(block.field("component").to_numpy(zero_copy_only=False))
-    vocabulary, places = np.unique(np.concatenate(sets), return_inverse=True)
-    places = (places[: len(sets[0])], places[len(sets[0]) :])
-    rows = max(1, DENSE // len(vocabulary))
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.get(x, x) != x:
-            x = parent[x]
-        return x
+    lists = [block.field("shingles") for block in (one, two)]
+    sizes = [np.diff(x.offsets.to_numpy()).astype(np.int64) for x in lists]
+    vocabulary, places = np.unique(np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in lists]), return_inverse=True)
+    places = np.split(places, [sizes[0].sum()])
+    held = [np.bincount(x, minlength=len(vocabulary)) for x in places]
+    # only what two sets may share is counted; a block that meets itself has each of its sets twice
+    alone = one.field("same").equals(two.field("same"))
+    shared = held[0] > 1 if alone else (held[0] > 0) & (held[1] > 0)
+    column, width = np.cumsum(shared) - 1, int(shared.sum())
+    if not width:
+        return []
+    sets = []
+    for x, n in zip(places, sizes):
+        keep = shared[x]
+        sets.append((np.repeat(np.arange(len(n)), n)[keep], column[x[keep]]))
+    names, code = np.unique(np.concatenate([x.field("component").to_numpy(zero_copy_only=False) for x in (one, two)]), return_inverse=True)
+    groups = np.split(code, [len(sizes[0])])
+    rows = max(1, DENSE // max(width, 2048))
 
     def dense(side: int, start: int) -> np.ndarray:
-        n = sizes[side][start : start + rows]
-        first = int(sizes[side][:start].sum())
-        out = np.zeros((len(n), len(vocabulary)), np.float32)
-        out[np.repeat(np.arange(len(n)), n), places[side][first : first + int(n.sum())]] = 1
+        row, columns = sets[side]
+        some = slice(*np.searchsorted(row, [start, start + rows]))
+        out = np.zeros((len(sizes[side][start : start + rows]), width), np.float32)
+        out[row[some] - start, columns[some]] = 1
         return out
 
-    links = []
+    forest, links = _Forest(len(names)), []
     for i in range(0, len(sizes[0]), rows):
         left = dense(0, i)
-        for j in range(0, len(sizes[1]), rows):
-            both = left @ dense(1, j).T
+        for j in range(i if alone else 0, len(sizes[1]), rows):
+            both = (left @ dense(1, j).T).astype(np.int64)
             n, m = sizes[0][i : i + rows, None], sizes[1][None, j : j + rows]
-            c, d = groups[0][i : i + rows, None], groups[1][None, j : j + rows]
-            a, b = np.nonzero((100 * both >= percent * (n + m - both)) & (c != d))
-            for x, y in zip((a + i).tolist(), (b + j).tolist()):
-                u, v = root(int(groups[0][x])), root(int(groups[1][y]))
-                if u != v:
-                    parent[max(u, v)] = min(u, v)
-                    links.append((names[0][x].as_py(), names[1][y].as_py()))
+            apart = forest.root[groups[0][i : i + rows]][:, None] != forest.root[groups[1][j : j + rows]]
+            a, b = np.nonzero((100 * both >= percent * (n + m - both)) & apart)
+            if len(a):
+                a, b = a + i, b + j
+                links += [(one.field("same")[a[p]].as_py(), two.field("same")[b[p]].as_py()) for p in forest.joins(groups[0][a], groups[1][b])]
     return links
 
 
@@ -363,12 +449,12 @@ def near_duplicates(
     spread = _buckets(labelled, "component")
     mixed = spread.groupBy("bucket").agg(
         F.min("component").alias("_l"), F.max("component").alias("_h"), F.count("*").alias("_n")
-    ).where("_l <> _h and _n > 2").select("bucket")
-    still = stored(spread.join(mixed, "bucket", "left_semi"), "open")
-    lowest = still.groupBy("bucket").agg(F.min("component").alias("a"))
-    cells = components(still.join(lowest, "bucket").select("a", F.col("component").alias("b"))).toDF("component", "cell")
-    inside = still.select("same", "component").distinct().join(cells, "component", "left")
-    inside = inside.withColumn("cell", F.coalesce("cell", "component"))
+    ).where("_l <> _h and _n > 2").select("bucket", F.col("_n").alias("members"))
+    still = stored(spread.join(mixed, "bucket"), "open")
+    near = _compatible(still.join(labelled.select("same", "n", "bands"), "same"), threshold)
+    cells = components(near).toDF("component", "cell")
+    cells = cells.union(cells.select("cell", "cell").distinct())  # the smallest component of a cell is no row of its own
+    inside = stored(still.select("same", "component").distinct().join(cells, "component"), "inside")
     more = inside.select("same").join(sets.select("same"), "same", "left_anti").join(names, "same")
     sets = sets.unionByName(stored(_full_sets(docs, more, width, id_col, text_col), "sets"))
     late = stored(_cell_links(inside.join(sets.select("same", "shingles"), "same"), percent), "links")
